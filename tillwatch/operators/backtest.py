@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ def backtest(
     label: str = "isFraud",
     prediction: str = "prediction",
     classes: int = 3,
+    rule: Column | None = None,
 ) -> DataFrame:
     """Distinct (keys, prediction, label) of an inner join on values, not on an id.
 
@@ -26,10 +28,13 @@ def backtest(
     one row per key, with its class numbers (below ``classes``) packed into an integer. The
     reduction combines in each task before the shuffle, so a key that holds a third of all rows
     costs one row per task; and both sides leave it partitioned by the join keys, so neither the
-    join nor the final distinct rows need another shuffle.
+    join nor the final distinct rows need another shuffle. Where ``scored`` was selected by a rule
+    on key columns, give the rule: no other truth can match, so none is shuffled.
     """
-    left = _one_row_per_key(truth, keys, label, classes).alias("t")
-    right = _one_row_per_key(_align(scored, truth, keys), keys, prediction, classes).alias("s")
+    if rule is not None:
+        truth = truth.filter(rule)
+    left = _one_row_per_key(truth, keys, [label], classes).alias("t")
+    right = _one_row_per_key(_align(scored, truth, keys), keys, [prediction], classes).alias("s")
     same = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     matched = left.join(right, same).select(
         *[F.col(f"t.{k}") for k in keys], f"{label}_bits", f"{prediction}_bits"
@@ -39,8 +44,35 @@ def backtest(
     return matched
 
 
-def _one_row_per_key(df: DataFrame, keys: Sequence[str], column: str, classes: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.bit_or(_class_bit(column, classes)).alias(f"{column}_bits"))
+def backtest_labelled(
+    scored: DataFrame,
+    keys: Sequence[str] = SCORE_COLUMNS,
+    label: str = "isFraud",
+    prediction: str = "prediction",
+    classes: int = 3,
+) -> DataFrame:
+    """The same result without a join, for scored rows that still carry their true label.
+
+    Valid where the scored rows are all those of the truth that a rule on key columns admits, and
+    that can match (see ``matchable``): then the rows that share a key are the same on both sides,
+    and one aggregation in place of two and a join reads the truth once.
+    """
+    per_key = _one_row_per_key(matchable(scored, keys), keys, (label, prediction), classes)
+    for column in (prediction, label):
+        per_key = _unpack(per_key, column, scored.schema[column].dataType, classes)
+    return per_key
+
+
+def matchable(df: DataFrame, keys: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
+    """Rows without a NULL key; select them before NULL balances are filled for scoring."""
+    return df.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+
+
+def _one_row_per_key(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], classes: int
+) -> DataFrame:
+    bits = [F.bit_or(_class_bit(c, classes)).alias(f"{c}_bits") for c in columns]
+    return df.groupBy(*keys).agg(*bits)
 
 
 def _bit(position: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,24 +22,19 @@ def class_metrics(confusion: DataFrame) -> DataFrame:
     Each cell counts once for its label and once for its prediction, so the matrix is read once.
     A class that is never predicted has precision 0, as in MLlib.
     """
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    sides = F.inline(
-        F.array(
-            F.struct(
-                F.col("label").alias("class"),
-                F.col("n").alias("actual"),
-                F.lit(0).cast("bigint").alias("predicted"),
-                hit.alias("correct"),
-            ),
-            F.struct(
-                F.col("prediction"),
-                F.lit(0).cast("bigint"),
-                F.col("n"),
-                F.lit(0).cast("bigint"),
-            ),
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+
+    def side(which: str, actual: Column, predicted: Column, correct: Column) -> Column:
+        return F.struct(
+            F.col(which).alias("class"),
+            actual.alias("actual"),
+            predicted.alias("predicted"),
+            correct.alias("correct"),
         )
-    )
-    totals = confusion.select(sides).groupBy("class").agg(
+
+    sides = F.array(side("label", n, none, hit), side("prediction", none, n, none))
+    totals = confusion.select(F.inline(sides)).groupBy("class").agg(
         F.sum("actual").alias("n_actual"),
         F.sum("predicted").alias("n_predicted"),
         F.sum("correct").alias("n_correct"),

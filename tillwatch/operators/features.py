@@ -75,10 +75,15 @@ def index_skew(train: DataFrame, scoring: DataFrame) -> DataFrame:
 
 
 def hash_split(
-    df: DataFrame, key: str = "tx_id", train_percent: int = TRAIN_PERCENT
+    df: DataFrame, *keys: str, train_percent: int = TRAIN_PERCENT
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test by a hash of the id: the same rows however the data is partitioned."""
-    in_train = hash_percent(F.col(key)) < train_percent
+    """Train and test by a hash of the id: the same rows however the data is partitioned.
+
+    Rows without an id are split by all their columns, so equal rows land on the same side.
+    """
+    if not keys:
+        keys = ("tx_id",) if "tx_id" in df.columns else tuple(df.columns)
+    in_train = hash_percent(*[F.col(k) for k in keys]) < train_percent
     return df.filter(in_train), df.filter(~in_train)
 
 

@@ -18,7 +18,10 @@ def model_columns(df: DataFrame, *keep: str) -> DataFrame:
 
 
 def score_subset(df: DataFrame, rule: Column | None = None, *keep: str) -> DataFrame:
-    """Label-free rows to be scored: those the rule admits, money cast for scoring."""
+    """Rows to be scored: those the rule admits, money cast for scoring.
+
+    Label-free unless ``keep`` asks for more columns than the scored ones.
+    """
     admitted = df.filter(transfer_or_cash_out() if rule is None else rule)
     return standardise(admitted.select(*_kept(df, keep), *SCORE_COLUMNS), SCORING_PRECISION)
 

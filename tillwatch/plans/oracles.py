@@ -352,6 +352,8 @@ ORACLES: dict[str, str] = {
     # back-test joins
     "backtest_join": _with(TX, SCORED.format(rule=LARGE_SUBSET))
     + _backtest(SCORE_NAMES, "tx", "scored"),
+    "backtest_labelled": _with(TX, SCORED.format(rule=LARGE_SUBSET))
+    + _backtest(SCORE_NAMES, "tx", "scored"),
     "backtest_join_duplicates": _with(TX, COPIES)
     + _backtest(("type", "amount", "oldbalanceDest"), "dup", "dup_scored"),
     "backtest_by_id": _with(TX, SCORED.format(rule=BOTH_TYPES))

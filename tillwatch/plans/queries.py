@@ -219,10 +219,10 @@ def type_by_flag(spark, sf_dir):
 # --- back-test joins on a rule's prediction, which SQL can repeat
 
 
-def _rule_scored(spark, sf_dir, rule, rows=None):
+def _rule_scored(spark, sf_dir, rule, *keep):
     """Scoring rows with the flag standing in for a model's prediction."""
-    rows = tables.transactions(spark, sf_dir) if rows is None else rows
-    subset = subsets.score_subset(rows, rule, "tx_id", "isFlaggedFraud")
+    tx = tables.transactions(spark, sf_dir)
+    subset = subsets.score_subset(tx, rule, "tx_id", "isFlaggedFraud", *keep)
     return subset.withColumn("prediction", F.col("isFlaggedFraud").cast("double")).drop(
         "isFlaggedFraud"
     )
@@ -231,7 +231,14 @@ def _rule_scored(spark, sf_dir, rule, rows=None):
 @query
 def backtest_join(spark, sf_dir):
     rule = rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD)
-    return bt.backtest(tables.transactions(spark, sf_dir), _rule_scored(spark, sf_dir, rule))
+    scored = _rule_scored(spark, sf_dir, rule)
+    return bt.backtest(tables.transactions(spark, sf_dir), scored, rule=rule)
+
+
+@query
+def backtest_labelled(spark, sf_dir):
+    rule = rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD)
+    return standardise(bt.backtest_labelled(_rule_scored(spark, sf_dir, rule, "isFraud")))
 
 
 @query
@@ -250,8 +257,9 @@ def backtest_by_id(spark, sf_dir):
 
 @query
 def predicted_fraud(spark, sf_dir):
-    scored = _rule_scored(spark, sf_dir, rules.transfer_or_cash_out())
-    return bt.predicted_fraud(bt.backtest(tables.transactions(spark, sf_dir), scored))
+    rule = rules.transfer_or_cash_out()
+    scored = _rule_scored(spark, sf_dir, rule)
+    return bt.predicted_fraud(bt.backtest(tables.transactions(spark, sf_dir), scored, rule=rule))
 
 
 @query
@@ -371,6 +379,12 @@ def _subset_scored(spark, sf_dir, classifier, rule):
     return models.score(shared.fitted(spark, sf_dir, classifier), rows)
 
 
+def _backtest(spark, sf_dir, classifier, rule):
+    rows = subsets.score_subset(shared.staged_transactions(spark, sf_dir), rule, "isFraud")
+    scored = models.score(shared.fitted(spark, sf_dir, classifier), bt.matchable(rows))
+    return standardise(bt.backtest_labelled(scored))
+
+
 @query
 def lr_holdout_scores(spark, sf_dir):
     return _checked(_holdout_scored(spark, sf_dir, "lr"), "tx_id", "label")
@@ -411,15 +425,12 @@ def rf_evaluation(spark, sf_dir):
 
 @query
 def backtest_lr(spark, sf_dir):
-    rule = rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD)
-    truth = shared.staged_transactions(spark, sf_dir)
-    return bt.backtest(truth, _subset_scored(spark, sf_dir, "lr", rule))
+    return _backtest(spark, sf_dir, "lr", rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD))
 
 
 @query
 def backtest_rf(spark, sf_dir):
-    truth = shared.staged_transactions(spark, sf_dir)
-    return bt.backtest(truth, _subset_scored(spark, sf_dir, "rf", rules.transfer_or_cash_out()))
+    return _backtest(spark, sf_dir, "rf", rules.transfer_or_cash_out())
 
 
 @query
