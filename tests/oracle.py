@@ -39,7 +39,7 @@ def spark_result(df):
 
 
 def sql_result(connection, sql: str):
-    table = connection.execute(sql).to_arrow_table()
+    table = connection.sql(sql).to_arrow_table()
     names = table.column_names
     types = {n: str(t) for n, t in zip(names, table.schema.types)}
     return names, types, list(zip(*[c.to_pylist() for c in table.columns])) if names else []

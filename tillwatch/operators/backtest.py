@@ -63,9 +63,13 @@ def backtest_labelled(
     return per_key
 
 
+def has_all_keys(keys: Sequence[str] = SCORE_COLUMNS) -> Column:
+    """True where no key is NULL; test this before NULL balances are filled for scoring."""
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+
+
 def matchable(df: DataFrame, keys: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
-    """Rows without a NULL key; select them before NULL balances are filled for scoring."""
-    return df.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+    return df.filter(has_all_keys(keys))
 
 
 def _one_row_per_key(

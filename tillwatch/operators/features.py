@@ -14,7 +14,7 @@ from tillwatch.schema import FEATURE_COLUMNS, TRAIN_PERCENT
 
 NULL_POLICIES = ("fill", "skip", "error")
 
-# Tells a classifier that there are two classes, which saves a job over the training rows and
+# Tells a tree classifier that there are two classes, which saves a job over the training rows and
 # keeps a training set with one class valid.
 BINARY_LABEL = {"ml_attr": {"name": "label", "type": "nominal", "vals": ["0", "1"]}}
 
@@ -29,9 +29,16 @@ def label_indexer() -> StringIndexer:
     return StringIndexer(inputCol="isFraud", outputCol="label", handleInvalid="keep")
 
 
-def with_label(df: DataFrame) -> DataFrame:
-    """Default label: ``isFraud`` as a double of two known classes."""
-    return df.withColumn("label", F.col("isFraud").cast("double").alias("label", metadata=BINARY_LABEL))
+def with_label(df: DataFrame, declare_classes: bool = True) -> DataFrame:
+    """Default label: ``isFraud`` as a double, by default of two known classes.
+
+    The regression counts its classes itself. It must not be told: with two declared classes and
+    only non-fraud rows, its infinite intercept would point to fraud.
+    """
+    label = F.col("isFraud").cast("double")
+    if declare_classes:
+        label = label.alias("label", metadata=BINARY_LABEL)
+    return df.withColumn("label", label)
 
 
 def assembler(null_policy: str = "error") -> VectorAssembler:

@@ -54,7 +54,7 @@ def train(
     if compat_label:
         stages.insert(1, label_indexer())
     else:
-        rows = with_label(rows)
+        rows = with_label(rows, declare_classes=classifier == "rf")
     return Pipeline(stages=stages).fit(rows)
 
 
