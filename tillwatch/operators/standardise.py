@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.functions.money import overflows, to_money
@@ -23,8 +24,6 @@ def overflow_rows(
 ) -> DataFrame:
     """Rows in which a narrower decimal loses a value, with one flag per money column."""
     flags = {f"{c}_overflow": overflows(F.col(c), precision, scale) for c in columns}
-    lost = None
-    for flag in flags:
-        lost = F.col(flag) if lost is None else lost | F.col(flag)
-    narrowed = {c: (precision, scale) for c in columns}
-    return standardise(df.withColumns(flags), narrowed).filter(lost)
+    fits = {c: F.when(~F.col(f"{c}_overflow"), to_money(F.col(c), precision, scale)) for c in columns}
+    lost = reduce(Column.__or__, [F.col(flag) for flag in flags])
+    return df.withColumns(flags).filter(lost).withColumns(fits)

@@ -295,7 +295,7 @@ ORACLES: dict[str, str] = {
     "money_overflow_rows": _with(TX)
     + "SELECT tx_id, "
     + ", ".join(f'{_narrow(n)} AS "{n}", {_overflow(n)} AS "{n}_overflow"' for n in MONEY_NAMES)
-    + " FROM tx WHERE "
+    + " FROM raw WHERE "
     + " OR ".join(_overflow(n) for n in MONEY_NAMES),
     # missing values, filters
     "missing_raw": _missing(

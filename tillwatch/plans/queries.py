@@ -111,8 +111,8 @@ def money_decimal_rescale(spark, sf_dir):
 
 @query
 def money_overflow_rows(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir).select("tx_id", *MONEY_COLUMNS)
-    return overflow_rows(tx, 7)
+    raw = tables.raw_transactions(spark, sf_dir).select("tx_id", *MONEY_COLUMNS)
+    return overflow_rows(raw, 7)
 
 
 # --- missing values, filters
