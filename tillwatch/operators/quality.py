@@ -37,9 +37,10 @@ def null_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def fill_balances(
-    df: DataFrame, columns: Sequence[str] = ("oldbalanceDest", "newbalanceDest")
+    df: DataFrame, columns: Sequence[str] | None = ("oldbalanceDest", "newbalanceDest")
 ) -> DataFrame:
-    return df.fillna(0, subset=list(columns))
+    """Put 0 in place of NULL; without columns, in all numeric ones."""
+    return df.fillna(0, subset=None if columns is None else list(columns))
 
 
 def presence_flag(df: DataFrame, column: str) -> DataFrame:

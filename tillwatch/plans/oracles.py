@@ -250,13 +250,23 @@ HOLDOUT = (
 )
 
 
-def _subset_scores(rule: str) -> str:
+def _subset_scores(rule: str, codes_from: str = "tx") -> str:
     return (
-        _with(TX)
-        + f'SELECT tx_id, "type", CAST(amount AS DECIMAL(10,2)) AS amount, {CHECKED} FROM tx WHERE {rule}'
+        _with(TX, f"subset AS (SELECT * FROM tx WHERE {rule})", _codes("codes", codes_from))
+        + f"""SELECT tx_id, "type", code AS type_label, CAST(amount AS DECIMAL(10,2)) AS amount, {CHECKED}
+              FROM subset JOIN codes ON "type" = category"""
     )
 
 
+# The label's codes come from the training rows.
+THREE_CLASS = _with(
+    TX, f"train AS (SELECT * FROM tx WHERE {IN_TRAIN})", _codes("codes", "train", '"isFraud"')
+) + f"""
+SELECT tx_id, code AS label, CAST(3 AS INTEGER) AS n_classes, {CHECKED}
+FROM tx JOIN codes ON "isFraud" = category WHERE NOT ({IN_TRAIN})
+"""
+
+
 def _windows(rule: str) -> str:
     return (
         _with(EVENTS)
@@ -314,6 +324,11 @@ ORACLES: dict[str, str] = {
     + 'SELECT tx_id, "oldbalanceOrg", "newbalanceOrig",'
     + ' CAST("oldbalanceDest" AS DECIMAL(12,2)) AS "oldbalanceDest",'
     + ' CAST("newbalanceDest" AS DECIMAL(12,2)) AS "newbalanceDest" FROM filled',
+    "fill_all_numbers": _with(TX, FILLED)
+    + 'SELECT tx_id, step, "type", amount, "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest",'
+    + ' CAST("oldbalanceDest" AS DECIMAL(12,2)) AS "oldbalanceDest",'
+    + ' CAST("newbalanceDest" AS DECIMAL(12,2)) AS "newbalanceDest",'
+    + ' "isFraud", "isFlaggedFraud" FROM filled',
     "balance_presence_flag": _with(TX)
     + 'SELECT tx_id, CAST(CASE WHEN "oldbalanceDest" IS NULL THEN 0 ELSE 1 END AS INTEGER)'
     + ' AS "oldbalanceDest" FROM tx',
@@ -393,6 +408,7 @@ ORACLES: dict[str, str] = {
     + ' WHERE "oldbalanceDest" IS NOT NULL AND "newbalanceDest" IS NOT NULL',
     "hash_split": _with(TX)
     + f"SELECT tx_id, CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM tx",
+    "random_split": _with(TX) + "SELECT tx_id FROM tx",
     # evaluation
     "confusion_matrix": _with(TX, METRICS)
     + "SELECT label, prediction, count(*) AS n FROM p GROUP BY 1, 2",
@@ -409,6 +425,9 @@ ORACLES: dict[str, str] = {
     "rf_holdout_scores": HOLDOUT,
     "lr_subset_scores": _subset_scores(LARGE_SUBSET),
     "rf_subset_scores": _subset_scores(BOTH_TYPES),
+    "rf_subset_scores_refit": _subset_scores(BOTH_TYPES, "subset"),
+    "lr_three_class_scores": THREE_CLASS,
+    "rf_three_class_scores": THREE_CLASS,
     "manual_scoring": _with(MANUAL) + f"SELECT *, {CHECKED} FROM manual",
     # streams, against the batch result
     "stream_ingest": GOOD_ROWS,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from tillwatch.schema import (
     MONEY_COLUMNS,
     SCORE_COLUMNS,
     SCORING_PRECISION,
+    SEED,
     TX_COLUMNS,
 )
 from tillwatch.session import shared_path
@@ -144,6 +146,11 @@ def fill_null_balances(spark, sf_dir):
     return quality.fill_balances(tx).select("tx_id", *BALANCE_COLUMNS)
 
 
+@query
+def fill_all_numbers(spark, sf_dir):
+    return quality.fill_balances(tables.transactions(spark, sf_dir), None)
+
+
 @query
 def balance_presence_flag(spark, sf_dir):
     tx = tables.transactions(spark, sf_dir).select("tx_id", "oldbalanceDest")
@@ -333,6 +340,13 @@ def hash_split(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
+@query
+def random_split(spark, sf_dir):
+    """Both parts of the seeded split together: no row is lost or doubled."""
+    train, test = ft.random_split(tables.transactions(spark, sf_dir).select("tx_id"), SEED)
+    return train.union(test)
+
+
 # --- evaluation of the rule's prediction
 
 
@@ -374,9 +388,11 @@ def _holdout_scored(spark, sf_dir, classifier):
     return models.score(shared.fitted(spark, sf_dir, classifier), test)
 
 
-def _subset_scored(spark, sf_dir, classifier, rule):
+def _subset_scored(spark, sf_dir, classifier, rule, refit_index=False):
     rows = subsets.score_subset(shared.staged_transactions(spark, sf_dir), rule, "tx_id")
-    return models.score(shared.fitted(spark, sf_dir, classifier), rows)
+    model = shared.fitted(spark, sf_dir, classifier)
+    scored = models.score(model, rows, refit_index=refit_index)
+    return _checked(scored, "tx_id", "type", "type_label", "amount")
 
 
 def _backtest(spark, sf_dir, classifier, rule):
@@ -398,13 +414,35 @@ def rf_holdout_scores(spark, sf_dir):
 @query
 def lr_subset_scores(spark, sf_dir):
     rule = rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD)
-    return _checked(_subset_scored(spark, sf_dir, "lr", rule), "tx_id", "type", "amount")
+    return _subset_scored(spark, sf_dir, "lr", rule)
 
 
 @query
 def rf_subset_scores(spark, sf_dir):
-    rule = rules.transfer_or_cash_out()
-    return _checked(_subset_scored(spark, sf_dir, "rf", rule), "tx_id", "type", "amount")
+    return _subset_scored(spark, sf_dir, "rf", rules.transfer_or_cash_out())
+
+
+@query
+def rf_subset_scores_refit(spark, sf_dir):
+    """Scored under type codes refit on the subset, as the source's programs do."""
+    return _subset_scored(spark, sf_dir, "rf", rules.transfer_or_cash_out(), refit_index=True)
+
+
+def _three_class_scored(spark, sf_dir, classifier):
+    _, test = shared.holdout(spark, sf_dir)
+    model = shared.fitted(spark, sf_dir, classifier, compat_label=True)
+    n_classes = F.array_size(vector_to_array(F.col("probability"))).alias("n_classes")
+    return _checked(models.score(model, test), "tx_id", "label", n_classes)
+
+
+@query
+def lr_three_class_scores(spark, sf_dir):
+    return _three_class_scored(spark, sf_dir, "lr")
+
+
+@query
+def rf_three_class_scores(spark, sf_dir):
+    return _three_class_scored(spark, sf_dir, "rf")
 
 
 @query

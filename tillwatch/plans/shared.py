@@ -48,11 +48,14 @@ def holdout(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return hash_split(staged_transactions(spark, sf_dir))
 
 
-def fitted(spark: SparkSession, sf_dir: str, classifier: str) -> PipelineModel:
+def fitted(
+    spark: SparkSession, sf_dir: str, classifier: str, compat_label: bool = False
+) -> PipelineModel:
     """A classifier trained on the training part, with type codes from all rows."""
 
     def fit() -> PipelineModel:
         rows, _ = holdout(spark, sf_dir)
-        return train(rows, classifier, codes_from=staged_transactions(spark, sf_dir))
+        every_row = staged_transactions(spark, sf_dir)
+        return train(rows, classifier, compat_label=compat_label, codes_from=every_row)
 
-    return _once(spark, sf_dir, f"model {classifier}", fit)
+    return _once(spark, sf_dir, f"model {classifier} {compat_label}", fit)

@@ -7,9 +7,7 @@ updated aggregates as one idempotent folder per batch, of which a reader takes t
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import suppress
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,15 +17,20 @@ from tillwatch.session import shared_path
 
 # The state of keys and windows stays on disk, so it may outgrow executor memory.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-CARRIED = ("spark.sql.shuffle.partitions", "spark.sql.ansi.enabled")
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """A session for stateful streams that leaves the caller's settings alone."""
+    """A session for stateful streams that leaves the caller's settings alone.
+
+    The caller's shuffle partitions become the number of state stores, fixed for the life of a
+    checkpoint. In a single JVM, more of them than cores only cost time.
+    """
     session = spark.newSession()
-    for key in CARRIED:
-        with suppress(PySparkException):
-            session.conf.set(key, spark.conf.get(key))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        partitions = min(partitions, context.defaultParallelism)
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.session.timeZone", "UTC")
     return session
