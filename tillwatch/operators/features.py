@@ -81,17 +81,27 @@ def index_skew(train: DataFrame, scoring: DataFrame) -> DataFrame:
     return coded.select("type", "train_code", "refit_code", "n_rows")
 
 
-def hash_split(
-    df: DataFrame, *keys: str, train_percent: int = TRAIN_PERCENT
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test by a hash of the id: the same rows however the data is partitioned.
+def with_part(df: DataFrame, *keys: str, train_percent: int = TRAIN_PERCENT) -> DataFrame:
+    """Mark each row ``train`` or ``test`` by a hash of the id: the same under any partitioning.
 
-    Rows without an id are split by all their columns, so equal rows land on the same side.
+    Rows without an id are marked by all their columns, so equal rows land in the same part.
     """
     if not keys:
         keys = ("tx_id",) if "tx_id" in df.columns else tuple(df.columns)
     in_train = hash_percent(*[F.col(k) for k in keys]) < train_percent
-    return df.filter(in_train), df.filter(~in_train)
+    return df.withColumn("part", F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
+
+
+def parts(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Train and test of marked rows."""
+    train, test = (marked.filter(F.col("part") == part).drop("part") for part in ("train", "test"))
+    return train, test
+
+
+def hash_split(
+    df: DataFrame, *keys: str, train_percent: int = TRAIN_PERCENT
+) -> tuple[DataFrame, DataFrame]:
+    return parts(with_part(df, *keys, train_percent=train_percent))
 
 
 def random_split(

@@ -93,12 +93,10 @@ def run(
     codes refit on the scoring rows, and a seeded random split.
     """
     rows = ingest(spark, csv_path)
-    # Text to decimal is dear; every report and the training read the decimals from here.
-    tx = staging.stage(standardise(rows.good), "standardised")
-    if seeded_split:
-        train, test = ft.random_split(tx, SEED)
-    else:
-        train, test = ft.hash_split(tx)
+    # Decimals and the split are made once; every report and the training read them from here.
+    marked = staging.stage(ft.with_part(standardise(rows.good)), "standardised")
+    tx = marked.drop("part")
+    train, test = ft.random_split(tx, SEED) if seeded_split else ft.parts(marked)
     model = models.train(train, classifier, null_policy, compat_label, codes_from=tx)
     scored_test = models.score(model, test, null_policy)
     # A handful of rows that three reports start from.

@@ -336,8 +336,7 @@ def features_skip_nulls(spark, sf_dir):
 
 @query
 def hash_split(spark, sf_dir):
-    train, test = ft.hash_split(tables.transactions(spark, sf_dir).select("tx_id"))
-    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    return ft.with_part(tables.transactions(spark, sf_dir).select("tx_id"))
 
 
 @query

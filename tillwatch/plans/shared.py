@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.operators.features import hash_split
+from tillwatch.operators.features import parts, with_part
 from tillwatch.operators.models import train
 from tillwatch.session import shared_path
 from tillwatch.sources.staging import stage
@@ -26,11 +26,17 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object
     return _made[key]
 
 
+def _marked_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions and their part, written once: training scans a table, not a join or a hash."""
+
+    def make() -> DataFrame:
+        return stage(with_part(transactions(spark, sf_dir)), "transactions")
+
+    return _once(spark, sf_dir, "transactions", make)
+
+
 def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions written once, so that training scans a table and not a join."""
-    return _once(
-        spark, sf_dir, "transactions", lambda: stage(transactions(spark, sf_dir), "transactions")
-    )
+    return _marked_transactions(spark, sf_dir).drop("part")
 
 
 def dirty_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -45,7 +51,7 @@ def dirty_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def holdout(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return hash_split(staged_transactions(spark, sf_dir))
+    return parts(_marked_transactions(spark, sf_dir))
 
 
 def fitted(
