@@ -127,11 +127,15 @@ def test_timeout_is_reported(spark):
 def test_watch_goes_on_where_it_stopped(spark, sf_dir, tx):
     folder, out = shared_path(spark, "inbox"), shared_path(spark, "watch")
     model = shared.fitted(spark, sf_dir, "lr")
-    cells = [F.col(c) for c in tx.columns]
+    cells = {c: F.col(c) for c in tx.columns}
+    spoiled = {"type": F.when(F.col("type") == "CASH_OUT", "CASH_OUT,surplus").otherwise(F.col("type"))}
     for number, factor in enumerate((1, 2000)):
-        csv.write_lines(tx.withColumn("amount", F.col("amount") * factor), cells, f"{folder}/{number}")
-        for query in program.watch(spark, f"{folder}/*", model, out):
-            runs.finish(query, 120)
-        scored = spark.read.parquet(f"{out}/scored")
-        assert scored.count() == 5 * (number + 1)
-    assert spark.read.parquet(f"{out}/alerts").count() == 1
+        changed = tx.withColumn("amount", F.col("amount") * factor)
+        arriving = {**cells, **(spoiled if number else {})}
+        csv.write_lines(changed, list(arriving.values()), f"{folder}/{number}")
+        runs.finish(program.watch(spark, f"{folder}/*", model, out), 120)
+    written = {n: spark.read.parquet(f"{out}/{n}") for n in ("scored", "alerts", "rejects")}
+    assert rows(written["scored"].groupBy("batch_id").count()) == [(0, 5), (1, 4)]
+    assert rows(written["alerts"].select("batch_id", "nameOrig")) == [(1, "C1305486145")]
+    reject = written["rejects"].first()
+    assert reject.reject_reason == "malformed record" and "surplus" in reject.raw_line

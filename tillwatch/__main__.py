@@ -47,12 +47,11 @@ def main(argv: list[str] | None = None) -> None:
             program.save_reports(outcome, args.out, spark)
         return
     trigger = {"processingTime": args.every} if args.every else {}
-    queries = program.watch(spark, args.csv_folder, models.load(args.model), args.out, **trigger)
-    for query in queries:
-        if args.every:
-            query.awaitTermination()
-        else:
-            finish(query, args.timeout)
+    query = program.watch(spark, args.csv_folder, models.load(args.model), args.out, **trigger)
+    if args.every:
+        query.awaitTermination()
+    else:
+        finish(query, args.timeout)
 
 
 if __name__ == "__main__":

@@ -44,11 +44,11 @@ def train(
     """Fit type codes and a classifier on labelled rows.
 
     ``df`` is scanned several times, so hand over a staged table; Spark keeps its own encoded
-    copy for the iterations. ``codes_from`` takes the type codes from a larger frame than the
+    copy for the iterations. For a forest, a table of few files is spread over all cores. ``codes_from`` takes the type codes from a larger frame than the
     training rows. With ``compat_label`` the label indexer adds its third class. ``params`` go to
     the classifier, ``weightCol`` for rare fraud among them.
     """
-    rows = apply_null_policy(df, null_policy)
+    rows = apply_null_policy(_spread(df) if classifier == "rf" else df, null_policy)
     coder = type_indexer() if codes_from is None else type_indexer().fit(codes_from)
     stages = [coder, assembler(null_policy), CLASSIFIERS[classifier](**params)]
     if compat_label:
@@ -58,6 +58,12 @@ def train(
     return Pipeline(stages=stages).fit(rows)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Growing trees is bound by the cores, so use them all; large tables have partitions enough."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def score(
     model: PipelineModel, df: DataFrame, null_policy: str = "fill", refit_index: bool = False
 ) -> DataFrame:

@@ -284,6 +284,13 @@ def _overflow(name: str) -> str:
     return f'("{name}" IS NOT NULL AND {_narrow(name)} IS NULL)'
 
 
+CODED = f"""
+coded AS (
+  SELECT amount, "type", code AS type_label, {BALANCES}, prediction
+  FROM scored JOIN codes ON "type" = category
+)
+"""
+
 LARGE_TRANSFER = """"type" = 'TRANSFER' AND amount > 200000"""
 
 ORACLES: dict[str, str] = {
@@ -297,6 +304,11 @@ ORACLES: dict[str, str] = {
     "preview_top_n": _with(TX) + f"SELECT tx_id, {ALL} FROM tx ORDER BY amount DESC, tx_id LIMIT 20",
     "view_score_subset": _with(TX) + f"SELECT tx_id, {SCORE} FROM tx WHERE {LARGE_SUBSET}",
     "sink_roundtrip": _with(TX, SCORED.format(rule=BOTH_TYPES)) + "SELECT * FROM scored",
+    "manual_rows": _with(TX, MANUAL)
+    + f"""SELECT {SCORE} FROM tx UNION ALL
+          SELECT CAST(amount AS DECIMAL(12,2)), "type", CAST("oldbalanceOrg" AS DECIMAL(12,2)),
+                 CAST("newbalanceOrig" AS DECIMAL(12,2)), CAST("oldbalanceDest" AS DECIMAL(12,2)),
+                 CAST("newbalanceDest" AS DECIMAL(12,2)) FROM manual""",
     # projections and conversion
     "model_columns": _with(TX) + f'SELECT tx_id, {SCORE}, "isFraud" FROM tx',
     "money_decimal": _with(TX) + f"SELECT tx_id, {MONEY} FROM tx",
@@ -348,15 +360,12 @@ ORACLES: dict[str, str] = {
     "profile_raw": _profile("raw", TX_NAMES, _with(TX)),
     "profile_decimal": _profile("tx", TX_NAMES, _with(TX)),
     "profile_model_columns": _profile("tx", (*SCORE_NAMES, "isFraud"), _with(TX)),
+    "scored_columns": _with(TX, SCORED.format(rule=BOTH_TYPES), _codes("codes", "scored"), CODED)
+    + "SELECT * FROM coded",
     "profile_scored": _profile(
         "coded",
         ("amount", "type", "type_label", *MONEY_NAMES[1:], "prediction"),
-        _with(
-            TX,
-            SCORED.format(rule=BOTH_TYPES),
-            _codes("codes", "scored"),
-            'coded AS (SELECT scored.*, code AS type_label FROM scored JOIN codes ON "type" = category)',
-        ),
+        _with(TX, SCORED.format(rule=BOTH_TYPES), _codes("codes", "scored"), CODED),
     ),
     "type_by_fraud": _with(TX)
     + """SELECT "type", nullif(count(*) FILTER ("isFraud" = 0), 0) AS n_0,

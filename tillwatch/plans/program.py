@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +39,17 @@ def ingest(spark: SparkSession, csv_path: str) -> Ingested:
     """Write good and rejected rows in one scan, counting raw NULL and blank money on the way.
 
     The observed write has a session of its own: in a session that has observed a frame, Spark
-    cannot ship a forest with a training summary to its tasks.
+    cannot ship a forest with a training summary to its tasks. Its tasks write good and rejected
+    rows side by side instead of sorting them apart.
     """
     counts = {}
     for c in MONEY_COLUMNS:
         counts[f"null_{c}"] = F.count_if(F.col(c).isNull())
         counts[f"blank_{c}"] = F.count_if(is_blank(F.col(c)))
     seen = Observation("raw money")
-    raw = csv.read_raw(spark.newSession(), csv_path)
+    session = spark.newSession()
+    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", 2)
+    raw = csv.read_raw(session, csv_path)
     observed = raw.observe(seen, *[v.alias(k) for k, v in counts.items()])
     rows = csv.split_once(observed)
     path = shared_path(spark, "ingested")
@@ -142,21 +146,28 @@ def run(
 
 def watch(
     spark: SparkSession, csv_folder: str, model: PipelineModel, out: str, **trigger
-) -> list[StreamingQuery]:
-    """Score arriving CSV files and raise alerts on large transfers.
+) -> StreamingQuery:
+    """Score arriving CSV files, raise alerts on large transfers, and keep the rejects.
 
-    Two streams write below ``out``, a folder all executors share, with their checkpoints, so a
-    restart under the same ``out`` goes on where the last run stopped.
+    Each batch of files is read once and written to ``scored``, ``alerts`` and ``rejects`` below
+    ``out``, a folder all executors share. A batch that is repeated after a failure replaces its
+    own folders, and a restart under the same ``out`` goes on where the last run stopped.
     """
-    session = runs.stream_session(spark)
-    tx = standardise(csv.good_rows(csv.read_raw_stream(session, csv_folder)))
-    scored = st.score_stream(tx, model).select(*TX_COLUMNS, "prediction")
-    return [
-        runs.start_append(scored, f"{out}/scored", f"{out}/_checkpoints/scored", **trigger),
-        runs.start_append(
-            st.alert_stream(tx), f"{out}/alerts", f"{out}/_checkpoints/alerts", **trigger
-        ),
-    ]
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = csv.split_once(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        good = standardise(rows.filter(~F.col("rejected")).select(*TX_COLUMNS))
+        written = {
+            "scored": st.score_stream(good, model).select(*TX_COLUMNS, "prediction"),
+            "alerts": st.alert_stream(good),
+            "rejects": rows.filter("rejected").select(csv.REASON, "raw_line"),
+        }
+        for name, df in written.items():
+            df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+        rows.unpersist()
+
+    raw = csv.read_raw_stream(runs.stream_session(spark), csv_folder)
+    return runs.start_batches(raw, write_batch, f"{out}/_checkpoint", **trigger)
 
 
 def save_reports(outcome: Outcome, path: str | None, spark: SparkSession) -> str:

@@ -91,6 +91,13 @@ def sink_roundtrip(spark, sf_dir):
     return staging.read_table(scored, path)
 
 
+@query
+def manual_rows(spark, sf_dir):
+    """Hand-written rows in the transactions' money type, appended to the transactions."""
+    typed = standardise(literals.manual_rows(spark)).select(*SCORE_COLUMNS)
+    return tables.transactions(spark, sf_dir).select(*SCORE_COLUMNS).union(typed)
+
+
 # --- projections and conversion
 
 
@@ -206,11 +213,21 @@ def profile_model_columns(spark, sf_dir):
     return pf.profile(tables.transactions(spark, sf_dir), MODEL_COLUMNS)
 
 
-@query
-def profile_scored(spark, sf_dir):
+def _coded_scores(spark, sf_dir):
+    """Scored rows with type codes fit on themselves."""
     scored = _rule_scored(spark, sf_dir, rules.transfer_or_cash_out())
     coded = ft.type_indexer().fit(scored).transform(scored)
-    return pf.profile(coded, ("amount", "type", "type_label", *BALANCE_COLUMNS, "prediction"))
+    return coded.select("amount", "type", "type_label", *BALANCE_COLUMNS, "prediction")
+
+
+@query
+def scored_columns(spark, sf_dir):
+    return _coded_scores(spark, sf_dir)
+
+
+@query
+def profile_scored(spark, sf_dir):
+    return pf.profile(_coded_scores(spark, sf_dir))
 
 
 @query

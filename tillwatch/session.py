@@ -15,6 +15,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # A task that writes to few partition folders keeps their files open instead of sorting its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -45,33 +45,37 @@ def read_raw_stream(
     )
 
 
+NUMBERS = [f for f in TX_SCHEMA if not isinstance(f.dataType, T.StringType)]
+
+
+def _typed(field: T.StructField) -> str:
+    return f"typed_{field.name}"
+
+
 def _unreadable(field: T.StructField) -> Column:
+    """The cast gave nothing though there was something; blanks are missing, not unreadable."""
     raw = F.col(field.name)
-    return raw.isNotNull() & ~is_blank(raw) & raw.try_cast(field.dataType).isNull()
+    return F.col(_typed(field)).isNull() & raw.isNotNull() & ~is_blank(raw)
 
 
 def classify(raw: DataFrame) -> DataFrame:
-    """Add the reason a row is rejected for, NULL where the row is good."""
-    numeric = [f for f in TX_SCHEMA if not isinstance(f.dataType, T.StringType)]
+    """Add the typed numbers, and the reason a row is rejected for, NULL where it is good."""
+    typed = {_typed(f): F.col(f.name).try_cast(f.dataType) for f in NUMBERS}
     reason = reduce(
         lambda chain, f: chain.when(_unreadable(f), F.lit(f"unreadable {f.name}")),
-        numeric,
+        NUMBERS,
         F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record")),
     )
-    return raw.withColumn(REASON, reason)
+    return raw.withColumns(typed).withColumn(REASON, reason)
 
 
-def typed_columns() -> list[Column]:
-    """The transaction columns, typed; blank numbers become NULL."""
-    return [
-        F.col(f.name) if isinstance(f.dataType, T.StringType)
-        else F.col(f.name).try_cast(f.dataType).alias(f.name)
-        for f in TX_SCHEMA
-    ]
+def _typed_columns() -> list[Column]:
+    """The transaction columns of classified rows; blank numbers are NULL."""
+    return [F.col(_typed(f)).alias(f.name) if f in NUMBERS else F.col(f.name) for f in TX_SCHEMA]
 
 
 def good_rows(raw: DataFrame) -> DataFrame:
-    return classify(raw).filter(F.col(REASON).isNull()).select(*typed_columns())
+    return classify(raw).filter(F.col(REASON).isNull()).select(*_typed_columns())
 
 
 def rejected_rows(raw: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def split_once(raw: DataFrame) -> DataFrame:
     """
     rejected = F.col(REASON).isNotNull()
     return classify(raw).select(
-        *typed_columns(),
+        *_typed_columns(),
         F.col(REASON),
         F.when(rejected, _raw_line()).alias("raw_line"),
         rejected.alias("rejected"),

@@ -6,7 +6,7 @@ updated aggregates as one idempotent folder per batch, of which a reader takes t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,14 +46,16 @@ def start_append(stream: DataFrame, path: str, checkpoint: str, **trigger) -> St
     )
 
 
-def start_updates(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Write each batch's changed rows below ``path``; a repeated batch replaces its own folder."""
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
+def start_batches(
+    stream: DataFrame,
+    write_batch: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+    **trigger,
+) -> StreamingQuery:
+    """Hand each batch to a writer; it must replace what it wrote if a batch is repeated."""
     return (
-        stream.writeStream.outputMode("update")
+        stream.writeStream.outputMode(mode)
         .foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
@@ -61,6 +63,15 @@ def start_updates(stream: DataFrame, path: str, checkpoint: str, **trigger) -> S
     )
 
 
+def start_updates(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Write each batch's changed rows below ``path``, in a folder per batch."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return start_batches(stream, write_batch, checkpoint, "update", **trigger)
+
+
 def finish(query: StreamingQuery, timeout: int) -> None:
     """Wait for a run over the available data; a run that takes longer is stopped and reported."""
     if not query.awaitTermination(timeout):
