@@ -69,6 +69,25 @@ def test_options_of_the_original_programs(spark, csv_path):
     assert (codes.min_number, codes.max_number) == (0.0, 1.0)
 
 
+def test_null_amounts_need_a_policy(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tillwatch.sources import csv, tables
+
+    raw = tables.raw_transactions(spark, sf_dir)
+    path = shared_path(spark, "null-amounts")
+    cells = {c: F.col(c) for c in program.TX_COLUMNS}
+    cells["amount"] = F.when(F.col("tx_id") % 10 != 0, F.col("amount"))
+    csv.write_lines(raw, list(cells.values()), path)
+    with pytest.raises(Exception, match="null"):
+        program.run(spark, path, "lr")
+    outcome = program.run(spark, path, "lr", null_policy="skip")
+    # Every tenth row has no amount; of every fifty, two others lack a recipient balance.
+    n = raw.count()
+    assert outcome.reports["incomplete rows"].first().n_rows == n // 10 + 2 * (n // 50)
+    assert outcome.reports["row count"].first().n_rows == n
+
+
 def test_command_line(spark, csv_path, capsys, tmp_path):
     out = shared_path(spark, "cli")
     cli.main(["batch", csv_path, "--classifier", "lr", "--out", out, "--rows", "3"])

@@ -128,14 +128,19 @@ def test_watch_goes_on_where_it_stopped(spark, sf_dir, tx):
     folder, out = shared_path(spark, "inbox"), shared_path(spark, "watch")
     model = shared.fitted(spark, sf_dir, "lr")
     cells = {c: F.col(c) for c in tx.columns}
-    spoiled = {"type": F.when(F.col("type") == "CASH_OUT", "CASH_OUT,surplus").otherwise(F.col("type"))}
+    kind = F.col("type")
+    spoiled = {
+        "type": F.when(kind == "CASH_OUT", "CASH_OUT,surplus").otherwise(kind),
+        "oldbalanceOrg": F.when(F.col("nameOrig") != "C1231006815", F.col("oldbalanceOrg")),
+    }
     for number, factor in enumerate((1, 2000)):
         changed = tx.withColumn("amount", F.col("amount") * factor)
         arriving = {**cells, **(spoiled if number else {})}
         csv.write_lines(changed, list(arriving.values()), f"{folder}/{number}")
         runs.finish(program.watch(spark, f"{folder}/*", model, out), 120)
-    written = {n: spark.read.parquet(f"{out}/{n}") for n in ("scored", "alerts", "rejects")}
-    assert rows(written["scored"].groupBy("batch_id").count()) == [(0, 5), (1, 4)]
+    written = {n: spark.read.parquet(f"{out}/{n}") for n in ("scored", "unscored", "alerts", "rejects")}
+    assert rows(written["scored"].groupBy("batch_id").count()) == [(0, 5), (1, 3)]
+    assert rows(written["unscored"].select("batch_id", "nameOrig")) == [(1, "C1231006815")]
     assert rows(written["alerts"].select("batch_id", "nameOrig")) == [(1, "C1305486145")]
     reject = written["rejects"].first()
     assert reject.reject_reason == "malformed record" and "surplus" in reject.raw_line

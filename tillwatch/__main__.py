@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tillwatch.operators import models
+from tillwatch.operators.features import NULL_POLICIES
 from tillwatch.plans import program
 from tillwatch.streaming.runs import finish
 
@@ -19,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     batch.add_argument("--classifier", choices=sorted(models.CLASSIFIERS), default="rf")
     batch.add_argument("--out", help="folder to write the reports and the model to")
     batch.add_argument("--rows", type=int, default=20, help="rows to print per report")
+    batch.add_argument("--null-policy", choices=NULL_POLICIES, default="fill")
     batch.add_argument("--compat-label", action="store_true")
     batch.add_argument("--refit-index", action="store_true")
     batch.add_argument("--seeded-split", action="store_true")
@@ -36,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
             spark,
             args.csv,
             args.classifier,
+            null_policy=args.null_policy,
             compat_label=args.compat_label,
             refit_index=args.refit_index,
             seeded_split=args.seeded_split,

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwatch.operators.quality import complete
 from tillwatch.schema import SCORE_COLUMNS
 
 
@@ -63,13 +63,9 @@ def backtest_labelled(
     return per_key
 
 
-def has_all_keys(keys: Sequence[str] = SCORE_COLUMNS) -> Column:
-    """True where no key is NULL; test this before NULL balances are filled for scoring."""
-    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-
-
 def matchable(df: DataFrame, keys: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
-    return df.filter(has_all_keys(keys))
+    """Rows without a NULL key; select them before NULL balances are filled for scoring."""
+    return df.filter(complete(keys))
 
 
 def _one_row_per_key(

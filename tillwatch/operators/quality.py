@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,11 @@ def fill_balances(
     return df.fillna(0, subset=None if columns is None else list(columns))
 
 
+def complete(columns: Sequence[str] = MONEY_COLUMNS) -> Column:
+    """True where none of the columns is NULL."""
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
 def presence_flag(df: DataFrame, column: str) -> DataFrame:
     """Replace a column by 1 where it has a value, else 0."""
     return df.withColumn(column, F.when(F.col(column).isNull(), 0).otherwise(1))

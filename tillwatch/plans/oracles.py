@@ -43,6 +43,7 @@ tx AS (
 )
 """
 
+# The hand-written rows.
 MANUAL = """
 manual(amount, "type", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest") AS (
   VALUES (205000, 'TRANSFER', 0, 205000, 205000, 0),

@@ -93,6 +93,8 @@ def run(
 ) -> Outcome:
     """Ingest, check, profile, train, evaluate, score the subset, back-test, score by hand.
 
+    Rows without an amount or a sender's balance stop the training unless the policy is ``skip``;
+    the report of incomplete rows tells how many rows a policy concerns.
     The last three options repeat choices of the original programs: a third label class, type
     codes refit on the scoring rows, and a seeded random split.
     """
@@ -109,7 +111,7 @@ def run(
 
     rule = default_rule(classifier) if rule is None else rule
     subset = subsets.score_subset(tx, rule, "isFraud")
-    subset = subset.withColumn("complete", bt.has_all_keys())
+    subset = subset.withColumn("complete", quality.complete(SCORE_COLUMNS))
     scored = models.score(model, subset, null_policy, refit_index).select(
         *SCORE_COLUMNS, "type_label", "prediction", "isFraud", "complete"
     )
@@ -122,9 +124,11 @@ def run(
         {
             "schema": quality.schema_report(rows.good),
             "rejects": rows.rejects.groupBy(csv.REASON).agg(F.count("*").alias("n_rows")),
+            "row count": profile.row_count(rows.good),
             "missing raw": rows.missing_raw,
             "profile raw": profile.profile(rows.good),
             "missing typed": quality.missing_counts(tx),
+            "incomplete rows": profile.count_where(tx, ~quality.complete()),
             "profile decimal": profile.profile(tx),
             "large transactions": profile.large_transaction_counts(tx),
             "types by fraud": profile.count_by_type(tx, "isFraud"),
@@ -149,16 +153,20 @@ def watch(
 ) -> StreamingQuery:
     """Score arriving CSV files, raise alerts on large transfers, and keep the rejects.
 
-    Each batch of files is read once and written to ``scored``, ``alerts`` and ``rejects`` below
-    ``out``, a folder all executors share. A batch that is repeated after a failure replaces its
+    Each batch of files is read once and written below ``out``, a folder all executors share, to
+    ``scored``, ``alerts``, ``rejects``, and ``unscored`` for rows without an amount or a sender's
+    balance, which must not stop the stream. A batch that is repeated after a failure replaces its
     own folders, and a restart under the same ``out`` goes on where the last run stopped.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = csv.split_once(batch).persist(StorageLevel.MEMORY_AND_DISK)
         good = standardise(rows.filter(~F.col("rejected")).select(*TX_COLUMNS))
+        filled = quality.fill_balances(good)
+        scorable = quality.complete()
         written = {
-            "scored": st.score_stream(good, model).select(*TX_COLUMNS, "prediction"),
+            "scored": st.score_stream(filled.filter(scorable), model).select(*TX_COLUMNS, "prediction"),
+            "unscored": filled.filter(~scorable),
             "alerts": st.alert_stream(good),
             "rejects": rows.filter("rejected").select(csv.REASON, "raw_line"),
         }

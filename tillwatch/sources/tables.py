@@ -7,6 +7,8 @@ and otherwise shuffles both sides, splitting a hot customer with AQE.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,10 +47,8 @@ EVENT_SCHEMA = T.StructType(
 
 
 def _choose(key: Column, mapping: dict[str, str]) -> Column:
-    chosen = F
-    for source, target in mapping.items():
-        chosen = chosen.when(key == source, F.lit(target))
-    return chosen
+    pairs = [(key == source, F.lit(target)) for source, target in mapping.items()]
+    return reduce(lambda chain, pair: chain.when(*pair), pairs[1:], F.when(*pairs[0]))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
