@@ -144,7 +144,25 @@ def test_manual_rows_against_truth(spark):
     truth = standardise(manual_rows(spark).withColumns(money), MONEY_PRECISION)
     truth = truth.withColumn("isFraud", (F.col("type") == "TRANSFER").cast("int"))
     scored = manual_rows(spark).withColumn("prediction", F.lit(0.0))
-    assert backtest(truth, scored).count() == len(MANUAL_ROWS)
+    other = truth.withColumn("amount", F.lit(d("7.00")).cast("decimal(12,2)"))
+    everything = backtest(truth.union(other), scored)
+    assert everything.count() == len(MANUAL_ROWS)
+    assert rows(backtest(truth.union(other), scored, few_scored=True)) == rows(everything)
+
+
+def test_few_scored_rows_filter_the_truth_before_its_shuffle(spark, tx):
+    from tests.test_queries import plan_of
+    from tillwatch.session import shared_path
+
+    path = shared_path(spark, "truth")
+    standardise(tx).write.parquet(path)
+    scored = manual_rows(spark).withColumn("prediction", F.lit(0.0))
+    plan = plan_of(backtest(spark.read.parquet(path), scored, few_scored=True))
+    below = plan.splitlines()
+    semi = next(i for i, line in enumerate(below) if "LeftSemi" in line)
+    scan = next(i for i, line in enumerate(below) if "FileScan" in line)
+    assert "BroadcastHashJoin" in below[semi]
+    assert not any("hashpartitioning" in line for line in below[semi:scan])
 
 
 def test_join_by_id_keeps_null_and_equal_rows(spark):

@@ -52,8 +52,6 @@ def plan_of(df) -> str:
 def test_plan_has_no_cross_join_and_no_python(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "ExistingRDD"):
-        if name.startswith("manual") and bad == "ExistingRDD":
-            continue
         assert bad not in plan, f"{bad} in\n{plan}"
 
 

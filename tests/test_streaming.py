@@ -59,7 +59,7 @@ def test_windows_count_updates_over_batches(spark):
         [(3, "2024-01-01 00:50:00", "7"), (4, "2024-01-01 01:10:00", "8")],
     )
     totals = runs.update_available(spark, st.hourly_totals(stream), "totals", ["window_start", "type"])
-    assert rows(totals.select("n_alerts", "total_amount")) == [(1, Decimal(8)), (3, Decimal(18))]
+    assert rows(totals.select("n_rows", "total_amount")) == [(1, Decimal(8)), (3, Decimal(18))]
 
 
 def test_rows_later_than_the_watermark_are_dropped(spark):
@@ -73,7 +73,7 @@ def test_rows_later_than_the_watermark_are_dropped(spark):
     totals = runs.update_available(
         spark, st.hourly_totals(stream, lateness="2 hours"), "late", ["window_start", "type"]
     )
-    assert rows(totals.select("n_alerts", "total_amount")) == [
+    assert rows(totals.select("n_rows", "total_amount")) == [
         (1, Decimal(5)),
         (1, Decimal(5)),
         (2, Decimal(10)),

@@ -20,6 +20,7 @@ def backtest(
     prediction: str = "prediction",
     classes: int = 3,
     rule: Column | None = None,
+    few_scored: bool = False,
 ) -> DataFrame:
     """Distinct (keys, prediction, label) of an inner join on values, not on an id.
 
@@ -29,12 +30,17 @@ def backtest(
     reduction combines in each task before the shuffle, so a key that holds a third of all rows
     costs one row per task; and both sides leave it partitioned by the join keys, so neither the
     join nor the final distinct rows need another shuffle. Where ``scored`` was selected by a rule
-    on key columns, give the rule: no other truth can match, so none is shuffled.
+    on key columns, give the rule: no other truth can match, so none is shuffled. Where the scored
+    rows are few, say so: the truth is then reduced to their keys first, without a shuffle as long
+    as the keys are below Spark's own size threshold for broadcasts.
     """
     if rule is not None:
         truth = truth.filter(rule)
+    right = _one_row_per_key(_align(scored, truth, keys), keys, [prediction], classes)
+    if few_scored:
+        truth = truth.join(right.select(*keys), list(keys), "left_semi")
     left = _one_row_per_key(truth, keys, [label], classes).alias("t")
-    right = _one_row_per_key(_align(scored, truth, keys), keys, [prediction], classes).alias("s")
+    right = right.alias("s")
     same = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     matched = left.join(right, same).select(
         *[F.col(f"t.{k}") for k in keys], f"{label}_bits", f"{prediction}_bits"

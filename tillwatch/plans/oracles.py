@@ -56,6 +56,12 @@ manual(amount, "type", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "new
 )
 """
 
+MANUAL_MONEY = """
+CAST(amount AS DECIMAL(12,2)), "type", CAST("oldbalanceOrg" AS DECIMAL(12,2)),
+CAST("newbalanceOrig" AS DECIMAL(12,2)), CAST("oldbalanceDest" AS DECIMAL(12,2)),
+CAST("newbalanceDest" AS DECIMAL(12,2))
+"""
+
 EVENTS = """
 ev AS (
   SELECT event_id AS tx_id, ts,
@@ -272,7 +278,7 @@ def _windows(rule: str) -> str:
     return (
         _with(EVENTS)
         + f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, "type",
-               count(*) AS n_alerts, CAST(sum(amount) AS DOUBLE) AS total_amount
+               count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS total_amount
         FROM ev WHERE {rule} GROUP BY ALL"""
     )
 
@@ -306,10 +312,7 @@ ORACLES: dict[str, str] = {
     "view_score_subset": _with(TX) + f"SELECT tx_id, {SCORE} FROM tx WHERE {LARGE_SUBSET}",
     "sink_roundtrip": _with(TX, SCORED.format(rule=BOTH_TYPES)) + "SELECT * FROM scored",
     "manual_rows": _with(TX, MANUAL)
-    + f"""SELECT {SCORE} FROM tx UNION ALL
-          SELECT CAST(amount AS DECIMAL(12,2)), "type", CAST("oldbalanceOrg" AS DECIMAL(12,2)),
-                 CAST("newbalanceOrig" AS DECIMAL(12,2)), CAST("oldbalanceDest" AS DECIMAL(12,2)),
-                 CAST("newbalanceDest" AS DECIMAL(12,2)) FROM manual""",
+    + f"SELECT {SCORE} FROM tx UNION ALL SELECT {MANUAL_MONEY} FROM manual",
     # projections and conversion
     "model_columns": _with(TX) + f'SELECT tx_id, {SCORE}, "isFraud" FROM tx',
     "money_decimal": _with(TX) + f"SELECT tx_id, {MONEY} FROM tx",
@@ -438,7 +441,12 @@ ORACLES: dict[str, str] = {
     "rf_subset_scores_refit": _subset_scores(BOTH_TYPES, "subset"),
     "lr_three_class_scores": THREE_CLASS,
     "rf_three_class_scores": THREE_CLASS,
-    "manual_scoring": _with(MANUAL) + f"SELECT *, {CHECKED} FROM manual",
+    "manual_scoring": _with(TX, FILLED, MANUAL)
+    + f"""SELECT amount, "type", "oldbalanceOrg", "newbalanceOrig",
+                 CAST("oldbalanceDest" AS DECIMAL(12,2)) AS "oldbalanceDest",
+                 CAST("newbalanceDest" AS DECIMAL(12,2)) AS "newbalanceDest", {CHECKED} FROM filled
+          UNION ALL
+          SELECT {MANUAL_MONEY}, {CHECKED} FROM manual""",
     # streams, against the batch result
     "stream_ingest": GOOD_ROWS,
     "stream_score": _with(EVENTS) + f'SELECT tx_id, "type", amount, {CHECKED} FROM ev',
@@ -446,5 +454,9 @@ ORACLES: dict[str, str] = {
     + f"SELECT tx_id, {SCORE} FROM ev WHERE {LARGE_TRANSFER}",
     "stream_alerts_by_window": _windows(LARGE_TRANSFER),
     "stream_totals_by_window": _windows("true"),
+    "stream_step_totals": _with(TX)
+    + f"""SELECT strftime(TIMESTAMP '2024-01-01' + to_hours(step - 1), '%Y-%m-%d %H:%M:%S') AS window_start,
+                 "type", count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS total_amount
+          FROM tx WHERE NOT {SPOILED} GROUP BY ALL""",
     "stream_dedup": _with(EVENTS) + 'SELECT tx_id, "type", amount FROM ev',
 }

@@ -144,6 +144,7 @@ def run(
             "back-test": truth_and_prediction,
             "predicted fraud": bt.predicted_fraud(truth_and_prediction),
             "by hand": by_hand.select(*SCORE_COLUMNS, "prediction"),
+            "by hand back-test": bt.backtest(tx, by_hand, few_scored=True),
         },
     )
 

@@ -463,8 +463,9 @@ def rf_three_class_scores(spark, sf_dir):
 
 @query
 def manual_scoring(spark, sf_dir):
-    scored = models.score(shared.fitted(spark, sf_dir, "rf"), literals.manual_rows(spark))
-    return _checked(scored, *SCORE_COLUMNS)
+    """Hand-written rows scored along with the transactions."""
+    rows = manual_rows(spark, sf_dir)
+    return _checked(models.score(shared.fitted(spark, sf_dir, "rf"), rows), *SCORE_COLUMNS)
 
 
 @query
@@ -537,6 +538,14 @@ def stream_totals_by_window(spark, sf_dir):
     return _windowed(spark, _event_stream(spark, sf_dir), "windows")
 
 
+@query
+def stream_step_totals(spark, sf_dir):
+    """Files of transactions as a stream whose event time comes from the hour number."""
+    raw = csv.read_raw_stream(runs.stream_session(spark), shared.dirty_csv(spark, sf_dir))
+    tx = st.with_event_time(standardise(csv.good_rows(raw).select("step", "type", *MONEY_COLUMNS)))
+    return _windowed(spark, tx, "steps")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Every 10th event arrives twice; each id leaves once."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -30,4 +31,6 @@ MANUAL_ROWS = (
 
 
 def manual_rows(spark: SparkSession, rows: Iterable[tuple] = MANUAL_ROWS) -> DataFrame:
-    return spark.createDataFrame(list(rows), MANUAL_SCHEMA)
+    """Literal rows as a local relation, whose size Spark knows when it plans a join."""
+    columns = dict(zip(MANUAL_SCHEMA.names, map(list, zip(*rows))))
+    return spark.createDataFrame(pa.table(columns), MANUAL_SCHEMA)

@@ -33,9 +33,9 @@ def hourly_totals(
     return (
         stream.withWatermark("event_time", lateness)
         .groupBy(F.window("event_time", window).alias("window"), "type")
-        .agg(F.count("*").alias("n_alerts"), F.sum("amount").alias("total_amount"))
+        .agg(F.count("*").alias("n_rows"), F.sum("amount").alias("total_amount"))
         .select(
-            F.col("window.start").alias("window_start"), "type", "n_alerts", "total_amount"
+            F.col("window.start").alias("window_start"), "type", "n_rows", "total_amount"
         )
     )
 
