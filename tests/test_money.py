@@ -52,3 +52,9 @@ def test_overflow_rows_name_the_column(spark, tx):
 def test_blank_is_not_null(spark):
     df = spark.createDataFrame([(" ",), ("",), ("0",), (None,)], "v string")
     assert [r[0] for r in df.select(is_blank(F.col("v"))).collect()] == [True, True, False, None]
+
+
+def test_published_maximum_needs_twelve_digits(spark):
+    df = spark.createDataFrame([(356179278.92,)], "v double")
+    narrow, wide = df.select(to_money(F.col("v"), 10), to_money(F.col("v"), 12)).first()
+    assert narrow is None and wide == Decimal("356179278.92")
