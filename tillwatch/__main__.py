@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
             print(name)
             report.show(args.rows, truncate=False)
         if args.out:
-            program.save_reports(outcome, args.out, spark)
+            program.save_reports(outcome, args.out)
         return
     trigger = {"processingTime": args.every} if args.every else {}
     query = program.watch(spark, args.csv_folder, models.load(args.model), args.out, **trigger)

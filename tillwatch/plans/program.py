@@ -171,18 +171,18 @@ def watch(
             "alerts": st.alert_stream(good),
             "rejects": rows.filter("rejected").select(csv.REASON, "raw_line"),
         }
-        for name, df in written.items():
-            df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
-        rows.unpersist()
+        try:
+            for name, df in written.items():
+                df.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     raw = csv.read_raw_stream(runs.stream_session(spark), csv_folder)
     return runs.start_batches(raw, write_batch, f"{out}/_checkpoint", **trigger)
 
 
-def save_reports(outcome: Outcome, path: str | None, spark: SparkSession) -> str:
-    """Write every report as parquet and return the folder."""
-    path = path or shared_path(spark, "reports")
+def save_reports(outcome: Outcome, path: str) -> None:
+    """Write every report as parquet, and the model."""
     for name, report in outcome.reports.items():
         report.write.mode("errorifexists").parquet(f"{path}/{name.replace(' ', '_')}")
     models.save(outcome.model, f"{path}/model")
-    return path
