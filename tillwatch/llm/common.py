@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def slices(
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
         start, held = 0, 0
         for row, size in enumerate(sizes.tolist()):
             if held and held + size > max_bytes:

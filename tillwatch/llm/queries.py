@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwatch.llm import chat, packing, quality_rules, secret_scan, warc
 from tillwatch.llm.bpe_codec import decode_ids, encode_texts
 from tillwatch.llm.common import table
 from tillwatch.llm.token_counts import count_tokens
 
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+"""Both texts of conversation -7."""
+
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -17,6 +23,51 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(
+        F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("record")
+    )
+    said = [{"role": role, "content": CONTROL_TEXT} for role in ("user", "assistant")]
+    own = spark.range(1).select(F.lit(json.dumps({"conv_id": -7, "messages": said})).alias("record"))
+    turns = chat.canonical_turns(rows.unionAll(own))
+    return chat.read_back(chat.format_turns(turns.where("layout IS NOT NULL")))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.quality_report(docs, labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def number(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(secret_scan.joined_spans(base), 256).alias("base_sha256"),
+        secret_scan.joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,7 +84,12 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op4_warc": op4_warc,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_chat_formatting": op7_chat_formatting,
+    "op8_quality_rules": op8_quality_rules,
     "op9_bpe_codec": op9_bpe_codec,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {}

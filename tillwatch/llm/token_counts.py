@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,7 +152,7 @@ def count_tokens(
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("_id"),
-                    pa.compute.binary_length(part.column("_text")).cast(pa.int64()),
+                    pc.binary_length(part.column("_text")).cast(pa.int64()),
                     pa.array(counts, pa.int64()),
                     pa.array([n > limit for n in counts], pa.bool_()),
                 ],
