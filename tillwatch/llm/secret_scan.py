@@ -19,14 +19,19 @@ from tillwatch.llm.common import staged, text_or_empty
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
+# The same, looked for where only they can start, and at once as long as a finding must be: both are runs
+# that end with their alphabet, so a run that is too short holds no longer one.
+ASSIGN_AT = rf"(?=[PpSsTtAa]){ASSIGN}"
+LONG_ACCESS = r"AKIA[A-Z0-9]{12,}"
+LONG_HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "[A-Za-z0-9+/_.=-]"
 TOKEN = rf"(?<!{ALPHABET}){ALPHABET}{{16,}}"
 CODES = 128
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS = 2000
 """Documents whose strings train the two models: those with the smallest hash of their id."""
-MIN_RATIO = 12.0
+MIN_RATIO = 6.0
 """Log-likelihood ratio, in nats, from which a token counts as random."""
 
 
@@ -57,8 +62,8 @@ def spans(text: Column, pattern: str, kind: str, least: int, value_group: int =
     """
 
     def placed(found: Column) -> Column:
-        between = F.split(text, pattern, -1)
-        sizes = F.transform(found, lambda m, i: F.length(F.get(between, i)) + F.length(m))
+        def of_sizes(between: Column) -> Column:
+            return F.transform(found, lambda m, i: F.length(F.get(between, i)) + F.length(m))
 
         def of_stops(stops: Column) -> Column:
             values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else found
@@ -73,22 +78,18 @@ def spans(text: Column, pattern: str, kind: str, least: int, value_group: int =
             )
             return F.filter(every, lambda x: F.length(x["value"]) >= least)
 
+        sizes = let(F.split(text, pattern, -1), of_sizes)
         return F.when(F.size(found) == 0, no_spans()).otherwise(let(let(sizes, running_sum), of_stops))
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
-def long_runs(text: Column, run: str, kind: str, least: int, probe: str) -> Column:
-    """Spans of a pattern whose matches are whole runs; texts without a long run skip the work."""
-    return F.when(text.rlike(probe), spans(text, run, kind, least)).otherwise(no_spans())
-
-
 def base_spans(text: Column) -> Column:
     """Spans of the fixed patterns, kind after kind."""
     return F.concat(
-        spans(text, ASSIGN, "assign", 8, value_group=2),
-        long_runs(text, ACCESS, "access", 16, r"AKIA[A-Z0-9]{12}"),
-        long_runs(text, HEX, "hex", 32, r"[0-9a-f]{32}"),
+        spans(text, ASSIGN_AT, "assign", 8, value_group=2),
+        spans(text, LONG_ACCESS, "access", 16),
+        spans(text, LONG_HEX, "hex", 32),
     )
 
 
@@ -104,9 +105,8 @@ def labelled_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     an ordinary identifier.
     """
     rest = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(F.col("t"), ASSIGN, " "), r"AKIA[A-Z0-9]{12,}", " "),
-        r"[0-9a-f]{32,}", " ",
-    )
+        F.regexp_replace(F.regexp_replace(F.col("t"), ASSIGN_AT, " "), LONG_ACCESS, " "), LONG_HEX, " "
+    )
     ordinary = F.regexp_extract_all(rest, F.lit(rf"(?<!{ALPHABET}){ALPHABET}{{6,}}"), F.lit(0))
     texts = docs.select(text_or_empty(text_col).alias("t"))
     both = texts.select(
@@ -178,7 +178,7 @@ def all_spans(text: Column, table: Column, min_ratio: float = MIN_RATIO) -> Colu
     """Base spans, and tokens that the models call random and no base span touches."""
 
     def with_base(base: Column) -> Column:
-        tokens = F.when(text.rlike(TOKEN), spans(text, TOKEN, "markov", 16)).otherwise(no_spans())
+        tokens = spans(text, TOKEN, "markov", 16)
         extra = F.filter(
             tokens,
             lambda t: (log_ratio(t["value"], table) >= min_ratio)
@@ -258,3 +258,14 @@ def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
 
     runs = F.aggregate(found, F.array().cast("array<struct<start:int,stop:int>>"), merged)
     return F.when(F.size(found) == 0, text).otherwise(let(runs, rebuilt))
+
+
+def without_secrets(
+    docs: DataFrame, table: list[float] | None = None, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]"
+) -> DataFrame:
+    """``docs`` with every secret of the texts replaced by ``mark``; a null text becomes empty."""
+    if table is None:
+        table = train(labelled_strings(sample_of(docs, id_col), text_col))
+    text = text_or_empty(text_col)
+    clean = let(all_spans(text, table_literal(table)), lambda found: redacted(text, found, mark))
+    return docs.withColumn(text_col, clean)
