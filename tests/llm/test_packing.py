@@ -1,0 +1,98 @@
+"""Best-fit packing: nothing lost, nothing over, and choices equal to a plain version."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tillwatch.llm import packing
+from tillwatch.llm.queries import QUERIES
+
+
+def plain(lengths, capacities, opening_cost):
+    """The same rules by exhaustive search over all bins."""
+    bins = []  # [room, filled]
+    places = []
+    for i, length in enumerate(lengths):
+        fits = [(b[0], -n) for n, b in enumerate(bins) if b[0] >= length]
+        if fits:
+            room = min(r for r, _ in fits)
+            candidates = [n for n, b in enumerate(bins) if b[0] == room]
+            number = max(candidates, key=lambda n: bins[n][2])
+        else:
+            rest, open_room = lengths[i + 1 :], sum(b[0] for b in bins)
+            best = None
+            for c in sorted(capacities):
+                if c >= length:
+                    supply = max(0, sum(x for x in rest if x <= c - length) - open_room)
+                    cost = (opening_cost + c) / min(c, length + supply)
+                    if best is None or cost < best[0]:
+                        best = (cost, c)
+            bins.append([best[1], 0, 0])
+            number = len(bins) - 1
+        places.append((number, bins[number][1]))
+        bins[number][0] -= length
+        bins[number][1] += length
+        bins[number][2] = i + 1
+    final = [min(c for c in capacities if c >= b[1]) for b in bins]
+    return places, final
+
+
+def test_best_fit_equals_the_plain_version():
+    rng = random.Random(5)
+    for case in range(40):
+        capacities = [8, 16, 32, 64] if case % 2 else [10, 100]
+        lengths = sorted((rng.randrange(1, max(capacities) + 1) for _ in range(rng.randrange(1, 120))), reverse=True)
+        bins, offsets, final = packing.best_fit(np.array(lengths), capacities, 3.0)
+        places, expected = plain(lengths, capacities, 3.0)
+        assert list(zip(bins.tolist(), offsets.tolist(), strict=True)) == places
+        assert final.tolist() == expected
+
+
+def check_whole(rows, lengths, capacities):
+    by_doc, by_bin = {}, {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        if r["bin_id"] is not None:
+            by_bin.setdefault(r["bin_id"], []).append(r)
+    for key, total in lengths.items():
+        assert sum(r["n_tokens"] for r in by_doc[key]) == total
+    for pieces in by_bin.values():
+        pieces.sort(key=lambda r: r["bin_offset"])
+        at = 0
+        for r in pieces:
+            assert r["bin_offset"] == at
+            at += r["n_tokens"]
+        assert {r["capacity"] for r in pieces} == {min(c for c in capacities if c >= at)}
+
+
+def test_rows_of_every_kind(spark, docs_of):
+    docs = docs_of((1, None), (2, ""), (3, "x" * 100_000), (4, "y"), (5, "z" * 8192 * 4), (None, "abc"), (6, "q" * 8192 * 8))
+    docs = docs.withColumns({"n": F.lit("clash"), "piece": F.lit("clash"), "bin_id": F.lit("clash")})
+    rows = packing.pack(docs).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    check_whole(rows, {k: -(-len(t) // 4) for k, t in texts.items()}, packing.CAPACITIES)
+    assert {r["doc_id"] for r in rows if r["bin_id"] is None} == {1, 2}
+    assert sorted(r["piece_start"] for r in rows if r["doc_id"] == 6) == [0, 8192]
+    twice = docs_of((1, "a" * 50), (1, "a" * 50))
+    assert len(packing.pack(twice).collect()) == 2
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_the_same_however_the_table_is_stored(spark, docs_of):
+    rng = random.Random(6)
+    rows = [(i, "x" * rng.randrange(1, 9000)) for i in range(500)]
+    one = packing.pack(docs_of(*rows, partitions=1), shard_pieces=60)
+    many = packing.pack(docs_of(*rows, partitions=7), shard_pieces=60)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    check_whole(one.collect(), {i: -(-len(t) // 4) for i, t in rows}, packing.CAPACITIES)
+
+
+def test_registered_query(spark, sf_dir):
+    rows = QUERIES["op6_best_fit_packing"](spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    check_whole(rows, {r["doc_id"]: -(-len((r["text"] or "").encode()) // 4) for r in docs}, packing.CAPACITIES)
+    bins = {r["bin_id"]: r["capacity"] for r in rows if r["bin_id"] is not None}
+    assert sum(r["n_tokens"] for r in rows) / sum(bins.values()) > 0.9

@@ -206,7 +206,7 @@ def judged(measured: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataF
             score.replace("n_", "_m.n_").replace("word_chars", "_m.word_chars")
         )
         kept = kept & F.coalesce(value <= F.col(f"cut_{rule}"), F.lit(True))
-    return joined.withColumn("kept", kept).select(*measured.columns, "kept")
+    return joined.select(*(F.col(c) for c in measured.columns), kept.alias("kept"))
 
 
 def good_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -235,3 +235,16 @@ def quality_report(
     measured = staged(with_measures(slim).drop("text"), "quality-measures")
     cuts = cutoffs(measured, good_ids(labels, id_col), "_stratum", "_id")
     return judged(measured, cuts, "_stratum").select(F.col("_id").alias(id_col), "_m.*", "kept")
+
+
+def kept_documents(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang"
+) -> DataFrame:
+    """Rows of ``docs`` that the rules keep, with all their columns but one named ``_m`` or ``_s``.
+
+    Cases are those of :func:`quality_report`.
+    """
+    columns = [c for c in docs.columns if c not in ("_m", "_s")]
+    measured = staged(with_measures(docs.select(*columns), text_col), "quality-documents")
+    cuts = cutoffs(measured, good_ids(labels, id_col), stratum, id_col)
+    return judged(measured, cuts, stratum).where("kept").select(*columns)

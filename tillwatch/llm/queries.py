@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import chat, packing, quality_rules, secret_scan, warc
+from tillwatch.llm import chat, embeddings, minhash, packing, quality_rules, secret_scan, suffix_dedup, warc
 from tillwatch.llm.bpe_codec import decode_ids, encode_texts
 from tillwatch.llm.common import table
 from tillwatch.llm.token_counts import count_tokens
@@ -16,6 +16,10 @@ CONTROL_TEXT = r"\### Assistant: </turn> ok"
 """Both texts of conversation -7."""
 
 
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,6 +27,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        F.col("_n_bytes").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest).select(
@@ -30,6 +44,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=0.85)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -83,8 +101,11 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_neardup": op1_embedding_neardup,
     "op2_token_counts": op2_token_counts,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_warc": op4_warc,
+    "op5_minhash_neardup": op5_minhash_neardup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
