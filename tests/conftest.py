@@ -21,10 +21,12 @@ TX_ROWS = [
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    """With a shared folder set, as on a cluster."""
     from tillwatch.session import local_session
 
-    return local_session(8)
+    shared = tmp_path_factory.mktemp("shared")
+    return local_session(8, **{"spark.checkpoint.dir": f"file://{shared}", "spark.ui.showConsoleProgress": "false"})
 
 
 @pytest.fixture(scope="session")
