@@ -28,6 +28,61 @@ def test_codes_by_frequency_then_name(spark):
     assert codes(ft.type_indexer().fit(df)) == {"A": 0.0, "B": 1.0, "C": 2.0, "D": 3.0}
 
 
+def test_types_outside_the_domain_do_not_reach_the_indexer(spark):
+    from tillwatch.schema import TX_TYPES
+
+    dirty = [(f"junk{i}",) for i in range(500)] + [(None,)] + [(t,) for t in TX_TYPES]
+    df = spark.createDataFrame(dirty, "type string")
+    assert set(codes(ft.type_indexer().fit(ft.known_types(df)))) == set(TX_TYPES)
+    assert ft.unknown_types(df).first().n_rows == 501
+
+
+def test_forest_does_not_depend_on_the_layout(spark, sample, tmp_path):
+    """The same rows, in one file or many and in any order, grow the same trees."""
+    trees = []
+    for number, frame in enumerate((sample.coalesce(1), sample.orderBy("amount").repartition(16))):
+        frame.write.parquet(f"{tmp_path}/{number}")
+        model = models.train(spark.read.parquet(f"{tmp_path}/{number}"), "rf")
+        trees.append(model.stages[-1].toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1]
+
+
+CORES = """
+import sys
+from tillwatch.session import local_session
+from tillwatch.operators import models
+spark = local_session(int(sys.argv[1]))
+print("trees", hash(models.train(spark.read.parquet(sys.argv[2]), "rf").stages[-1].toDebugString.split(chr(10), 1)[1]))
+"""
+
+
+def test_forest_does_not_depend_on_the_cores(spark, sample, tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    sample.write.parquet(f"{tmp_path}/rows")
+    env = os.environ | {"PYTHONPATH": ROOT, "PYTHONHASHSEED": "0"}
+    out = [
+        subprocess.run(
+            [sys.executable, "-c", CORES, cores, f"{tmp_path}/rows"], env=env, capture_output=True, text=True, timeout=300
+        ).stdout.split("trees ")[1]
+        for cores in ("2", "4")
+    ]
+    assert out[0] == out[1]
+
+
+def test_rows_without_a_label(spark, sample):
+    some = sample.withColumn("isFraud", F.when(F.col("tx_id") % 7 != 0, F.col("isFraud")))
+    with pytest.raises(Exception, match="[Nn]ull|NULL"):
+        models.train(some, "lr")
+    model = models.train(some, "lr", null_policy="skip")
+    assert model.stages[-1].numClasses == 2
+    assert models.train(some, "lr", compat_label=True).stages[-1].numClasses == 3
+
+
 def test_unseen_and_null_types_get_the_next_code(spark):
     df = spark.createDataFrame([("A",), ("A",), ("B",)], "type string")
     new = spark.createDataFrame([("B",), ("X",), (None,)], "type string")
@@ -136,7 +191,8 @@ def test_empty_subset_scores_to_no_rows(spark, sf_dir, sample):
 def test_saved_model_scores_alike(spark, sf_dir, sample):
     model = shared.fitted(spark, sf_dir, "rf")
     path = shared_path(spark, "model")
-    models.save(model, path)
+    models.save(model, path, "skip")
+    assert models.load_policy(path) == "skip"
     again = models.score(models.load(path), sample).select("tx_id", "prediction")
     assert rows(again) == rows(models.score(model, sample).select("tx_id", "prediction"))
 
@@ -189,7 +245,9 @@ def test_metrics_equal_mllib(spark):
 
 
 def test_all_zero_predictor_on_the_published_counts(spark):
-    """The yardstick for rare fraud: predicting no fraud at all already scores 0.998."""
+    """The published row counts.
+
+    The yardstick for rare fraud: predicting no fraud at all already scores 0.998."""
     confusion = spark.createDataFrame(
         [(0.0, 0.0, 6_362_620 - 8_213), (1.0, 0.0, 8_213)], "label double, prediction double, n long"
     )

@@ -88,6 +88,63 @@ def test_null_amounts_need_a_policy(spark, sf_dir):
     assert outcome.reports["row count"].first().n_rows == n
 
 
+def test_rows_without_a_label(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tillwatch.sources import csv, tables
+
+    raw = tables.raw_transactions(spark, sf_dir)
+    path = shared_path(spark, "null-labels")
+    cells = {c: F.col(c) for c in program.TX_COLUMNS}
+    cells["isFraud"] = F.when(F.col("tx_id") % 10 != 0, F.col("isFraud"))
+    csv.write_lines(raw, list(cells.values()), path)
+    with program.run(spark, path, "lr", null_policy="skip") as outcome:
+        missing = raw.count() // 10
+        assert outcome.reports["unlabelled rows"].first().n_rows == missing
+        by_type = outcome.reports["types by fraud"]
+        assert by_type.agg(F.sum("n_null")).first()[0] == missing
+    with program.run(spark, path, "lr", compat_label=True) as outcome:
+        assert outcome.model.stages[-1].numClasses == 3
+
+
+def test_staged_tables_have_an_end(spark, csv_path):
+    from tillwatch.sources import staging
+
+    with program.run(spark, csv_path, "lr") as outcome:
+        paths = list(outcome.staged)
+        assert len(paths) == 4 and all(staging.is_folder(spark, p) for p in paths)
+    for path in paths:
+        with pytest.raises(Exception, match="does not exist|FileNotFound"):
+            staging.is_folder(spark, path)
+
+
+def test_watch_writes_rows_as_they_came(spark, csv_path, outcome, sf_dir):
+    from tillwatch.streaming import runs
+
+    out = shared_path(spark, "watch-nulls")
+    runs.finish(program.watch(spark, csv_path, outcome.model, out))
+    good = program.standardise(program.csv.good_rows(program.csv.read_raw(spark, csv_path)))
+    nulls = good.filter("oldbalanceDest IS NULL").count()
+    assert nulls > 0
+    assert spark.read.parquet(f"{out}/scored").filter("oldbalanceDest IS NULL").count() == nulls
+
+
+def test_changed_tables_are_seen(spark, sf_dir, tmp_path):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    for table in shared.SOURCES:
+        shutil.copy(f"{sf_dir}/{table}.parquet", f"{tmp_path}/{table}.parquet")
+    folder = str(tmp_path)
+    before = shared.staged_transactions(spark, folder).count()
+    assert shared.staged_transactions(spark, folder).count() == before
+    orders = pq.read_table(f"{sf_dir}/orders.parquet")
+    pq.write_table(orders.slice(0, before // 2), f"{tmp_path}/orders.parquet")
+    spark.catalog.clearCache()
+    assert shared.staged_transactions(spark, folder).count() == before // 2
+
+
 def test_command_line(spark, csv_path, capsys, tmp_path):
     out = shared_path(spark, "cli")
     cli.main(["batch", csv_path, "--classifier", "lr", "--out", out, "--rows", "3"])

@@ -55,6 +55,14 @@ def test_schema_report(tx):
     report = quality.schema_report(standardise(tx)).orderBy("ordinal").collect()
     assert [r.column_name for r in report] == tx.columns
     assert report[2].data_type == "decimal(12,2)" and report[2].n_null == 0
+    assert all(r.nullable for r in report)
+
+
+def test_schema_report_tells_declared_nullability(spark):
+    from tillwatch.sources.literals import manual_rows
+
+    report = {r.column_name: r.nullable for r in quality.schema_report(manual_rows(spark)).collect()}
+    assert not report["amount"] and report["type"]
 
 
 def test_preview_is_ordered(tx):
@@ -85,9 +93,20 @@ def test_profile_of_no_rows(tx):
 
 def test_pivot_leaves_missing_pairs_null(tx):
     assert rows(profile.count_by_type(tx, "isFraud")) == [
-        ("CASH_OUT", None, 1),
-        ("PAYMENT", 3, None),
-        ("TRANSFER", None, 1),
+        ("CASH_OUT", None, 1, None, None),
+        ("PAYMENT", 3, None, None, None),
+        ("TRANSFER", None, 1, None, None),
+    ]
+
+
+def test_pivot_loses_no_row(spark):
+    df = spark.createDataFrame(
+        [("A", 0), ("A", None), ("A", 7), ("A", -1), ("B", None), (None, 1)], "type string, isFraud int"
+    )
+    assert rows(profile.count_by_type(df, "isFraud")) == [
+        ("A", 1, None, 2, 1),
+        ("B", None, None, None, 1),
+        (None, None, 1, None, None),
     ]
 
 

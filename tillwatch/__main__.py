@@ -29,12 +29,12 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--model", required=True)
     stream.add_argument("--out", required=True)
     stream.add_argument("--every", help="processing interval, such as '1 minute'; else run once")
-    stream.add_argument("--timeout", type=int, default=3600, help="seconds, when run once")
+    stream.add_argument("--timeout", type=int, help="seconds, when run once; none by default")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tillwatch").getOrCreate()
     if args.command == "batch":
-        outcome = program.run(
+        with program.run(
             spark,
             args.csv,
             args.classifier,
@@ -42,15 +42,19 @@ def main(argv: list[str] | None = None) -> None:
             compat_label=args.compat_label,
             refit_index=args.refit_index,
             seeded_split=args.seeded_split,
-        )
-        for name, report in outcome.reports.items():
-            print(name)
-            report.show(args.rows, truncate=False)
-        if args.out:
-            program.save_reports(outcome, args.out)
+        ) as outcome:
+            if args.out:
+                program.save_reports(outcome, args.out)
+            for name, report in outcome.reports.items():
+                # What was written is shown, not made a second time.
+                shown = spark.read.parquet(program.report_path(args.out, name)) if args.out else report
+                print(name)
+                shown.show(args.rows, truncate=False)
         return
     trigger = {"processingTime": args.every} if args.every else {}
-    query = program.watch(spark, args.csv_folder, models.load(args.model), args.out, **trigger)
+    policy = models.load_policy(args.model)
+    model = models.load(args.model)
+    query = program.watch(spark, args.csv_folder, model, args.out, policy, **trigger)
     if args.every:
         query.awaitTermination()
     else:

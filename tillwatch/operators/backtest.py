@@ -18,7 +18,6 @@ def backtest(
     keys: Sequence[str] = SCORE_COLUMNS,
     label: str = "isFraud",
     prediction: str = "prediction",
-    classes: int = 3,
     rule: Column | None = None,
     few_scored: bool = False,
 ) -> DataFrame:
@@ -26,7 +25,7 @@ def backtest(
 
     Rows with a NULL key match nothing; a key seen with both labels yields both rows. Equal rows
     would multiply in the join and collapse again afterwards, so each side is first reduced to
-    one row per key, with its class numbers (below ``classes``) packed into an integer. The
+    one row per key, with the set of its labels or predictions, whatever they are. The
     reduction combines in each task before the shuffle, so a key that holds a third of all rows
     costs one row per task; and both sides leave it partitioned by the join keys, so neither the
     join nor the final distinct rows need another shuffle. Where ``scored`` was selected by a rule
@@ -36,17 +35,17 @@ def backtest(
     """
     if rule is not None:
         truth = truth.filter(rule)
-    right = _one_row_per_key(_align(scored, truth, keys), keys, [prediction], classes)
+    right = _one_row_per_key(_align(scored, truth, keys), keys, [prediction])
     if few_scored:
         truth = truth.join(right.select(*keys), list(keys), "left_semi")
-    left = _one_row_per_key(truth, keys, [label], classes).alias("t")
+    left = _one_row_per_key(truth, keys, [label]).alias("t")
     right = right.alias("s")
     same = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     matched = left.join(right, same).select(
-        *[F.col(f"t.{k}") for k in keys], f"{label}_bits", f"{prediction}_bits"
+        *[F.col(f"t.{k}") for k in keys], f"{label}_set", f"{prediction}_set"
     )
-    for column, side in ((prediction, scored), (label, truth)):
-        matched = _unpack(matched, column, side.schema[column].dataType, classes)
+    for column in (prediction, label):
+        matched = _unpack(matched, column)
     return matched
 
 
@@ -55,7 +54,6 @@ def backtest_labelled(
     keys: Sequence[str] = SCORE_COLUMNS,
     label: str = "isFraud",
     prediction: str = "prediction",
-    classes: int = 3,
 ) -> DataFrame:
     """The same result without a join, for scored rows that still carry their true label.
 
@@ -63,9 +61,9 @@ def backtest_labelled(
     that can match (see ``matchable``): then the rows that share a key are the same on both sides,
     and one aggregation in place of two and a join reads the truth once.
     """
-    per_key = _one_row_per_key(matchable(scored, keys), keys, (label, prediction), classes)
+    per_key = _one_row_per_key(matchable(scored, keys), keys, (label, prediction))
     for column in (prediction, label):
-        per_key = _unpack(per_key, column, scored.schema[column].dataType, classes)
+        per_key = _unpack(per_key, column)
     return per_key
 
 
@@ -74,38 +72,19 @@ def matchable(df: DataFrame, keys: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
     return df.filter(complete(keys))
 
 
-def _one_row_per_key(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], classes: int
-) -> DataFrame:
-    bits = [F.bit_or(_class_bit(c, classes)).alias(f"{c}_bits") for c in columns]
-    return df.groupBy(*keys).agg(*bits)
-
-
-def _bit(position: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1), position)
+def _one_row_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Each key once, with its distinct values of each column, NULL among them.
 
-
-def _class_bit(column: str, classes: int) -> Column:
-    """Bit of a class number; the bit above the classes stands for NULL."""
-    value = F.col(column)
-    number = value.try_cast("int")
-    valid = (number == value) & number.between(0, classes - 1)
-    problem = F.concat(F.lit(f"{column} is no class number: "), value.cast("string"))
-    return (
-        F.when(value.isNull(), F.lit(1 << classes))
-        .when(valid, _bit(number))
-        .otherwise(F.raise_error(problem).cast("int"))
-    )
+    The values combine in each task before the shuffle. A structure around a value keeps its NULL.
+    """
+    sets = [F.collect_set(F.struct(F.col(c).alias("value"))).alias(f"{c}_set") for c in columns]
+    return df.groupBy(*keys).agg(*sets)
 
 
-def _unpack(df: DataFrame, column: str, dtype: T.DataType, classes: int) -> DataFrame:
-    """One row per class in the bits."""
-    positions = F.explode(F.array(*[F.lit(p) for p in range(classes + 1)]))
-    present = df.withColumn("position", positions).filter(
-        F.col(f"{column}_bits").bitwiseAND(_bit(F.col("position"))) != 0
-    )
-    value = F.when(F.col("position") < classes, F.col("position")).cast(dtype)
-    return present.withColumn(column, value).drop("position", f"{column}_bits")
+def _unpack(df: DataFrame, column: str) -> DataFrame:
+    """One row per value of the set."""
+    each = df.withColumn(f"{column}_set", F.explode(f"{column}_set"))
+    return each.withColumn(column, F.col(f"{column}_set.value")).drop(f"{column}_set")
 
 
 def _align(scored: DataFrame, truth: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -129,9 +108,18 @@ def _scale(dtype: T.DataType) -> float:
 
 
 def backtest_by_id(
-    truth: DataFrame, scored: DataFrame, key: str = "tx_id", label: str = "isFraud"
+    truth: DataFrame,
+    scored: DataFrame,
+    key: str = "tx_id",
+    label: str = "isFraud",
+    rule: Column | None = None,
 ) -> DataFrame:
-    """Every scored row with its true label, rows with NULL values and equal rows included."""
+    """Every scored row with its true label, rows with NULL values and equal rows included.
+
+    Where ``scored`` was selected by a rule, give it: no other truth can match, so none is shuffled.
+    """
+    if rule is not None:
+        truth = truth.filter(rule)
     return scored.join(truth.select(key, label), key)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.functions.hashing import hash_percent
 from tillwatch.operators.quality import fill_balances
-from tillwatch.schema import FEATURE_COLUMNS, TRAIN_PERCENT
+from tillwatch.schema import FEATURE_COLUMNS, TRAIN_PERCENT, TX_TYPES
 
 NULL_POLICIES = ("fill", "skip", "error")
 
@@ -24,6 +24,20 @@ def type_indexer() -> StringIndexer:
     return StringIndexer(inputCol="type", outputCol="type_label", handleInvalid="keep")
 
 
+def known_types(df: DataFrame) -> DataFrame:
+    """Rows whose type is one of the domain.
+
+    An indexer takes every distinct type it is fit on to the driver, so dirty text must not reach it;
+    a type outside the domain is scored like one never seen.
+    """
+    return df.filter(F.col("type").isin(*TX_TYPES))
+
+
+def unknown_types(df: DataFrame) -> DataFrame:
+    """Number of rows whose type is missing or outside the domain."""
+    return df.agg(F.count_if(F.coalesce(~F.col("type").isin(*TX_TYPES), F.lit(True))).alias("n_rows"))
+
+
 def label_indexer() -> StringIndexer:
     """Compatible label: keeps a third class for labels never seen in training."""
     return StringIndexer(inputCol="isFraud", outputCol="label", handleInvalid="keep")
@@ -57,7 +71,7 @@ def apply_null_policy(df: DataFrame, policy: str) -> DataFrame:
 
 def fit_features(df: DataFrame, null_policy: str = "fill") -> PipelineModel:
     """Fit the type codes once; the result serves training and scoring alike."""
-    return Pipeline(stages=[type_indexer(), assembler(null_policy)]).fit(df)
+    return Pipeline(stages=[type_indexer().fit(known_types(df)), assembler(null_policy)]).fit(df)
 
 
 def feature_columns(featured: DataFrame, *keep: str) -> DataFrame:
@@ -74,8 +88,8 @@ def index_skew(train: DataFrame, scoring: DataFrame) -> DataFrame:
     Where the two differ, a model scores the rows under another type's code. Rows are counted
     before the codes are looked up, so only one row per type is coded.
     """
-    fitted = type_indexer().fit(train)
-    refit = type_indexer().setOutputCol("refit_code").fit(scoring)
+    fitted = type_indexer().fit(known_types(train))
+    refit = type_indexer().setOutputCol("refit_code").fit(known_types(scoring))
     types = scoring.groupBy("type").agg(F.count("*").alias("n_rows"))
     coded = refit.transform(fitted.setOutputCol("train_code").transform(types))
     return coded.select("type", "train_code", "refit_code", "n_rows")

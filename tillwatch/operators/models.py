@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwatch.operators.features import (
     apply_null_policy,
     assembler,
+    known_types,
     label_indexer,
     type_indexer,
     with_label,
@@ -30,6 +31,9 @@ def random_forest(**params) -> RandomForestClassifier:
     )
 
 
+FOREST_PARTITIONS = 32
+"""Of the training rows of a forest; more of them for more rows, at the price of another forest."""
+
 CLASSIFIERS = {"lr": logistic_regression, "rf": random_forest}
 
 
@@ -39,17 +43,23 @@ def train(
     null_policy: str = "fill",
     compat_label: bool = False,
     codes_from: DataFrame | None = None,
+    partitions: int = FOREST_PARTITIONS,
     **params,
 ) -> PipelineModel:
     """Fit type codes and a classifier on labelled rows.
 
     ``df`` is scanned several times, so hand over a staged table; Spark keeps its own encoded
-    copy for the iterations. For a forest, a table of few files is spread over all cores. ``codes_from`` takes the type codes from a larger frame than the
-    training rows. With ``compat_label`` the label indexer adds its third class. ``params`` go to
-    the classifier, ``weightCol`` for rare fraud among them.
+    copy for the iterations. ``codes_from`` takes the type codes from a larger frame than the
+    training rows. Rows without a label stop the training unless the policy is ``skip``, which leaves
+    them out. With ``compat_label`` the label indexer adds its third class, and rows without a label
+    belong to it. For a forest the rows are dealt over ``partitions`` by their id and ordered there,
+    since its samples depend on both: the same rows give the same forest on any cluster and from any
+    files. ``params`` go to the classifier, ``weightCol`` for rare fraud among them.
     """
-    rows = apply_null_policy(_spread(df) if classifier == "rf" else df, null_policy)
-    coder = type_indexer() if codes_from is None else type_indexer().fit(codes_from)
+    rows = apply_null_policy(_dealt(df, partitions) if classifier == "rf" else df, null_policy)
+    if null_policy == "skip" and not compat_label:
+        rows = rows.filter("isFraud IS NOT NULL")
+    coder = type_indexer().fit(known_types(df if codes_from is None else codes_from))
     stages = [coder, assembler(null_policy), CLASSIFIERS[classifier](**params)]
     if compat_label:
         stages.insert(1, label_indexer())
@@ -58,10 +68,10 @@ def train(
     return Pipeline(stages=stages).fit(rows)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Growing trees is bound by the cores, so use them all; large tables have partitions enough."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def _dealt(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows by the hash of their id, or of all columns where they have none, in a fixed order."""
+    keys = ["tx_id"] if "tx_id" in df.columns else df.columns
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def score(
@@ -74,7 +84,7 @@ def score(
     """
     rows = apply_null_policy(df, null_policy)
     if refit_index:
-        model = PipelineModel([type_indexer().fit(rows), *model.stages[1:]])
+        model = PipelineModel([type_indexer().fit(known_types(rows)), *model.stages[1:]])
     if "isFraud" in rows.columns and "label" not in rows.columns and not _indexes_label(model):
         rows = with_label(rows)
     return model.transform(rows)
@@ -87,14 +97,26 @@ def _indexes_label(model: PipelineModel) -> bool:
     )
 
 
-def save(model: PipelineModel, path: str) -> None:
+POLICY_FOLDER = "null_policy"
+
+
+def save(model: PipelineModel, path: str, null_policy: str = "fill") -> None:
+    """Write the model, and beside its stages the policy for NULLs that it was trained under."""
     model.write().save(path)
+    spark = SparkSession.active()
+    policy = spark.createDataFrame([(null_policy,)], "value string")
+    policy.coalesce(1).write.text(f"{path}/{POLICY_FOLDER}")
 
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_policy(path: str) -> str:
+    """The null policy of a saved model."""
+    return SparkSession.active().read.text(f"{path}/{POLICY_FOLDER}").first().value
+
+
 def _class_probabilities() -> Column:
     return vector_to_array(F.col("probability"))
 

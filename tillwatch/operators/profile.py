@@ -81,14 +81,18 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, places: int = 4
 def count_by_type(df: DataFrame, flag: str) -> DataFrame:
     """Rows per type and value of a 0/1 flag; a pair that never occurs stays NULL.
 
-    The values are given, so Spark needs no extra job to discover them.
+    Rows without a value and rows with another one have columns of their own, so the counts of a type
+    add up to its rows. The columns are given, so Spark needs no extra job to discover them.
     """
-    return (
-        df.groupBy("type")
-        .pivot(flag, [0, 1])
-        .count()
-        .withColumnsRenamed({"0": "n_0", "1": "n_1"})
-    )
+    value = F.col(flag)
+    cases = {
+        "n_0": value == 0,
+        "n_1": value == 1,
+        "n_other": ~value.isin(0, 1),
+        "n_null": value.isNull(),
+    }
+    counts = [F.nullif(F.count_if(case), F.lit(0)).alias(name) for name, case in cases.items()]
+    return df.groupBy("type").agg(*counts)
 
 
 def large_transaction_counts(df: DataFrame, threshold: float = LARGE_TRANSFER) -> DataFrame:

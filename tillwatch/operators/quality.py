@@ -55,7 +55,7 @@ def presence_flag(df: DataFrame, column: str) -> DataFrame:
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """Position, name, type and observed NULL count of every column, in one pass."""
+    """Position, name, type, declared nullability and observed NULL count of every column, in one pass."""
     fields = list(df.schema)
     counts = df.agg(
         F.count("*").alias("n_rows"), *[F.count(F.col(f.name)).alias(f"present_{f.name}") for f in fields]
@@ -65,6 +65,7 @@ def schema_report(df: DataFrame) -> DataFrame:
             F.lit(i).alias("ordinal"),
             F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(f.nullable).alias("nullable"),
             (F.col("n_rows") - F.col(f"present_{f.name}")).alias("n_null"),
         )
         for i, f in enumerate(fields, start=1)

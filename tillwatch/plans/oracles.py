@@ -138,7 +138,7 @@ def _schema_report() -> str:
     types |= {name: "decimal(12,2)" for name in MONEY_NAMES}
     return _with(TX) + "\nUNION ALL ".join(
         f"""SELECT CAST({i} AS INTEGER) AS ordinal, '{name}' AS column_name,
-            '{types[name]}' AS data_type, count(*) FILTER ("{name}" IS NULL) AS n_null FROM tx"""
+            '{types[name]}' AS data_type, true AS nullable, count(*) FILTER ("{name}" IS NULL) AS n_null FROM tx"""
         for i, name in enumerate(("tx_id", *TX_NAMES), start=1)
     )
 
@@ -250,6 +250,35 @@ metrics AS (
 )
 """
 
+ODD = """
+odd AS (
+  SELECT * REPLACE (CAST(CASE WHEN tx_id % 61 = 5 THEN NULL WHEN tx_id % 67 = 5 THEN 3
+                         ELSE "isFraud" END AS INTEGER) AS "isFraud") FROM tx
+)
+"""
+
+
+def _by_type(flag: str, source: str) -> str:
+    return f"""SELECT "type", nullif(count(*) FILTER ({flag} = 0), 0) AS n_0,
+       nullif(count(*) FILTER ({flag} = 1), 0) AS n_1,
+       nullif(count(*) FILTER ({flag} NOT IN (0, 1)), 0) AS n_other,
+       nullif(count(*) FILTER ({flag} IS NULL), 0) AS n_null FROM {source} GROUP BY "type" """
+
+
+def _evaluation(more: str) -> str:
+    """A figure depends on the model, that it equals the one of another evaluator does not."""
+    flags = ", ".join(f'CAST(1 AS INTEGER) AS "{n}_ok"' for n in ("precision", "recall", "f1"))
+    return f"""SELECT CAST("isFraud" AS DOUBLE) AS class, count(*) AS n_actual, {flags}{more}
+               FROM tx WHERE NOT ({IN_TRAIN}) GROUP BY 1"""
+
+
+def _checked_backtest(rule: str) -> str:
+    """A prediction is a function of the keys, so distinct keys and label are exact."""
+    whole = " AND ".join(f'"{n}" IS NOT NULL' for n in SCORE_NAMES)
+    return f"""SELECT DISTINCT {SCORE}, "isFraud", CAST(1 AS INTEGER) AS is_class,
+               CAST(1 AS INTEGER) AS same_alone FROM tx WHERE ({rule}) AND {whole}"""
+
+
 CHECKED = "CAST(1 AS INTEGER) AS probability_ok, CAST(1 AS INTEGER) AS prediction_ok"
 HOLDOUT = (
     _with(TX)
@@ -372,14 +401,20 @@ ORACLES: dict[str, str] = {
         _with(TX, SCORED.format(rule=BOTH_TYPES), _codes("codes", "scored"), CODED),
     ),
     "type_by_fraud": _with(TX)
-    + """SELECT "type", nullif(count(*) FILTER ("isFraud" = 0), 0) AS n_0,
-                nullif(count(*) FILTER ("isFraud" = 1), 0) AS n_1 FROM tx GROUP BY "type" """,
+    + _by_type('"isFraud"', "tx"),
+    "type_by_odd_label": _with(TX, ODD) + _by_type('"isFraud"', "odd"),
     "type_by_flag": _with(TX)
-    + """SELECT "type", nullif(count(*) FILTER ("isFlaggedFraud" = 0), 0) AS n_0,
-                nullif(count(*) FILTER ("isFlaggedFraud" = 1), 0) AS n_1 FROM tx GROUP BY "type" """,
+    + _by_type('"isFlaggedFraud"', "tx"),
     # back-test joins
     "backtest_join": _with(TX, SCORED.format(rule=LARGE_SUBSET))
     + _backtest(SCORE_NAMES, "tx", "scored"),
+    "backtest_odd_labels": _with(
+        TX,
+        ODD,
+        SCORED.format(rule=BOTH_TYPES),
+        "gaps AS (SELECT * REPLACE (CASE WHEN tx_id % 59 <> 0 THEN prediction END AS prediction) FROM scored)",
+    )
+    + _backtest(SCORE_NAMES, "odd", "gaps"),
     "backtest_labelled": _with(TX, SCORED.format(rule=LARGE_SUBSET))
     + _backtest(SCORE_NAMES, "tx", "scored"),
     "backtest_join_duplicates": _with(TX, COPIES)
@@ -421,7 +456,9 @@ ORACLES: dict[str, str] = {
     + ' WHERE "oldbalanceDest" IS NOT NULL AND "newbalanceDest" IS NOT NULL',
     "hash_split": _with(TX)
     + f"SELECT tx_id, CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM tx",
-    "random_split": _with(TX) + "SELECT tx_id FROM tx",
+    "random_split": _with(TX)
+    + """SELECT count(*) AS n_rows, CAST(1 AS INTEGER) AS disjoint, CAST(1 AS INTEGER) AS repeatable,
+                CAST(1 AS INTEGER) AS share_ok FROM tx""",
     # evaluation
     "confusion_matrix": _with(TX, METRICS)
     + "SELECT label, prediction, count(*) AS n FROM p GROUP BY 1, 2",
@@ -447,6 +484,13 @@ ORACLES: dict[str, str] = {
                  CAST("newbalanceDest" AS DECIMAL(12,2)) AS "newbalanceDest", {CHECKED} FROM filled
           UNION ALL
           SELECT {MANUAL_MONEY}, {CHECKED} FROM manual""",
+    "lr_evaluation": _with(TX) + _evaluation(", CAST(1 AS INTEGER) AS probability_ok"),
+    "rf_evaluation": _with(TX) + _evaluation(""),
+    "backtest_lr": _with(TX) + _checked_backtest(LARGE_SUBSET),
+    "backtest_rf": _with(TX) + _checked_backtest(BOTH_TYPES),
+    "predicted_fraud_rf": _with(TX)
+    + """SELECT CAST(count(*) > 0 AS INTEGER) AS all_positives, CAST(count(*) > 0 AS INTEGER) AS only_positives
+         FROM tx""",
     # streams, against the batch result
     "stream_ingest": GOOD_ROWS,
     "stream_score": _with(EVENTS) + f'SELECT tx_id, "type", amount, {CHECKED} FROM ev',
@@ -458,5 +502,5 @@ ORACLES: dict[str, str] = {
     + f"""SELECT strftime(TIMESTAMP '2024-01-01' + to_hours(step - 1), '%Y-%m-%d %H:%M:%S') AS window_start,
                  "type", count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS total_amount
           FROM tx WHERE NOT {SPOILED} GROUP BY ALL""",
-    "stream_dedup": _with(EVENTS) + 'SELECT tx_id, "type", amount FROM ev',
+    "stream_dedup": _with(EVENTS) + f'SELECT tx_id, "type", amount, {CHECKED} FROM ev',
 }

@@ -22,7 +22,7 @@ from tillwatch.operators import features as ft
 from tillwatch.operators import models, profile, quality, subsets
 from tillwatch.operators.standardise import standardise
 from tillwatch.schema import MONEY_COLUMNS, SCORE_COLUMNS, SEED, TX_COLUMNS
-from tillwatch.session import shared_path
+from tillwatch.session import child_session, shared_path
 from tillwatch.sources import csv, literals, staging
 from tillwatch.streaming import operators as st
 from tillwatch.streaming import runs
@@ -33,6 +33,7 @@ class Ingested:
     good: DataFrame
     rejects: DataFrame
     missing_raw: DataFrame
+    path: str
 
 
 def ingest(spark: SparkSession, csv_path: str) -> Ingested:
@@ -47,7 +48,7 @@ def ingest(spark: SparkSession, csv_path: str) -> Ingested:
         counts[f"null_{c}"] = F.count_if(F.col(c).isNull())
         counts[f"blank_{c}"] = F.count_if(is_blank(F.col(c)))
     seen = Observation("raw money")
-    session = spark.newSession()
+    session = child_session(spark)
     session.conf.set("spark.sql.maxConcurrentOutputFileWriters", 2)
     raw = csv.read_raw(session, csv_path)
     observed = raw.observe(seen, *[v.alias(k) for k, v in counts.items()])
@@ -63,15 +64,32 @@ def ingest(spark: SparkSession, csv_path: str) -> Ingested:
         missing_raw=spark.createDataFrame(
             missing, "column_name string, n_null bigint, n_blank bigint"
         ),
+        path=path,
     )
 
 
 @dataclass
 class Outcome:
-    """Reports by name, in the order the program makes them, and the trained model."""
+    """Reports by name, in the order the program makes them, and the trained model.
+
+    Reports read tables that the run staged; ``close``, or the end of a ``with``, removes those.
+    """
 
     model: PipelineModel
     reports: dict[str, DataFrame] = field(default_factory=dict)
+    null_policy: str = "fill"
+    staged: list[str] = field(default_factory=list)
+
+    def close(self) -> None:
+        spark = SparkSession.active()
+        while self.staged:
+            staging.remove(spark, self.staged.pop())
+
+    def __enter__(self) -> Outcome:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
 
 def default_rule(classifier: str) -> Column:
@@ -93,20 +111,28 @@ def run(
 ) -> Outcome:
     """Ingest, check, profile, train, evaluate, score the subset, back-test, score by hand.
 
-    Rows without an amount or a sender's balance stop the training unless the policy is ``skip``;
-    the report of incomplete rows tells how many rows a policy concerns.
+    Rows without an amount, a sender's balance or a label stop the training unless the policy is
+    ``skip``; the reports of incomplete and unlabelled rows tell how many a policy concerns.
     The last three options repeat choices of the original programs: a third label class, type
     codes refit on the scoring rows, and a seeded random split.
     """
     rows = ingest(spark, csv_path)
+    staged = [rows.path]
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        staged.append(shared_path(spark, name))
+        staging.write_table(df, staged[-1])
+        return staging.read_table(df, staged[-1])
+
     # Decimals and the split are made once; every report and the training read them from here.
-    marked = staging.stage(ft.with_part(standardise(rows.good)), "standardised")
+    marked = stage(ft.with_part(standardise(rows.good)), "standardised")
     tx = marked.drop("part")
     train, test = ft.random_split(tx, SEED) if seeded_split else ft.parts(marked)
     model = models.train(train, classifier, null_policy, compat_label, codes_from=tx)
-    scored_test = models.score(model, test, null_policy)
+    # What has no label cannot be evaluated.
+    scored_test = models.score(model, test.filter("isFraud IS NOT NULL"), null_policy)
     # A handful of rows that three reports start from.
-    confusion = staging.stage(ev.confusion_matrix(scored_test), "confusion")
+    confusion = stage(ev.confusion_matrix(scored_test), "confusion")
     metrics = ev.class_metrics(confusion)
 
     rule = default_rule(classifier) if rule is None else rule
@@ -116,7 +142,7 @@ def run(
         *SCORE_COLUMNS, "type_label", "prediction", "isFraud", "complete"
     )
     # Scored rows are read four times; as a table the model runs over them once.
-    scored = staging.stage(scored, "scored")
+    scored = stage(scored, "scored")
     truth_and_prediction = standardise(bt.backtest_labelled(scored.filter("complete")))
     by_hand = models.score(model, literals.manual_rows(spark), null_policy, refit_index)
     return Outcome(
@@ -129,6 +155,8 @@ def run(
             "profile raw": profile.profile(rows.good),
             "missing typed": quality.missing_counts(tx),
             "incomplete rows": profile.count_where(tx, ~quality.complete()),
+            "unlabelled rows": profile.count_where(tx, F.col("isFraud").isNull()),
+            "unknown types": ft.unknown_types(tx),
             "profile decimal": profile.profile(tx),
             "large transactions": profile.large_transaction_counts(tx),
             "types by fraud": profile.count_by_type(tx, "isFraud"),
@@ -146,28 +174,38 @@ def run(
             "by hand": by_hand.select(*SCORE_COLUMNS, "prediction"),
             "by hand back-test": bt.backtest(tx, by_hand, few_scored=True),
         },
+        null_policy,
+        staged,
     )
 
 
 def watch(
-    spark: SparkSession, csv_folder: str, model: PipelineModel, out: str, **trigger
+    spark: SparkSession,
+    csv_folder: str,
+    model: PipelineModel,
+    out: str,
+    null_policy: str = "fill",
+    **trigger,
 ) -> StreamingQuery:
     """Score arriving CSV files, raise alerts on large transfers, and keep the rejects.
 
     Each batch of files is read once and written below ``out``, a folder all executors share, to
-    ``scored``, ``alerts``, ``rejects``, and ``unscored`` for rows without an amount or a sender's
-    balance, which must not stop the stream. A batch that is repeated after a failure replaces its
+    ``scored``, ``alerts``, ``rejects``, and ``unscored`` for rows that lack what scoring needs under
+    the model's ``null_policy``, which must not stop the stream. Rows are written as they came: what
+    is filled in for scoring stays out of the output. A batch that is repeated after a failure replaces its
     own folders, and a restart under the same ``out`` goes on where the last run stopped.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = csv.split_once(batch).persist(StorageLevel.MEMORY_AND_DISK)
         good = standardise(rows.filter(~F.col("rejected")).select(*TX_COLUMNS))
-        filled = quality.fill_balances(good)
+        given = good.withColumn("given", F.struct(*TX_COLUMNS))
+        filled = ft.apply_null_policy(given, null_policy)
         scorable = quality.complete()
+        scored = st.score_stream(filled.filter(scorable), model, null_policy)
         written = {
-            "scored": st.score_stream(filled.filter(scorable), model).select(*TX_COLUMNS, "prediction"),
-            "unscored": filled.filter(~scorable),
+            "scored": scored.select("given.*", "prediction"),
+            "unscored": filled.filter(~scorable).select("given.*"),
             "alerts": st.alert_stream(good),
             "rejects": rows.filter("rejected").select(csv.REASON, "raw_line"),
         }
@@ -184,5 +222,9 @@ def watch(
 def save_reports(outcome: Outcome, path: str) -> None:
     """Write every report as parquet, and the model."""
     for name, report in outcome.reports.items():
-        report.write.mode("errorifexists").parquet(f"{path}/{name.replace(' ', '_')}")
-    models.save(outcome.model, f"{path}/model")
+        report.write.mode("errorifexists").parquet(report_path(path, name))
+    models.save(outcome.model, f"{path}/model", outcome.null_policy)
+
+
+def report_path(path: str, name: str) -> str:
+    return f"{path}/{name.replace(' ', '_')}"

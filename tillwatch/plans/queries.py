@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,23 +201,23 @@ def row_count(spark, sf_dir):
 
 @query
 def profile_raw(spark, sf_dir):
-    return pf.profile(tables.raw_transactions(spark, sf_dir), TX_COLUMNS)
+    return pf.profile(shared.staged_raw(spark, sf_dir), TX_COLUMNS)
 
 
 @query
 def profile_decimal(spark, sf_dir):
-    return pf.profile(tables.transactions(spark, sf_dir), TX_COLUMNS)
+    return pf.profile(shared.staged_transactions(spark, sf_dir), TX_COLUMNS)
 
 
 @query
 def profile_model_columns(spark, sf_dir):
-    return pf.profile(tables.transactions(spark, sf_dir), MODEL_COLUMNS)
+    return pf.profile(shared.staged_transactions(spark, sf_dir), MODEL_COLUMNS)
 
 
 def _coded_scores(spark, sf_dir):
     """Scored rows with type codes fit on themselves."""
     scored = _rule_scored(spark, sf_dir, rules.transfer_or_cash_out())
-    coded = ft.type_indexer().fit(scored).transform(scored)
+    coded = ft.type_indexer().fit(ft.known_types(scored)).transform(scored)
     return coded.select("amount", "type", "type_label", *BALANCE_COLUMNS, "prediction")
 
 
@@ -240,12 +241,18 @@ def type_by_flag(spark, sf_dir):
     return pf.count_by_type(tables.transactions(spark, sf_dir), "isFlaggedFraud")
 
 
+@query
+def type_by_odd_label(spark, sf_dir):
+    """Rows without a label and with another one than 0 and 1 are counted too."""
+    return pf.count_by_type(tables.with_odd_labels(tables.transactions(spark, sf_dir)), "isFraud")
+
+
 # --- back-test joins on a rule's prediction, which SQL can repeat
 
 
 def _rule_scored(spark, sf_dir, rule, *keep):
     """Scoring rows with the flag standing in for a model's prediction."""
-    tx = tables.transactions(spark, sf_dir)
+    tx = shared.staged_transactions(spark, sf_dir)
     subset = subsets.score_subset(tx, rule, "tx_id", "isFlaggedFraud", *keep)
     return subset.withColumn("prediction", F.col("isFlaggedFraud").cast("double")).drop(
         "isFlaggedFraud"
@@ -256,7 +263,17 @@ def _rule_scored(spark, sf_dir, rule, *keep):
 def backtest_join(spark, sf_dir):
     rule = rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD)
     scored = _rule_scored(spark, sf_dir, rule)
-    return bt.backtest(tables.transactions(spark, sf_dir), scored, rule=rule)
+    return bt.backtest(shared.staged_transactions(spark, sf_dir), scored, rule=rule)
+
+
+@query
+def backtest_odd_labels(spark, sf_dir):
+    """Missing and odd labels on one side, missing predictions on the other."""
+    rule = rules.transfer_or_cash_out()
+    truth = tables.with_odd_labels(shared.staged_transactions(spark, sf_dir))
+    scored = _rule_scored(spark, sf_dir, rule)
+    scored = scored.withColumn("prediction", F.when(F.col("tx_id") % 59 != 0, F.col("prediction")))
+    return bt.backtest(truth, scored, rule=rule)
 
 
 @query
@@ -267,40 +284,41 @@ def backtest_labelled(spark, sf_dir):
 
 @query
 def backtest_join_duplicates(spark, sf_dir):
-    tx = tables.with_copies(tables.transactions(spark, sf_dir))
+    tx = tables.with_copies(shared.staged_transactions(spark, sf_dir))
     scored = tx.withColumn("prediction", F.col("isFlaggedFraud").cast("double"))
     return bt.backtest(tx, scored, ("type", "amount", "oldbalanceDest"))
 
 
 @query
 def backtest_by_id(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir)
-    scored = _rule_scored(spark, sf_dir, rules.transfer_or_cash_out())
-    return bt.backtest_by_id(tx, scored)
+    rule = rules.transfer_or_cash_out()
+    scored = _rule_scored(spark, sf_dir, rule)
+    return bt.backtest_by_id(shared.staged_transactions(spark, sf_dir), scored, rule=rule)
 
 
 @query
 def predicted_fraud(spark, sf_dir):
     rule = rules.transfer_or_cash_out()
     scored = _rule_scored(spark, sf_dir, rule)
-    return bt.predicted_fraud(bt.backtest(tables.transactions(spark, sf_dir), scored, rule=rule))
+    truth = shared.staged_transactions(spark, sf_dir)
+    return bt.predicted_fraud(bt.backtest(truth, scored, rule=rule))
 
 
 @query
 def manual_backtest(spark, sf_dir):
-    """Integer-typed rows against decimal truth.
+    """Integer-typed rows against decimal truth. All of them are transfers or cash-outs.
 
     The hand-written rows, and the flagged transactions as someone would type them in: without
     cents. The truth is cut to whole units as well, so that rows can match.
     """
     whole = {c: F.floor(F.col(c)) for c in MONEY_COLUMNS}
-    tx = tables.transactions(spark, sf_dir)
+    tx = shared.staged_transactions(spark, sf_dir)
     truth = standardise(tx.withColumns(whole))
     integers = [F.col(c) if c == "type" else F.col(c).cast("int") for c in SCORE_COLUMNS]
     typed_in = truth.filter("isFlaggedFraud = 1").select(*integers)
     manual = literals.manual_rows(spark).select(*SCORE_COLUMNS)
     scored = manual.union(typed_in).withColumn("prediction", F.lit(1.0))
-    return bt.backtest(truth, scored)
+    return bt.backtest(truth, scored, rule=rules.transfer_or_cash_out())
 
 
 # --- features
@@ -308,25 +326,25 @@ def manual_backtest(spark, sf_dir):
 
 @query
 def type_index(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir).select("tx_id", "type")
-    return ft.type_indexer().fit(tx).transform(tx)
+    tx = shared.staged_transactions(spark, sf_dir).select("tx_id", "type")
+    return ft.type_indexer().fit(ft.known_types(tx)).transform(tx)
 
 
 @query
 def type_index_unseen(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir).select("tx_id", "type")
-    return ft.type_indexer().fit(tx).transform(tables.with_unseen_type(tx))
+    tx = tables.with_unseen_type(shared.staged_transactions(spark, sf_dir).select("tx_id", "type"))
+    return ft.type_indexer().fit(ft.known_types(tx)).transform(tx)
 
 
 @query
 def label_index(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir).select("tx_id", "isFraud")
+    tx = shared.staged_transactions(spark, sf_dir).select("tx_id", "isFraud")
     return ft.label_indexer().fit(tx).transform(tx)
 
 
 @query
 def type_index_skew(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir)
+    tx = shared.staged_transactions(spark, sf_dir)
     return ft.index_skew(tx, tx.filter(rules.transfer_or_cash_out()))
 
 
@@ -334,20 +352,21 @@ def type_index_skew(spark, sf_dir):
 def manual_type_index(spark, sf_dir):
     """Hand-written rows under the training codes and under codes refit on themselves."""
     manual = literals.manual_rows(spark)
-    fitted = ft.type_indexer().fit(tables.transactions(spark, sf_dir)).setOutputCol("train_code")
+    rows = ft.known_types(shared.staged_transactions(spark, sf_dir))
+    fitted = ft.type_indexer().fit(rows).setOutputCol("train_code")
     refit = ft.type_indexer().setOutputCol("refit_code").fit(manual)
     return refit.transform(fitted.transform(manual))
 
 
 @query
 def features(spark, sf_dir):
-    tx = ft.apply_null_policy(tables.transactions(spark, sf_dir), "fill")
+    tx = ft.apply_null_policy(shared.staged_transactions(spark, sf_dir), "fill")
     return ft.feature_columns(ft.fit_features(tx).transform(tx), "tx_id")
 
 
 @query
 def features_skip_nulls(spark, sf_dir):
-    tx = tables.transactions(spark, sf_dir)
+    tx = shared.staged_transactions(spark, sf_dir)
     return ft.feature_columns(ft.fit_features(tx, "skip").transform(tx), "tx_id")
 
 
@@ -358,9 +377,23 @@ def hash_split(spark, sf_dir):
 
 @query
 def random_split(spark, sf_dir):
-    """Both parts of the seeded split together: no row is lost or doubled."""
-    train, test = ft.random_split(tables.transactions(spark, sf_dir).select("tx_id"), SEED)
-    return train.union(test)
+    """The seeded split: its parts are disjoint, whole, of the share asked for, and come out again."""
+    ids = shared.staged_transactions(spark, sf_dir).select("tx_id")
+    marked = []
+    for _ in range(2):
+        train, test = ft.random_split(ids, SEED)
+        part = train.withColumn("part", F.lit("train"))
+        marked.append(part.union(test.withColumn("part", F.lit("test"))))
+    once, again = marked
+    found = once.groupBy("tx_id").agg(F.count("*").alias("n"), F.min("part").alias("part"))
+    both = found.join(again.withColumnRenamed("part", "again"), "tx_id")
+    share = F.avg((F.col("part") == "train").cast("int"))
+    return both.agg(
+        F.count("*").alias("n_rows"),
+        (F.max("n") == 1).cast("int").alias("disjoint"),
+        F.min((F.col("part") == F.col("again")).cast("int")).alias("repeatable"),
+        share.between(0.65, 0.75).cast("int").alias("share_ok"),
+    )
 
 
 # --- evaluation of the rule's prediction
@@ -468,41 +501,99 @@ def manual_scoring(spark, sf_dir):
     return _checked(models.score(shared.fitted(spark, sf_dir, "rf"), rows), *SCORE_COLUMNS)
 
 
+def _evaluation(scored):
+    """Rows per class, and whether each figure is the one of MLlib's evaluator.
+
+    Only classes that occur as labels, for those depend on no learned value.
+    """
+    metrics = ev.class_metrics(ev.confusion_matrix(scored)).filter("n_actual > 0")
+    names = {"precision": "precisionByLabel", "recall": "recallByLabel", "f1": "fMeasureByLabel"}
+    flags = []
+    for name, there in names.items():
+        expected = F.lit(None)
+        for label in (0.0, 1.0):
+            evaluator = MulticlassClassificationEvaluator(metricLabel=label, metricName=there)
+            found = F.lit(evaluator.evaluate(scored))
+            expected = F.when(F.col("class") == label, found).otherwise(expected)
+        flags.append((F.abs(F.col(name) - expected) < 1e-9).cast("int").alias(f"{name}_ok"))
+    return metrics.select("class", "n_actual", *flags)
+
+
 @query
 def lr_evaluation(spark, sf_dir):
-    return ev.class_metrics(ev.confusion_matrix(_holdout_scored(spark, sf_dir, "lr")))
+    """With a check that probabilities are those of the fitted coefficients."""
+    scored = shared.scored_holdout(spark, sf_dir, "lr")
+    model = shared.fitted(spark, sf_dir, "lr").stages[-1]
+    values = vector_to_array(F.col("features"))
+    margin = F.lit(float(model.intercept))
+    for i, weight in enumerate(model.coefficients.toArray().tolist()):
+        margin = margin + values[i] * F.lit(weight)
+    off = F.abs(vector_to_array(F.col("probability"))[1] - 1 / (1 + F.exp(-margin)))
+    checked = scored.groupBy(F.col("label").alias("class")).agg(
+        (F.max(off) < 1e-9).cast("int").alias("probability_ok")
+    )
+    return _evaluation(scored).join(checked, "class")
 
 
 @query
 def rf_evaluation(spark, sf_dir):
-    return ev.class_metrics(ev.confusion_matrix(_holdout_scored(spark, sf_dir, "rf")))
+    return _evaluation(shared.scored_holdout(spark, sf_dir, "rf"))
+
+
+def _checked_backtest(spark, sf_dir, classifier, rule):
+    """Back-test rows, and whether their prediction is a class and that of the row scored alone."""
+    rows = _backtest(spark, sf_dir, classifier, rule)
+    model = shared.fitted(spark, sf_dir, classifier)
+    given = rows.withColumnRenamed("prediction", "found").drop("isFraud")
+    again = models.score(model, given.distinct()).select(*SCORE_COLUMNS, "found", "prediction")
+    same = [F.col(f"r.{c}") == F.col(f"a.{c}") for c in SCORE_COLUMNS]
+    both = rows.alias("r").join(again.alias("a"), [*same, F.col("r.prediction") == F.col("a.found")])
+    return both.select(
+        *[F.col(f"r.{c}") for c in SCORE_COLUMNS],
+        "r.isFraud",
+        F.col("r.prediction").isin(0.0, 1.0).cast("int").alias("is_class"),
+        (F.col("r.prediction") == F.col("a.prediction")).cast("int").alias("same_alone"),
+    )
 
 
 @query
 def backtest_lr(spark, sf_dir):
-    return _backtest(spark, sf_dir, "lr", rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD))
+    rule = rules.transfer_or_large_cash_out(CASH_OUT_THRESHOLD)
+    return _checked_backtest(spark, sf_dir, "lr", rule)
 
 
 @query
 def backtest_rf(spark, sf_dir):
-    return _backtest(spark, sf_dir, "rf", rules.transfer_or_cash_out())
+    return _checked_backtest(spark, sf_dir, "rf", rules.transfer_or_cash_out())
 
 
 @query
 def predicted_fraud_rf(spark, sf_dir):
-    return bt.predicted_fraud(backtest_rf(spark, sf_dir))
+    """Whether the predicted frauds are exactly the positives of the back-test."""
+    rows = staging.stage(_backtest(spark, sf_dir, "rf", rules.transfer_or_cash_out()), "backtest")
+    found = bt.predicted_fraud(rows)
+    counts = found.agg(
+        F.count("*").alias("n_found"), F.count_if(F.col("prediction") != 1).alias("n_wrong")
+    )
+    n_positive = rows.agg(F.count_if(F.col("prediction") == 1)).first()[0]
+    return counts.select(
+        (F.col("n_found") == n_positive).cast("int").alias("all_positives"),
+        (F.col("n_wrong") == 0).cast("int").alias("only_positives"),
+    )
 
 
 # --- streams
 
 
-def _event_stream(spark, sf_dir):
-    return tables.event_transactions(tables.read_event_stream(runs.stream_session(spark), sf_dir))
+def _event_stream(spark, sf_dir, repeated=False):
+    """The events as a stream of several batches."""
+    folder = shared.dealt_events(spark, sf_dir, repeated=repeated)
+    return tables.event_transactions(tables.read_event_files(runs.stream_session(spark), folder, 2))
 
 
 @query
 def stream_ingest(spark, sf_dir):
-    raw = csv.read_raw_stream(runs.stream_session(spark), shared.dirty_csv(spark, sf_dir))
+    raw = csv.read_raw_stream(runs.stream_session(spark), shared.dirty_csv(spark, sf_dir), 2)
     return runs.append_available(spark, csv.good_rows(raw), "ingest")
 
 
@@ -541,17 +632,15 @@ def stream_totals_by_window(spark, sf_dir):
 @query
 def stream_step_totals(spark, sf_dir):
     """Files of transactions as a stream whose event time comes from the hour number."""
-    raw = csv.read_raw_stream(runs.stream_session(spark), shared.dirty_csv(spark, sf_dir))
+    raw = csv.read_raw_stream(runs.stream_session(spark), shared.dirty_csv(spark, sf_dir), 1)
     tx = st.with_event_time(standardise(csv.good_rows(raw).select("step", "type", *MONEY_COLUMNS)))
     return _windowed(spark, tx, "steps")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every 10th event arrives twice; each id leaves once."""
-    arrivals = F.explode(
-        F.when(F.col("tx_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    )
-    events = _event_stream(spark, sf_dir).withColumn("arrival", arrivals).drop("arrival")
-    unique = st.first_seen(events).select("tx_id", "type", "amount")
-    return runs.append_available(spark, unique, "dedup")
+    """Every 10th event arrives again in a later batch; each id leaves once and is then scored."""
+    lateness = tables.event_span(tables.read_events(spark, sf_dir))
+    unique = st.first_seen(_event_stream(spark, sf_dir, repeated=True), lateness=lateness)
+    scored = st.score_stream(unique, shared.fitted(spark, sf_dir, "rf"))
+    return runs.append_available(spark, _checked(scored, "tx_id", "type", "amount"), "dedup")

@@ -1,6 +1,6 @@
 """Work that several queries of one session share: staged rows, the CSV copy, fitted models.
 
-Each is made once per session and table folder.
+Each is made once per session and table folder, and anew when a table it is made from has changed.
 """
 
 from __future__ import annotations
@@ -11,19 +11,23 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.operators.features import parts, with_part
-from tillwatch.operators.models import train
+from tillwatch.operators.models import score, train
 from tillwatch.session import shared_path
-from tillwatch.sources.staging import stage
-from tillwatch.sources.tables import raw_transactions, transactions, write_dirty_csv
+from tillwatch.sources.staging import stage, version
+from tillwatch.sources.tables import raw_transactions, read_events, transactions, write_dirty_csv
 
-_made: dict[tuple, object] = {}
+_made: dict[tuple, tuple] = {}
+
+
+SOURCES = ("orders", "customer", "events")
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _made:
-        _made[key] = make()
-    return _made[key]
+    now = tuple(version(spark, f"{sf_dir}/{table}.parquet") for table in SOURCES)
+    if key not in _made or _made[key][0] != now:
+        _made[key] = (now, make())
+    return _made[key][1]
 
 
 def _marked_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +43,31 @@ def staged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _marked_transactions(spark, sf_dir).drop("part")
 
 
+def staged_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with money as it comes, written once."""
+    return _once(
+        spark, sf_dir, "raw", lambda: stage(raw_transactions(spark, sf_dir), "raw-transactions")
+    )
+
+
+def dealt_events(spark: SparkSession, sf_dir: str, files: int = 6, repeated: bool = False) -> str:
+    """Folder of the events in several files, in no order of time, so that a stream has several batches.
+
+    With ``repeated``, every 10th event comes again in a later file.
+    """
+
+    def write() -> str:
+        path = shared_path(spark, "events")
+        events = read_events(spark, sf_dir)
+        events.repartition(files, "event_id").write.parquet(path)
+        if repeated:
+            again = events.filter("event_id % 10 = 0").repartition(2, "event_id")
+            again.write.mode("append").parquet(path)
+        return path
+
+    return _once(spark, sf_dir, f"events {files} {repeated}", write)
+
+
 def dirty_csv(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the transactions as CSV files with bad rows among them."""
 
@@ -54,6 +83,17 @@ def holdout(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return parts(_marked_transactions(spark, sf_dir))
 
 
+def scored_holdout(spark: SparkSession, sf_dir: str, classifier: str) -> DataFrame:
+    """Scored test rows, written once: an evaluation reads them several times."""
+
+    def make() -> DataFrame:
+        _, test = holdout(spark, sf_dir)
+        scored = score(fitted(spark, sf_dir, classifier), test)
+        return stage(scored.select("tx_id", "label", "features", "probability", "prediction"), "holdout")
+
+    return _once(spark, sf_dir, f"holdout {classifier}", make)
+
+
 def fitted(
     spark: SparkSession, sf_dir: str, classifier: str, compat_label: bool = False
 ) -> PipelineModel:

@@ -25,6 +25,9 @@ TX_SCHEMA = T.StructType(
 
 TX_COLUMNS = tuple(TX_SCHEMA.fieldNames())
 
+# The domain of ``type``.
+TX_TYPES = ("CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER")
+
 BALANCE_COLUMNS = ("oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest")
 MONEY_COLUMNS = ("amount", *BALANCE_COLUMNS)
 

@@ -40,6 +40,15 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+def child_session(spark: SparkSession) -> SparkSession:
+    """A session of its own on the same context, with the caller's runtime settings."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new, unused path for ``name`` below the folder set in ``spark.checkpoint.dir``.
 

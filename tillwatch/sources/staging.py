@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.session import shared_path
 
@@ -31,6 +31,40 @@ def read_table(like: DataFrame, path: str) -> DataFrame:
     return like.sparkSession.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
+def _located(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it wants it."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(context._jsc.hadoopConfiguration()), hadoop
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether the path is a folder; a path that does not exist fails."""
+    system, hadoop = _located(spark, path)
+    return system.getFileStatus(hadoop).isDirectory()
+
+
+def version(spark: SparkSession, path: str) -> tuple:
+    """Changes whenever a file at or directly below the path does."""
+    system, hadoop = _located(spark, path)
+    files = system.listStatus(hadoop)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path, which need not exist."""
+    system, hadoop = _located(spark, path)
+    if not system.exists(hadoop):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(hadoop) if f.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove what was staged at a path; what is not there needs no removal."""
+    system, hadoop = _located(spark, path)
+    system.delete(hadoop, True)
+
+
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Materialise ``df`` once below the shared folder and return the written table."""
     path = shared_path(df.sparkSession, name)

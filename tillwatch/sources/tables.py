@@ -17,6 +17,7 @@ from tillwatch.functions.money import to_money
 from tillwatch.operators.standardise import standardise
 from tillwatch.schema import LARGE_TRANSFER, TX_COLUMNS
 from tillwatch.sources.csv import write_lines
+from tillwatch.sources.staging import is_folder
 
 # Order priority and event type to transaction type.
 PRIORITY_TYPES = {
@@ -149,10 +150,32 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_event_stream(
     spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1000
 ) -> DataFrame:
-    """A file stream wants a folder, so the one table in it is picked by name."""
-    return (
-        spark.readStream.schema(EVENT_SCHEMA)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(sf_dir)
-    )
+    """The event table as a stream, whether it is a folder of files or one file.
+
+    A file stream wants a folder, so a single file is picked by name from the folder it lies in. A table
+    that is not there fails, since a stream over nothing would not.
+    """
+    path = f"{sf_dir}/events.parquet"
+    if is_folder(spark, path):
+        return read_event_files(spark, path, max_files_per_trigger)
+    files = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+    return files.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def read_event_files(spark: SparkSession, folder: str, max_files_per_trigger: int) -> DataFrame:
+    files = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+    return files.parquet(folder)
+
+
+def event_span(events: DataFrame) -> str:
+    """Span of event time as a lateness that no row of the table can exceed."""
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    seconds = 0 if low is None else int((high - low).total_seconds())
+    return f"{seconds + 1} seconds"
+
+
+def with_odd_labels(tx: DataFrame) -> DataFrame:
+    """Some rows carry no label, others one that is neither 0 nor 1."""
+    key = F.col("tx_id")
+    odd = F.when(key % 61 == 5, F.lit(None)).when(key % 67 == 5, F.lit(3)).otherwise(F.col("isFraud"))
+    return tx.withColumn("isFraud", odd.cast("int"))

@@ -27,12 +27,17 @@ def alert_stream(stream: DataFrame, threshold: float = LARGE_TRANSFER) -> DataFr
 
 
 def hourly_totals(
-    stream: DataFrame, lateness: str = "2 hours", window: str = "1 hour"
+    stream: DataFrame, lateness: str | None = None, window: str = "1 hour"
 ) -> DataFrame:
-    """Rows and amount per window and type; the watermark bounds the state and drops later rows."""
+    """Rows and amount per window and type.
+
+    A live stream sets a ``lateness``: its watermark bounds the state and drops later rows. A backlog
+    must not, since its files come in any order of event time; its state is windows times types.
+    """
+    if lateness is not None:
+        stream = stream.withWatermark("event_time", lateness)
     return (
-        stream.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", window).alias("window"), "type")
+        stream.groupBy(F.window("event_time", window).alias("window"), "type")
         .agg(F.count("*").alias("n_rows"), F.sum("amount").alias("total_amount"))
         .select(
             F.col("window.start").alias("window_start"), "type", "n_rows", "total_amount"
@@ -40,18 +45,10 @@ def hourly_totals(
     )
 
 
-def first_seen(
-    stream: DataFrame, key: str = "tx_id", lateness: str = "2 hours", salts: int = 16
-) -> DataFrame:
+def first_seen(stream: DataFrame, key: str = "tx_id", lateness: str = "2 hours") -> DataFrame:
     """Drop repeated ids that arrive within the watermark; older ids leave the state.
 
-    Spark drops repeated rows only after the shuffle, so an id repeated in a third of all rows
-    would fill one task. The copies are therefore spread at random over ``salts`` groups first,
-    and at most one of each group goes on to its id's own task. Where no id is hot, ``salts=1``
-    saves that first step.
+    One stateful step, so that an id has one expiry. For a backlog the lateness must cover its span of
+    event time (``tables.event_span``), or rows count as late.
     """
-    marked = stream.withWatermark("event_time", lateness)
-    if salts > 1:
-        spread = marked.withColumn("salt", F.expr(f"cast(rand() * {salts} as int)"))
-        marked = spread.dropDuplicatesWithinWatermark([key, "salt"]).drop("salt")
-    return marked.dropDuplicatesWithinWatermark([key])
+    return stream.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark([key])

@@ -1,11 +1,12 @@
 """Runs of streams into written tables.
 
 Results go to files, never to the driver: appended rows through the transactional file sink,
-updated aggregates as one idempotent folder per batch, of which a reader takes the latest rows.
+updated aggregates as a snapshot per batch, of which the last two are kept.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,23 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillwatch.session import shared_path
+from tillwatch.session import child_session, shared_path
+from tillwatch.sources import staging
 
 # The state of keys and windows stays on disk, so it may outgrow executor memory.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session for stateful streams that leaves the caller's settings alone.
 
-    The caller's shuffle partitions become the number of state stores, fixed for the life of a
-    checkpoint. In a single JVM, more of them than cores only cost time.
+    ``state_partitions`` is the number of state stores of each stateful step, fixed for the life of a
+    checkpoint: by default the number of cores. The shuffle partitions of batch work do not count,
+    for each store has a cost of its own.
     """
-    session = spark.newSession()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    context = spark.sparkContext
-    if context.master.startswith("local"):
-        partitions = min(partitions, context.defaultParallelism)
+    session = child_session(spark)
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", partitions)
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.session.timeZone", "UTC")
@@ -63,41 +63,86 @@ def start_batches(
     )
 
 
-def start_updates(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Write each batch's changed rows below ``path``, in a folder per batch."""
+def start_updates(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], **trigger
+) -> StreamingQuery:
+    """Keep a snapshot of all aggregates below ``path``, in a folder per batch.
+
+    A batch's changed rows replace those of equal keys in the snapshot before it. A repeated batch makes
+    its snapshot anew from the same one before; older ones are removed, so that neither reading nor
+    space grows with the stream's age.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        session = batch.sparkSession
+        earlier = [n for n in _batches(session, path) if n < batch_id]
+        rows = batch
+        if earlier:
+            before = session.read.schema(batch.schema).parquet(f"{path}/batch_id={max(earlier)}")
+            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
+            rows = before.alias("o").join(batch.alias("n"), same, "left_anti").unionByName(batch)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        for number in sorted(earlier)[:-1]:
+            staging.remove(session, f"{path}/batch_id={number}")
 
     return start_batches(stream, write_batch, checkpoint, "update", **trigger)
 
 
-def finish(query: StreamingQuery, timeout: int) -> None:
-    """Wait for a run over the available data; a run that takes longer is stopped and reported."""
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream did not finish within {timeout} s")
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    names = staging.folders(spark, path)
+    return [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
+
+
+def read_updates(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """The last snapshot of :func:`start_updates`."""
+    numbers = _batches(spark, path)
+    if not numbers:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={max(numbers)}")
+
 
+def finish(query: StreamingQuery, timeout: float | None = None, may_drop: bool = True) -> None:
+    """Wait for a run over the available data.
 
-def append_available(spark: SparkSession, stream: DataFrame, name: str, timeout: int = 3600) -> DataFrame:
+    A run that takes longer than ``timeout`` seconds is stopped and reported; there is none by default.
+    Unless it ``may_drop`` rows as late, a run that did fails.
+    """
+    deadline = None if timeout is None else time.monotonic() + timeout
+    dropped: dict[int, int] = {}
+    ended = False
+    while not ended:
+        left = 5.0 if deadline is None else min(5.0, deadline - time.monotonic())
+        if left <= 0:
+            query.stop()
+            raise TimeoutError(f"stream did not finish within {timeout} s")
+        ended = query.awaitTermination(max(1, round(left)))
+        for progress in query.recentProgress:
+            late = (s.numRowsDroppedByWatermark for s in progress.stateOperators)
+            dropped[progress.batchId] = sum(late)
+    if not may_drop and sum(dropped.values()):
+        raise RuntimeError(f"{sum(dropped.values())} rows came later than the watermark and were dropped")
+
+
+def append_available(
+    spark: SparkSession, stream: DataFrame, name: str, timeout: float | None = None, may_drop: bool = False
+) -> DataFrame:
     """Run the stream over all data there is, and read its output with ``spark``."""
-    out = shared_path(spark, f"{name}-out")
-    finish(start_append(stream, out, shared_path(spark, f"{name}-checkpoint")), timeout)
+    out, checkpoint = shared_path(spark, f"{name}-out"), shared_path(spark, f"{name}-checkpoint")
+    finish(start_append(stream, out, checkpoint), timeout, may_drop)
+    staging.remove(spark, checkpoint)
     return spark.read.schema(stream.schema).parquet(out)
 
 
 def update_available(
-    spark: SparkSession, stream: DataFrame, name: str, keys: Sequence[str], timeout: int = 3600
+    spark: SparkSession,
+    stream: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    timeout: float | None = None,
+    may_drop: bool = False,
 ) -> DataFrame:
-    """The same for updated aggregates: the last written row of each key."""
-    out = shared_path(spark, f"{name}-out")
-    finish(start_updates(stream, out, shared_path(spark, f"{name}-checkpoint")), timeout)
-    schema = T.StructType([*stream.schema, T.StructField("batch_id", T.LongType())])
-    values = [c for c in stream.columns if c not in keys]
-    return (
-        spark.read.schema(schema)
-        .parquet(out)
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), "batch_id").alias("last"))
-        .select(*keys, "last.*")
-    )
+    """The same for updated aggregates: the last row of each key."""
+    out, checkpoint = shared_path(spark, f"{name}-out"), shared_path(spark, f"{name}-checkpoint")
+    finish(start_updates(stream, out, checkpoint, keys), timeout, may_drop)
+    staging.remove(spark, checkpoint)
+    return read_updates(spark, stream.schema, out)
