@@ -1,0 +1,121 @@
+"""Registered queries against their SQL, the pipeline's stages, and what the package may touch."""
+
+from __future__ import annotations
+
+import ast
+import pathlib
+
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+from tests import oracle
+from tests.conftest import ROOT
+from tests.llm.test_minhash import shingles
+from tests.llm.test_quality import base as base_measures
+from tests.llm.test_secrets import base as base_secrets
+from tests.llm.test_suffix import brute as without_strings
+from tillwatch.llm.oracles import ORACLES
+from tillwatch.llm.queries import QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, sf_dir, name):
+    assert oracle.difference(QUERIES[name](spark, sf_dir), oracle.connect(sf_dir), ORACLES[name]) is None
+
+
+def test_all_are_registered():
+    names = set(__spark_entry__.queries())
+    assert {*QUERIES, "pipeline"} <= names
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
+
+
+def test_nothing_else_imports_the_package():
+    for path in pathlib.Path(ROOT, "tillwatch").rglob("*.py"):
+        if "llm" in path.relative_to(ROOT).parts:
+            continue
+        for node in ast.walk(ast.parse(path.read_text())):
+            modules = [node.module or ""] if isinstance(node, ast.ImportFrom) else []
+            modules += [a.name for a in node.names] if isinstance(node, ast.Import) else []
+            assert not any(m.startswith("tillwatch.llm") for m in modules), path
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir):
+    """What each stage was given and returned."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        after = corpus_pipeline.staged(stage(spark, docs, sf_dir), "test-stage")
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_stages_in_order_and_columns(stages):
+    assert [name for name, _, _ in stages] == ["quality rules", "near-duplicates", "repeated passages", "secrets", "packing"]
+    for _, before, after in stages[:-1]:
+        assert after.dtypes == before.dtypes
+
+
+def texts(df):
+    return {r["doc_id"]: r["text"] for r in df.select("doc_id", "text").collect()}
+
+
+def test_each_stage_equals_plain_python(stages):
+    (_, raw, good), (_, _, single), (_, _, cut), (_, _, clean), (_, _, packed) = stages
+    before, after = texts(raw), texts(good)
+    # So few labels that no cutoff is guaranteed: the base rules decide.
+    assert set(after) == {k for k, t in before.items() if not base_measures(t)["base_failed"]}
+
+    before, after = after, texts(single)
+    sets = {k: shingles(t, 5) for k, t in before.items()}
+
+    def near(a, b):
+        common = len(sets[a] & sets[b])
+        return 1000 * common >= 800 * (len(sets[a]) + len(sets[b]) - common)
+
+    parent = {k: k for k in before}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    keys = sorted(before)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if near(a, b):
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert set(after) == {find(k) for k in keys}
+
+    before, after = after, texts(cut)
+    order = sorted(before)
+    for key, (kept, _, _) in zip(order, without_strings([before[k] for k in order]), strict=True):
+        assert after[key] == kept.decode("utf-8", "ignore")
+
+    before, after = after, texts(clean)
+    assert set(before) == set(after)
+    for key, text in before.items():
+        if not base_secrets(text):
+            assert after[key] == text
+        else:
+            assert not base_secrets(after[key].replace("[SECRET]", " "))
+
+    tokens = {}
+    for r in packed.collect():
+        tokens[r["doc_id"]] = tokens.get(r["doc_id"], 0) + r["n_tokens"]
+    assert tokens == {k: -(-len(t.encode()) // 4) for k, t in after.items()}
+
+
+def test_run_gives_what_the_stages_give(spark, sf_dir, stages):
+    ran = corpus_pipeline.run(spark, sf_dir)
+    assert sorted(map(tuple, ran.collect()), key=repr) == sorted(map(tuple, stages[-1][2].collect()), key=repr)
+
+
+def test_empty_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.count() == 0

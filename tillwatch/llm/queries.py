@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillwatch.llm import chat, embeddings, minhash, packing, quality_rules, secret_scan, suffix_dedup, warc
 from tillwatch.llm.bpe_codec import decode_ids, encode_texts
 from tillwatch.llm.common import table
+from tillwatch.llm.oracles import ORACLES
 from tillwatch.llm.token_counts import count_tokens
 
 CONTROL_TEXT = r"\### Assistant: </turn> ok"
@@ -113,4 +114,4 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
