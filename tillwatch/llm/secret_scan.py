@@ -31,7 +31,9 @@ TOKEN = rf"(?<!{ALPHABET}){ALPHABET}{{16,}}"
 CODES = 128
 SAMPLE_DOCS = 2000
 """Documents whose strings train the two models: those with the smallest hash of their id."""
-MIN_RATIO = 6.0
+BACK_OFF = 8.0
+"""Pairs that the frequency of a character counts for beside those seen."""
+MIN_RATIO = 12.0
 """Log-likelihood ratio, in nats, from which a token counts as random."""
 
 
@@ -122,7 +124,8 @@ def train(strings: DataFrame) -> list[float]:
     """Log ratio of the two models for each pair of characters, by ``first * CODES + second``.
 
     ``strings`` has ``token`` and ``random``; nulls and tokens shorter than two characters add nothing.
-    Pairs are smoothed by one half, so that an empty class is uniform. At most one row per class and
+    Pairs back off to the second character's own frequency, smoothed by one half, so that an empty class
+    is uniform. At most one row per class and
     pair of characters reaches the driver.
     """
     pairs = (
@@ -145,11 +148,16 @@ def train(strings: DataFrame) -> list[float]:
     counts = {(r["random"], r["a"], r["b"]): r["count"] for r in pairs.collect()}
     letters = [c for c in range(CODES) if chr(c).isalnum() or chr(c) in "+/_.=-"]
     table = [0.0] * (CODES * CODES)
+    alone = {}
+    for kind in (True, False):
+        often = {b: sum(counts.get((kind, a, b), 0) for a in letters) + 0.5 for b in letters}
+        total = sum(often.values())
+        alone[kind] = {b: n / total for b, n in often.items()}
     for a in letters:
         seen = {kind: sum(counts.get((kind, a, b), 0) for b in letters) for kind in (True, False)}
         for b in letters:
             chance = {
-                kind: (counts.get((kind, a, b), 0) + 0.5) / (seen[kind] + 0.5 * len(letters))
+                kind: (counts.get((kind, a, b), 0) + BACK_OFF * alone[kind][b]) / (seen[kind] + BACK_OFF)
                 for kind in (True, False)
             }
             table[a * CODES + b] = math.log(chance[True] / chance[False])
