@@ -7,6 +7,7 @@ graph needs a number of rounds that grows with the logarithm of its size.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,20 @@ MAX_ROUNDS = 60
 """Far beyond what any graph needs; reaching it fails the job."""
 
 
+def least_in_group(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Smallest row number that links lead to, for each of ``count`` rows."""
+    least = np.arange(count)
+    while len(left):
+        low = np.minimum(least[left], least[right])
+        before = least.copy()
+        np.minimum.at(least, left, low)
+        np.minimum.at(least, right, low)
+        least = least[least]
+        if (least == before).all():
+            break
+    return least
+
+
 def _least_beside(edges: DataFrame, key: str, other: str) -> DataFrame:
     """Written, so that the join with it shuffles both sides and a hot node can be split."""
     return staged(edges.groupBy(key).agg(F.min(other).alias("least")), "component-least")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import part_count, staged
-from tillwatch.llm.components import components
+from tillwatch.llm.components import components, least_in_group
 from tillwatch.llm.runs import key_runs
 
 PASSES = 12
@@ -46,20 +46,6 @@ def scaled(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def least_in_group(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Smallest row number that links lead to, for each of ``count`` rows."""
-    least = np.arange(count)
-    while len(left):
-        low = np.minimum(least[left], least[right])
-        before = least.copy()
-        np.minimum.at(least, left, low)
-        np.minimum.at(least, right, low)
-        least = least[least]
-        if (least == before).all():
-            break
-    return least
-
-
 def vector_rows(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, str]:
     """``id``, ``label``, ``dim``, ``vec`` (bytes) of each row, and the bytes' type; ``vec`` is null where the
     vector can link with nothing."""

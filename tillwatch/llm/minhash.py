@@ -5,8 +5,10 @@ pairs that overlap, the sketch of the union estimates their similarity, and exac
 
 Only the rarest values of a sketch are listed: a pair as similar as asked for shares at least t of them, so
 it must meet in the first k - t + 1 in order of rarity. Values that occur once cannot meet, and most
-documents list nothing. Documents with equal sets are one class from the start, so that copies cost one row.
-What is sought are groups: a pair that other links already join needs no check.
+documents list nothing. Of those that do, the full sets tell exactly which can still have a partner: a
+document shares with any other at most the shingles that others have at all. Documents with equal sets are
+one class from the start, so that copies cost one row. What is sought are groups: a pair that other links
+already join needs no check.
 """
 
 from __future__ import annotations
@@ -17,17 +19,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import slices, staged, text_or_empty
-from tillwatch.llm.components import components
+from tillwatch.llm.common import part_count, slices, staged, text_or_empty
+from tillwatch.llm.components import components, least_in_group
+from tillwatch.llm.runs import key_runs, release
 
 SKETCH = 64
 DEVIATIONS = 6.0
 """Standard deviations below the expected overlap of two sketches that still count as overlap."""
 BLOCK = 256
-"""Documents of a list that one cell compares with as many others."""
+"""Documents that one task compares with as many others; longer lists are cut into blocks."""
+COLUMNS = 4096
+"""Shingles of a block that are compared at once."""
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -136,25 +141,60 @@ def inverted_lists(heads: DataFrame, threshold: float) -> DataFrame:
     return staged(listed, "sketch-lists")
 
 
-def leader_pairs(lists: DataFrame) -> DataFrame:
-    """Each document of a list beside the list's leader: as many pairs as there are entries."""
+def _can_link(n1: str, c1: str, n2: str, c2: str, threshold: float) -> Column:
+    """Exact: what two sets share is at most what the less shared of them shares with anyone."""
+    most = F.least(c1, c2, n1, n2)
+    return most * 1000 >= round(threshold * 1000) * (F.col(n1) + F.col(n2) - most)
+
+
+def full_sets(docs: DataFrame, lists: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``n`` and ``shingles`` (all of them, sorted) of the listed documents."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "_text"):
+            sets = shingle_sets(part.column("_text").to_pylist(), width)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["id", "n", "shingles"],
+            )
+
+    listed = staged(lists.select("id").distinct(), "near-listed")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.encode(text_or_empty(text_col), "utf-8").alias("_text"))
+    made = texts.join(listed, "id", "left_semi").mapInArrow(make, "id long, n long, shingles array<long>")
+    return staged(made.dropDuplicates(["id"]), "near-sets")
+
+
+def linkable(sets: DataFrame, threshold: float) -> DataFrame:
+    """``id``, ``n`` and ``c``, the number of its shingles that other listed documents have as well, of
+    documents for which that number leaves a link possible."""
+    each = sets.select("id", "n", F.explode("shingles").alias("shingle"))
+    common = staged(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("shingle"), "near-common")
+    counted = each.join(common, "shingle").groupBy("id", "n").agg(F.count(F.lit(1)).alias("c"))
+    return staged(counted.where(F.col("c") * 1000 >= round(threshold * 1000) * F.col("n")), "near-linkable")
+
+
+def with_leaders(lists: DataFrame, able: DataFrame) -> DataFrame:
+    """Lists of linkable documents, with their length and their leader: one document picked by hash."""
+    kept = staged(lists.select("value", "id").join(able, "id"), "near-kept")
     leaders = staged(
-        lists.groupBy("value")
-        .agg(F.min(F.struct(F.xxhash64("value", "id").alias("h"), "id", "n")).alias("l"), F.count(F.lit(1)).alias("m"))
+        kept.groupBy("value")
+        .agg(F.min(F.struct(F.xxhash64("value", "id").alias("h"), "id", "n", "c")).alias("l"), F.count(F.lit(1)).alias("m"))
         .where("m > 1")
-        .select("value", F.col("l.id").alias("lead"), F.col("l.n").alias("lead_n")),
-        "sketch-leaders",
-    )
-    return (
-        lists.join(leaders, "value")
-        .where("id <> lead")
-        .select(
-            F.least("id", "lead").alias("a"),
-            F.greatest("id", "lead").alias("b"),
-            F.least("n", "lead_n").alias("small"),
-            F.greatest("n", "lead_n").alias("large"),
-        )
+        .select("value", "m", F.col("l.id").alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.c").alias("lead_c")),
+        "near-leaders",
     )
+    return staged(kept.join(leaders, "value"), "near-lists")
+
+
+def leader_pairs(lists: DataFrame, threshold: float) -> DataFrame:
+    """Each document of a list beside the list's leader: as many pairs as there are entries."""
+    able = _can_link("n", "c", "lead_n", "lead_c", threshold)
+    pairs = lists.where("id <> lead").where(able)
+    return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
 
 def _estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -203,68 +243,103 @@ def likely_pairs(pairs: DataFrame, heads: DataFrame, threshold: float) -> DataFr
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose full sets are as similar as asked for."""
     # The threshold in thousandths keeps the comparison in whole numbers.
     per_mille = round(threshold * 1000)
-    involved = staged(pairs.select("a").union(pairs.select("b")).distinct().toDF("id"), "near-involved")
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text"):
-            sets = [s.tobytes() for s in shingle_sets(part.column("_text").to_pylist(), width)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sets, pa.binary())], names=["id", "shingles"]
-            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for one, two in zip(batch.column("xa"), batch.column("xb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
+                x, y = (v.values.to_numpy().view(np.uint64) for v in (one, two))
                 x, y = (x, y) if len(x) <= len(y) else (y, x)
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 common = int((y[at] == x).sum())
                 keep.append(1000 * common >= per_mille * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.encode(text_or_empty(text_col), "utf-8").alias("_text"))
-    sets = staged(
-        texts.join(involved, "id", "left_semi").mapInArrow(make, "id long, shingles binary").dropDuplicates(["id"]),
-        "near-sets",
-    )
-    joined = pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
+    only = sets.select("id", "shingles")
+    joined = pairs.join(only.toDF("a", "xa"), "a").join(only.toDF("b", "xb"), "b")
     return joined.select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
-def cross_pairs(lists: DataFrame, heads: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs of a list that no links join yet.
+def list_pairs(lists: DataFrame, heads: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Likely pairs in lists of a block at most that no links join yet."""
+    floor, per_mille = estimate_floor(threshold), round(threshold * 1000)
+    short = lists.where(F.col("m") <= BLOCK).select("value", "id", "n", "c")
+    tied = short.join(groups.toDF("id", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
+    tied = staged(tied, "near-tied")
+    split = tied.groupBy("value").agg(F.min("g").alias("least"), F.max("g").alias("most")).where("least <> most").select("value")
+    rows = tied.join(staged(split, "near-split"), "value").join(heads.select("id", "sketch"), "id")
 
-    The group of a list's leader is as a rule most of a large list: its members meet only the others, and
-    the others meet everyone. Both are cut into blocks, and a cell compares one block with another.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, part in key_runs(batches, ("value",)):
+            ids, n, c, g = (part.column(x).to_numpy() for x in ("id", "n", "c", "g"))
+            i, j = np.triu_indices(len(ids), 1)
+            most = np.minimum(np.minimum(c[i], c[j]), np.minimum(n[i], n[j]))
+            able = (g[i] != g[j]) & (1000 * most >= per_mille * (n[i] + n[j] - most))
+            i, j = i[able], j[able]
+            if not len(i):
+                continue
+            sketch = _sketch_matrix(part.column("sketch"))
+            near = _estimates(sketch[i], sketch[j]) >= floor
+            one, two = ids[i[near]], ids[j[near]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["a", "b"]
+            )
+
+    count = part_count(lists.sparkSession)
+    found = rows.repartition(count, "value").sortWithinPartitions("value", "id").mapInArrow(run, "a long, b long")
+    return found.distinct()
+
+
+def _shared(sets: list[np.ndarray], rows: int) -> np.ndarray:
+    """Number of shingles that each of the first ``rows`` sets has in common with each of the others."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, often = np.unique(flat, return_inverse=True, return_counts=True)
+    kept = often[column] > 1
+    owner, column = owner[kept], np.unique(column[kept], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((rows, len(sets) - rows), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        start, stop = np.searchsorted(column, [first, first + COLUMNS])
+        there = np.zeros((len(sets), COLUMNS), np.float32)
+        there[owner[start:stop], column[start:stop] - first] = 1
+        total += there[:rows] @ there[rows:].T
+    return total.astype(np.int64)
+
+
+def crowd_links(lists: DataFrame, sets: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Links, as a forest of each cell, among documents that meet in lists longer than a block.
+
+    Such lists overlap, so the documents that they tie together are compared once, not list by list. Most
+    of them are joined by leaders already: the largest group among them meets only the others, and the
+    others meet everyone. Both are cut into blocks; a cell compares the full sets of two blocks.
     """
-    floor = estimate_floor(threshold)
-    tied = lists.join(groups.toDF("id", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
-    tied = staged(tied, "near-tied")
-    mixed_lists = (
-        tied.groupBy("value")
-        .agg(
-            F.min("g").alias("least"),
-            F.max("g").alias("most"),
-            F.min(F.struct(F.xxhash64("value", "id").alias("h"), "g")).alias("l"),
-        )
-        .where("least <> most")
-        .select("value", F.col("l.g").alias("main"))
-    )
-    marked = staged(tied.join(staged(mixed_lists, "near-mixed"), "value").withColumn("other", F.col("g") != F.col("main")), "near-marked")
+    per_mille = round(threshold * 1000)
+    long_lists = lists.where(F.col("m") > BLOCK)
+    crowds = staged(components(long_lists.select(F.col("lead").alias("a"), F.col("id").alias("b"))), "near-crowds")
+    tied = crowds.toDF("id", "crowd").join(groups.toDF("id", "g"), "id", "left")
+    tied = staged(tied.withColumn("g", F.coalesce("g", "id")), "near-crowded")
+    largest = (
+        tied.groupBy("crowd", "g").agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("crowd").agg(F.max(F.struct("size", "g")).alias("l")).select("crowd", F.col("l.g").alias("main"))
+    )
+    marked = staged(tied.join(staged(largest, "near-largest"), "crowd").withColumn("other", F.col("g") != F.col("main")), "near-marked")
     blocks = staged(
-        marked.groupBy("value").agg(
+        marked.groupBy("crowd")
+        .agg(
             F.ceil(F.count_if("other") / BLOCK).cast("int").alias("others"),
             F.ceil(F.count_if(~F.col("other")) / BLOCK).cast("int").alias("mains"),
-        ),
+        )
+        .where("others > 0"),
         "near-blocks",
     )
-    # Blocks are numbered: the others from 0, then the main group.
-    placed = marked.join(blocks, "value").withColumn(
+    # Blocks are numbered: the others from 0, then the largest group.
+    placed = marked.join(blocks, "crowd").withColumn(
         "block",
         F.when(F.col("other"), F.pmod(F.xxhash64("id"), F.col("others"))).otherwise(
             F.col("others") + F.pmod(F.xxhash64("id"), F.col("mains"))
@@ -272,31 +347,28 @@ def cross_pairs(lists: DataFrame, heads: DataFrame, groups: DataFrame, threshold
     )
     last = F.when(F.col("other"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
     cells = placed.withColumn("with", F.explode(F.sequence(F.lit(0), last))).select(
-        "value", "id", "n", "g", "block",
-        F.least("block", "with").alias("c1"), F.greatest("block", "with").alias("c2"),
-    )
-    rows = cells.join(heads.select("id", "sketch"), "id")
-
-    def compare(key: tuple, cell: pa.Table) -> pa.Table:
-        cell = cell.combine_chunks()
-        ids, n, g, block = (cell.column(c).to_numpy() for c in ("id", "n", "g", "block"))
-        sketch = _sketch_matrix(cell.column("sketch").chunk(0))
-        first, second = key[1].as_py(), key[2].as_py()
-        rows_a = np.flatnonzero(block == first)
-        rows_b = rows_a if first == second else np.flatnonzero(block == second)
-        found = []
-        for i in rows_a.tolist():
-            js = rows_b[rows_b > i] if first == second else rows_b
-            js = js[g[js] != g[i]]
-            js = js[np.minimum(n[js], n[i]) >= threshold * np.maximum(n[js], n[i]) - 1e-9]
-            if len(js):
-                x = np.broadcast_to(sketch[i], (len(js), SKETCH))
-                js = js[_estimates(x, sketch[js]) >= floor]
-                found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in js.tolist()]
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return rows.groupBy("value", "c1", "c2").applyInArrow(compare, "a long, b long").distinct()
+        "crowd", "id", "g", "block", F.least("block", "with").alias("c1"), F.greatest("block", "with").alias("c2")
+    )
+    rows = cells.join(sets, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, first, second), cell in key_runs(batches, ("crowd", "c1", "c2")):
+            ids, g, n, block = (cell.column(x).to_numpy() for x in ("id", "g", "n", "block"))
+            one, two = np.flatnonzero(block == first), np.flatnonzero(block == second)
+            every = [v.values.to_numpy() for v in cell.column("shingles")]
+            common = _shared([every[i] for i in one] + [every[i] for i in two], len(one))
+            near = 1000 * common >= per_mille * (n[one][:, None] + n[two][None] - common)
+            near &= g[one][:, None] != g[two][None]
+            i, j = np.nonzero(near)
+            least = least_in_group(len(ids), one[i], two[j])
+            tied_rows = np.flatnonzero(least != np.arange(len(ids)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[least[tied_rows]]), pa.array(ids[tied_rows])], names=["a", "b"]
+            )
+
+    keys = ["crowd", "c1", "c2"]
+    count = part_count(lists.sparkSession)
+    return rows.repartition(count, *keys).sortWithinPartitions(*keys, "id").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(
@@ -318,14 +390,16 @@ def near_duplicates(
         .dropDuplicates(["id"]),
         "near-heads",
     )
-    lists = inverted_lists(heads, threshold)
-    led = leader_pairs(lists).where(f"small >= {threshold!r} * large - 1e-9").select("a", "b").distinct()
-    likely = staged(likely_pairs(led, heads, threshold), "near-led")
-    links = staged(confirmed(likely, docs, width, threshold, id_col, text_col), "near-links")
+    listed = inverted_lists(heads, threshold)
+    sets = full_sets(docs, listed, width, id_col, text_col)
+    release(docs.sparkSession)
+    lists = with_leaders(listed, linkable(sets, threshold))
+    likely = staged(likely_pairs(leader_pairs(lists, threshold), heads, threshold), "near-led")
+    links = staged(confirmed(likely, sets, threshold), "near-links")
     groups = staged(components(links), "near-groups")
-    crossing = staged(cross_pairs(lists, heads, groups, threshold), "near-crossing")
-    more = confirmed(crossing, docs, width, threshold, id_col, text_col)
-    groups = components(links.unionAll(more))
+    crossing = staged(list_pairs(lists, heads, groups, threshold), "near-crossing")
+    crowded = crowd_links(lists, sets, groups, threshold)
+    groups = components(links.unionAll(confirmed(crossing, sets, threshold)).unionAll(crowded))
     groups = staged(groups.toDF("head", "component"), "near-groups")
     heads_of = classes.join(groups, "head", "left").select(
         "digest", F.coalesce("component", "head").alias("component_id")
