@@ -95,10 +95,26 @@ def test_long_texts_are_cut_into_pieces(spark, docs_of, monkeypatch):
     check(docs_of(*docs), docs)
 
 
+def test_pieces_hold_each_string_once():
+    rng = random.Random(7)
+    text = bytes(rng.choice(b"abc") for _ in range(3000))
+    whole = dict.fromkeys(range(len(text) - 199))
+    for most in (300, 512, 10_000):
+        seen = []
+        for numbers, firsts, pieces in S.text_pieces([b"short", text], 200, most):
+            piece, grams, first, last = S.chosen_grams(pieces, 200)
+            for p, g, a, b in zip(piece.tolist(), grams.tolist(), first.tolist(), last.tolist(), strict=True):
+                assert numbers[p] == 1
+                seen += [(firsts[p] + i, g) for i in range(a, b + 1)]
+        assert sorted(i for i, _ in seen) == list(whole)
+        whole = whole if most > 300 and whole[0] is not None else dict(seen)
+        assert dict(seen) == whole  # the gram of a string does not depend on the cuts
+
+
 def test_shard_search():
     rng = random.Random(6)
     stretches = [bytes(rng.choice(b"ab") for _ in range(220)) for _ in range(30)]
-    shard = S.Shard(stretches[:20], [False] * 20, 200)
+    shard = S.Shard(stretches[:20], 200)
     queries = np.stack([np.frombuffer(s[7:207], np.uint8) for s in stretches])
     assert shard.holds(queries).tolist() == [True] * 20 + [False] * 10
 

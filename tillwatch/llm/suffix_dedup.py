@@ -30,7 +30,7 @@ from tillwatch.llm.runs import key_runs, release
 
 LENGTH = 200
 GRAM = 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1_000_000
 GRAM_STRETCHES = 50_000
 """Distinct stretches of one gram that a task merges; the strings of more common grams are counted by digest."""
 SEPARATOR = b"\xff"
@@ -109,34 +109,43 @@ def text_pieces(texts: list[bytes], length: int, most: int) -> Iterator[tuple[li
         yield numbers, firsts, pieces
 
 
+def stable_order(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Order of keys below 2**bits. Key and place sort as one number where they fit into it."""
+    places = max(1, (len(keys) - 1).bit_length())
+    if bits + places > 63:
+        return np.argsort(keys, kind="stable")
+    packed = np.sort((keys.astype(np.int64) << places) | np.arange(len(keys)))
+    return packed & ((1 << places) - 1)
+
+
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array and ranks by Larsson-Sadakane refinement.
 
-    Suffixes are sorted by their first eight bytes, then only groups that are still tied are sorted by the
+    Suffixes are sorted by their first five bytes, then only groups that are still tied are sorted by the
     rank of the suffix as many bytes further on, twice as many each time.
     """
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    first = np.zeros(n, np.uint64)
-    for i in range(8):
-        first = (first << np.uint64(8)) | padded[i : i + n]
-    order = np.argsort(first, kind="stable")
+    n, depth = len(data), 5
+    padded = np.concatenate([data, np.zeros(depth, np.uint8)]).astype(np.int64)
+    first = np.zeros(n, np.int64)
+    for i in range(depth):
+        first = (first << 8) | padded[i : i + n]
+    order = stable_order(first, 8 * depth)
     edge = np.concatenate([[True], first[order[1:]] != first[order[:-1]]])
-    ranks = np.empty(n, np.int64)
     heads = np.flatnonzero(edge)
-    ranks[order] = np.repeat(heads, np.diff(np.append(heads, n)))
-    del first
-    depth = 8
-    group_size = np.repeat(np.diff(np.append(heads, n)), np.diff(np.append(heads, n)))
-    tied = np.flatnonzero(group_size > 1)  # places in the order that belong to tied groups
+    sizes = np.diff(np.append(heads, n))
+    ranks = np.empty(n, np.int64)
+    ranks[order] = np.repeat(heads, sizes)
+    tied = np.flatnonzero(np.repeat(sizes, sizes) > 1)  # places in the order that belong to tied groups
+    bits = (2 * n).bit_length()
     while len(tied):
         suffixes = order[tied]
-        inside = suffixes + depth < n
+        beyond = suffixes + depth
         # Of two suffixes alike up to the end of one, the shorter sorts first.
-        later = np.where(inside, ranks[np.minimum(suffixes + depth, n - 1)], -suffixes - 1)
+        later = n + np.where(beyond < n, ranks[np.minimum(beyond, n - 1)], -suffixes - 1)
         group = ranks[suffixes]
-        sorting = np.argsort(group * (2 * n + 2) + (later + n), kind="stable")
-        suffixes, group, later = suffixes[sorting], group[sorting], later[sorting]
+        number = np.cumsum(np.concatenate([[0], group[1:] != group[:-1]]))
+        sorting = stable_order((number << bits) | later, bits + int(number[-1]).bit_length())
+        suffixes, later = suffixes[sorting], later[sorting]
         order[tied] = suffixes
         edge = np.concatenate([[True], (group[1:] != group[:-1]) | (later[1:] != later[:-1])])
         heads = np.flatnonzero(edge)
@@ -178,14 +187,12 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, ranks: np.ndarray, cap:
 class Shard:
     """Suffix array of some stretches, and which strings of ``length`` bytes repeat in it."""
 
-    def __init__(self, stretches: list[bytes], often: list[bool], length: int):
-        # A stretch that occurs more than once stands in the text twice.
-        self.starts, parts, at = [], [], 0
-        for stretch, twice in zip(stretches, often, strict=True):
+    def __init__(self, stretches: list[bytes], length: int):
+        self.starts, at = [], 0
+        for stretch in stretches:
             self.starts.append(at)
-            for _ in range(1 + twice):
-                parts += [stretch, SEPARATOR]
-                at += len(stretch) + 1
+            at += len(stretch) + 1
+        parts = [part for stretch in stretches for part in (stretch, SEPARATOR)]
         self.length = length
         self.data = np.frombuffer(b"".join(parts), np.uint8)
         self.order, ranks = suffix_array(self.data)
@@ -225,14 +232,14 @@ class Shard:
         return self.data[places[:, None] + np.arange(self.length)]
 
 
-def merge_shards(shards: list[Shard], sizes: list[list[int]]) -> None:
+def merge_shards(shards: list[Shard], parts: list[list[tuple]]) -> None:
     """Mark strings that repeat in another shard of the same gram, by search in its suffix array."""
     for i, shard in enumerate(shards):
         open_ = [
             start + k
-            for start, size in zip(shard.starts, sizes[i], strict=True)
-            for k in range(size - shard.length + 1)
-            if not shard.repeated[start + k]
+            for start, (_, _, stretch, often) in zip(shard.starts, parts[i], strict=True)
+            for k in range(len(stretch) - shard.length + 1)
+            if not often and not shard.repeated[start + k]
         ]
         places = np.array(open_, np.int64)
         for step in range(0, len(places), 4096):
@@ -320,13 +327,16 @@ def _judged_in_shards(distinct: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
     def results(shard: Shard, held: list[tuple]) -> Iterator[tuple]:
-        for start, (gram, digest, stretch, _) in zip(shard.starts, held, strict=True):
-            flags = shard.repeated[start : start + len(stretch) - length + 1]
-            for a, b in true_runs(flags):
+        for start, (gram, digest, stretch, often) in zip(shard.starts, held, strict=True):
+            count = len(stretch) - length + 1
+            if often:  # the stretch occurs elsewhere as a whole
+                yield gram, digest, 0, count
+                continue
+            for a, b in true_runs(shard.repeated[start : start + count]):
                 yield gram, digest, a, b
 
     def shard_of(held: list[tuple]) -> Shard:
-        return Shard([h[2] for h in held], [h[3] for h in held], length)
+        return Shard([h[2] for h in held], length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -334,7 +344,7 @@ def _judged_in_shards(distinct: DataFrame, length: int) -> DataFrame:
         for (gram,), rows in key_runs(batches, ("gram",)):
             columns = (rows.column(c).to_pylist() for c in ("digest", "stretch", "n"))
             own = [(gram, d, s, n > 1) for d, s, n in zip(*columns, strict=True)]
-            weight = sum((len(s) + 1) * (1 + twice) for _, _, s, twice in own)
+            weight = sum(len(s) + 1 for _, _, s, _ in own)
             if held and size + weight > SHARD_BYTES:
                 yield batch_of(list(results(shard_of(held), held)))
                 held, size = [], 0
@@ -350,9 +360,9 @@ def _judged_in_shards(distinct: DataFrame, length: int) -> DataFrame:
                     parts.append([])
                     filled = 0
                 parts[-1].append(row)
-                filled += (len(row[2]) + 1) * (1 + row[3])
+                filled += len(row[2]) + 1
             shards = [shard_of(p) for p in parts]
-            merge_shards(shards, [[len(h[2]) for h in p] for p in parts])
+            merge_shards(shards, parts)
             for shard, part in zip(shards, parts, strict=True):
                 yield batch_of(list(results(shard, part)))
         if held:
