@@ -23,10 +23,15 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below the shared folder: cuts lineage, survives a lost executor."""
+def staged(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """``df`` written once below the shared folder: cuts lineage, survives a lost executor.
+
+    The path goes on ``paths``, for a caller that removes the table when nothing reads it any more.
+    """
     path = shared_path(df.sparkSession, name)
     write_table(df, path)
+    if paths is not None:
+        paths.append(path)
     return read_table(df, path)
 
 

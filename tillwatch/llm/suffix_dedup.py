@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tillwatch.llm.common import part_count, slices, staged, text_or_empty
 from tillwatch.llm.minhash import coefficients, mixed
 from tillwatch.llm.runs import key_runs, release
+from tillwatch.sources.staging import remove
 
 LENGTH = 200
 GRAM = 32
@@ -406,28 +407,38 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram_stretches: int =
     ``docs`` has the keys and the whole text as bytes in ``_text``.
     """
     spark = docs.sparkSession
+    used: list[str] = []  # tables of finished steps
+
+    def clear() -> None:
+        release(spark)
+        while used:
+            remove(spark, used.pop())
+
     often = staged(
         _grams(docs, length).select("gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"),
         "suffix-grams",
+        used,
     )
-    candidates = staged(_grams(docs, length).join(often, "gram"), "suffix-candidates")
+    candidates = staged(_grams(docs, length).join(often, "gram"), "suffix-candidates", used)
     release(spark)
     found = staged(_stretches(docs, candidates, length), "suffix-stretches")
-    release(spark)
+    clear()
     distinct = staged(
         found.groupBy("gram", "digest").agg(F.count(F.lit(1)).alias("n"), F.any_value("stretch", True).alias("stretch")),
         "suffix-distinct",
+        used,
     )
     release(spark)
     crowded = staged(
         distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > gram_stretches).select("gram"),
         "suffix-crowded",
+        used,
     )
     repeats = _judged_in_shards(distinct.join(crowded, "gram", "left_anti"), length).unionByName(
         _judged_by_digest(distinct.join(crowded, "gram", "left_semi"), length)
     )
     repeats = staged(repeats, "suffix-repeats")
-    release(spark)
+    clear()
     spans = found.drop("stretch").join(repeats, ["gram", "digest"]).select(
         "k1",
         "k2",
