@@ -43,8 +43,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and the training sequences that hold them."""
-    return packing.pack(docs)
+    """Pieces of documents, in tokens of the tokenizer, and the training sequences that hold them."""
+    import public_tokenizers
+
+    return packing.pack_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 STAGES = [

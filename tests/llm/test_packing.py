@@ -96,3 +96,17 @@ def test_registered_query(spark, sf_dir):
     check_whole(rows, {r["doc_id"]: -(-len((r["text"] or "").encode()) // 4) for r in docs}, packing.CAPACITIES)
     bins = {r["bin_id"]: r["capacity"] for r in rows if r["bin_id"] is not None}
     assert sum(r["n_tokens"] for r in rows) / sum(bins.values()) > 0.9
+
+
+def test_no_bin_holds_more_real_tokens_than_its_capacity(spark, sf_dir):
+    """Counted by the tokenizer library, in op6 and in the pipeline's last stage."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    real = {r["doc_id"]: len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs.collect()}
+    for packed in (QUERIES["op6_best_fit_packing"](spark, sf_dir), corpus_pipeline.packed(spark, docs, sf_dir)):
+        check_whole(packed.collect(), real, packing.CAPACITIES)

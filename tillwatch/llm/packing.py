@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import part_count, staged, text_or_empty
+from tillwatch.llm.token_counts import count_tokens
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 SHARD_PIECES = 50_000
@@ -25,7 +26,10 @@ OPENING_COST = 64.0
 
 
 def estimated_tokens(text_col: str = "text", bytes_per_token: int = 4) -> Column:
-    """Length of a whole text in tokens, from its UTF-8 bytes; a null or empty text has none."""
+    """A guess at a text's tokens from its UTF-8 bytes; a null or empty text has none.
+
+    Bins packed by it may hold more real tokens than their capacity; see :func:`pack_tokens`.
+    """
     return F.ceil(F.octet_length(text_or_empty(text_col)) / bytes_per_token).cast("long")
 
 
@@ -103,7 +107,7 @@ def pack(
     """One row per piece of a document: id, ``piece``, ``piece_start``, ``n_tokens``, ``bin_id``,
     ``bin_offset``, ``capacity``.
 
-    ``length`` is a column of ``docs`` in tokens (default: :func:`estimated_tokens`). A document longer than
+    ``length`` is a column of ``docs`` in tokens (default: the guess of :func:`estimated_tokens`). A document longer than
     the largest capacity is cut into pieces of that length and a rest, so that its whole text is packed.
     A document without tokens (null or empty text) has one row with ``n_tokens`` 0 and no bin. Null ids
     stay; repeated rows are packed as often as they occur; an empty table gives no rows. Other columns
@@ -180,3 +184,22 @@ def pack(
         *(nothing.alias(c) for c in ("bin_id", "bin_offset", "capacity")),
     )
     return packed.unionByName(without).withColumnRenamed("_id", id_col)
+
+
+def pack_tokens(
+    docs: DataFrame,
+    tokenizer_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    capacities: Sequence[int] = CAPACITIES,
+    opening_cost: float = OPENING_COST,
+    shard_pieces: int = SHARD_PIECES,
+) -> DataFrame:
+    """:func:`pack` by the tokens that the tokenizer gives each text, counted by :func:`count_tokens`.
+
+    A piece holds the tokens from ``piece_start`` on of its document's ids, so long documents are cut at
+    token borders and no bin holds more tokens than its capacity. Cases are those of the two.
+    """
+    counted = count_tokens(docs, tokenizer_path, pattern, id_col=id_col, text_col=text_col)
+    return pack(counted, F.col("n_tokens"), id_col, capacities, opening_cost, shard_pieces)

@@ -50,7 +50,10 @@ def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
