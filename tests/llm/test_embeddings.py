@@ -100,6 +100,30 @@ def test_threshold_is_met_exactly(spark):
     assert [r[1] for r in got(E.near_vectors(df, threshold=0.601))] == [0, 0]
 
 
+def clustered(rng, size, planted, dim=64, mean_cosine=0.8, cosine=0.981):
+    """Unit vectors of one label around a centre, the last ones each beside one of the first."""
+    centre = rng.standard_normal(dim)
+    centre *= np.sqrt(mean_cosine) / np.linalg.norm(centre)
+    rows = centre + rng.standard_normal((size - planted, dim)) * np.sqrt((1 - mean_cosine) / dim)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    aside = rng.standard_normal((planted, dim))
+    aside -= (aside * rows[:planted]).sum(1, keepdims=True) * rows[:planted]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    return np.concatenate([rows, cosine * rows[:planted] + np.sqrt(1 - cosine**2) * aside])
+
+
+@pytest.mark.parametrize("mean_cosine", [0.0, 0.8, 0.97])
+def test_no_pair_of_a_large_or_clustered_label_is_missed(spark, mean_cosine):
+    vectors = clustered(np.random.default_rng(3), 6000, 1500, mean_cosine=mean_cosine).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], SCHEMA)
+    unit = vectors.astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+    found = {r["vec_id"]: r["n_links"] for r in E.near_vectors(df, window=8).collect()}
+    assert [found[i] for i in range(len(vectors))] == near.sum(1).tolist()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)
