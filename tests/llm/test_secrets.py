@@ -84,6 +84,39 @@ def test_models_add_spans_and_leave_words(spark, docs_of):
     assert clean[3]["text"] == "[SECRET]"
 
 
+def path(rng):
+    words = ["hooks", "services", "notification", "config", "internal", "session", "example", "archive", "public", "report"]
+    return "//" + ".".join(rng.choice(words) for _ in range(3)) + "/" + "/".join(rng.choice(words) for _ in range(3)) + "/"
+
+
+def test_no_path_or_key_hides_a_secret(spark, docs_of):
+    rng = random.Random(7)
+    paths = spark.createDataFrame([(path(rng), False) for _ in range(400)], "token string, random boolean")
+    table = S.train(strings(spark, 1).unionAll(paths))
+    glued = [(path(rng) if n % 2 else identifier(rng) + "=") + random_token(rng, 24) for n in range(300)]
+    plain = [path(rng) + identifier(rng) for _ in range(300)]
+    found = by_id(S.scan(docs_of(*enumerate(glued + plain)), table))
+    assert sum(bool(found[n]["spans"]) for n in range(300)) >= 0.97 * 300
+    assert not any(found[n]["spans"] for n in range(300, 600))
+    clean = by_id(S.without_secrets(docs_of(*enumerate(glued)), table))
+    assert sum(glued[n][-24:] in clean[n]["text"] for n in range(300)) <= 0.03 * 300
+
+
+def test_best_stretch_equals_all_stretches(spark):
+    rng = random.Random(8)
+    table = [rng.gauss(-0.2, 1) for _ in range(S.CODES * S.CODES)]
+    tokens = [random_token(rng, n) for n in (1, 2, 15, 16, 17, 31, 60, 200) for _ in range(4)]
+
+    def best(token):
+        r = [table[ord(a) * S.CODES + ord(b)] for a, b in zip(token, token[1:])]
+        stretches = [sum(r[i:j]) for i in range(len(r)) for j in range(i + S.LEAST - 1, len(r) + 1)]
+        return max(stretches) if stretches else sum(r)
+
+    df = spark.createDataFrame([(t,) for t in tokens], "token string")
+    for r in df.select("token", S.best_ratio(F.col("token"), S.table_literal(table)).alias("x")).collect():
+        assert abs(r["x"] - best(r["token"])) < 1e-3
+
+
 def test_redaction(spark, docs_of):
     docs = docs_of(*enumerate(ODD))
     clean = by_id(S.without_secrets(docs, [0.0] * (S.CODES * S.CODES)))

@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and identifiers.
 
 Two models of character pairs, one of random strings and one of ordinary identifiers, are trained from
-labelled strings; a token is a secret if the log-likelihood ratio of the two is large enough.
+labelled strings; a token holds a secret if the log-likelihood ratio of the two is large enough over some
+stretch of it, so that no ordinary path or key in front of a secret hides it.
 DataFrame functions only.
 """
 
@@ -27,7 +28,9 @@ LONG_HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "[A-Za-z0-9+/_.=-]"
-TOKEN = rf"(?<!{ALPHABET}){ALPHABET}{{16,}}"
+LEAST = 16
+"""Characters of the shortest token, and of the shortest stretch of one, that can be random."""
+TOKEN = rf"(?<!{ALPHABET}){ALPHABET}{{{LEAST},}}"
 CODES = 128
 SAMPLE_DOCS = 2000
 """Documents whose strings train the two models: those with the smallest hash of their id."""
@@ -182,14 +185,56 @@ def log_ratio(token: Column, table: Column) -> Column:
     return F.when(F.length(token) > 1, let(codes(token), of_codes)).otherwise(F.lit(0.0))
 
 
+def best_ratio(token: Column, table: Column) -> Column:
+    """The largest log-likelihood ratio of any stretch of ``LEAST`` characters or more of a token.
+
+    One pass: the ratio up to each place, less the smallest at any place that far before it. A shorter token
+    has the ratio of the whole.
+    """
+    pairs = LEAST - 1
+
+    def of_ratios(ratios: Column) -> Column:
+        def add(state: Column, i: Column) -> Column:
+            gone = F.when(i >= pairs, F.get(ratios, i - pairs)).otherwise(0.0)
+            total, last = state["total"] + F.get(ratios, i), state["last"] + F.get(ratios, i) - gone
+            low = F.when(i >= pairs - 1, F.least(state["low"], total - last)).otherwise(state["low"])
+            return F.struct(
+                total.alias("total"),
+                last.alias("last"),
+                low.alias("low"),
+                F.greatest(state["best"], total - low).alias("best"),
+            )
+
+        start = F.struct(
+            F.lit(0.0).alias("total"),
+            F.lit(0.0).alias("last"),
+            F.lit(float("inf")).alias("low"),
+            F.lit(float("-inf")).alias("best"),
+        )
+        places = F.sequence(F.lit(0), F.size(ratios) - 1)
+        return F.aggregate(places, start, add, lambda state: state["best"])
+
+    def of_codes(c: Column) -> Column:
+        ratios = F.transform(
+            F.sequence(F.lit(0), F.size(c) - 2),
+            lambda i: F.get(table, F.get(c, i) * CODES + F.get(c, i + 1)),
+        )
+        return let(ratios, of_ratios)
+
+    return F.when(F.length(token) >= LEAST, let(codes(token), of_codes)).otherwise(log_ratio(token, table))
+
+
 def all_spans(text: Column, table: Column, min_ratio: float = MIN_RATIO) -> Column:
-    """Base spans, and tokens that the models call random and no base span touches."""
+    """Base spans, and tokens that no base span touches and of which the models call a stretch random.
+
+    Such a token is a span as a whole, with the path or key that the secret hangs on.
+    """
 
     def with_base(base: Column) -> Column:
-        tokens = spans(text, TOKEN, "markov", 16)
+        tokens = spans(text, TOKEN, "markov", LEAST)
         extra = F.filter(
             tokens,
-            lambda t: (log_ratio(t["value"], table) >= min_ratio)
+            lambda t: (best_ratio(t["value"], table) >= min_ratio)
             & ~F.exists(base, lambda b: (b["start"] < t["stop"]) & (b["stop"] > t["start"])),
         )
         every = F.concat(base, extra)
