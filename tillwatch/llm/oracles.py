@@ -157,10 +157,96 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM m
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+COLLOCATIONS = rf"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM p),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 6) r(k) WHERE len(ws) >= k)
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, phrase, k, f AS a, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') AS first,
+         array_to_string(string_split(phrase, ' ')[c + 1:k], ' ') AS rest
+  FROM f, range(1, 5) r(c) WHERE c < k
+),
+cut_scores AS (
+  SELECT cuts.*, x.f AS l, y.f AS r, n,
+         CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts JOIN totals USING (lang) JOIN f x ON x.lang = cuts.lang AND x.phrase = first
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = rest
+),
+best AS (
+  SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, n, score
+  FROM best WHERE NOT EXISTS (
+    SELECT 1 FROM f WHERE f.lang = best.lang AND f.k > best.k AND 100 * f.f >= 100 * best.a
+      AND contains(' ' || f.phrase || ' ', ' ' || best.phrase || ' '))
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+# The nearest by brute force. The graphs find all of them on small tables, most on large ones.
+NEAREST = """
+WITH ok AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+near AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  FROM ok q JOIN ok c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM near
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+),
+u AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS UBIGINT)) AS u
+  FROM d
+),
+c AS (
+  SELECT doc_id, t, n, least(u[1] % (n + 1), u[2] % (n + 1)) AS a, greatest(u[1] % (n + 1), u[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR u[3] % 100 >= 90
+              THEN 'plain' WHEN u[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+),
+x AS (SELECT *, t[:a] AS prefix, t[a + 1:b] AS middle, t[b + 1:] AS suffix FROM c)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM x
+"""
+
 ORACLES: dict[str, str] = {
     "op1_embedding_neardup": EMBEDDINGS,
     "op4_warc": WARC,
     "op5_minhash_neardup": MINHASH,
     "op7_chat_formatting": CHAT,
     "op8_quality_rules": QUALITY,
+    "op11_phrase_collocations": COLLOCATIONS,
+    "op12_nearest_neighbours": NEAREST,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

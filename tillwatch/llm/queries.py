@@ -7,7 +7,19 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm import chat, embeddings, minhash, packing, quality_rules, secret_scan, suffix_dedup, warc
+from tillwatch.llm import (
+    chat,
+    collocations,
+    embeddings,
+    fill_middle,
+    graph_search,
+    minhash,
+    packing,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+    warc,
+)
 from tillwatch.llm.bpe_codec import decode_ids, encode_texts
 from tillwatch.llm.common import table
 from tillwatch.llm.oracles import ORACLES
@@ -104,6 +116,28 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return graph_search.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(rows), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_embedding_neardup": op1_embedding_neardup,
     "op2_token_counts": op2_token_counts,
@@ -115,6 +149,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_secret_scan": op10_secret_scan,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
