@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.llm.common import part_count, slices, staged, text_or_empty
@@ -90,7 +90,6 @@ def cuts(words: Words, overlap: int, modulus: int = MODULUS, longest: int = LONG
     hashes = window_hashes(words.hashes[words.codes], overlap)
     begins = (hashes % np.uint64(modulus) == 0) & (place + overlap <= end)
     begins[words.starts[:-1][lengths > 0]] = True
-    first = np.flatnonzero(begins)
     last = np.maximum.accumulate(np.where(begins, place, 0))
     begins |= (place - last) % longest == 0
     first = np.flatnonzero(begins)
@@ -293,11 +292,6 @@ def _first_rows(rows: DataFrame, top: int) -> DataFrame:
     return near.where(F.col("place") <= top).withColumn("rank", ranked).where(F.col("rank") <= top)
 
 
-def _session_check(spark: SparkSession, max_words: int) -> None:
-    if max_words < 3:
-        raise ValueError("phrases need a longest length of three words or more")
-
-
 def collocations(
     docs: DataFrame,
     max_words: int = 5,
@@ -319,8 +313,9 @@ def collocations(
     an empty table, or one without words, gives no rows. Other columns are not read. The result depends
     neither on how the table is stored nor on ``modulus`` and ``longest``.
     """
+    if max_words < 3:
+        raise ValueError("the longest phrases must have three words or more")
     spark, paths = docs.sparkSession, []
-    _session_check(spark, max_words)
     chunks = parsed(docs, max_words, text_col, lang_col, modulus, longest)
     dictionary = staged(
         chunks.groupBy("lang", "chunk", "owned", "n_words").agg(F.count(F.lit(1)).alias("freq")), "chunks", paths
@@ -329,7 +324,7 @@ def collocations(
     frequent: list[DataFrame] = []
     for size in range(1, max_words + 1):
         counted = _counted(dictionary, size, frequent[-1] if frequent else None)
-        frequent.append(staged(counted.where(F.col("f") >= min_count), f"phrases-{size}"))
+        frequent.append(staged(counted.where(F.col("f") >= min_count), f"phrases-{size}", paths))
     best = scored(frequent, totals)
     kept = best.join(_contained(frequent), ["lang", "phrase"], "left").where(
         "beyond IS NULL OR 100 * beyond < 100 * a"

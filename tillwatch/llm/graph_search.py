@@ -37,6 +37,8 @@ TRACE = 24  # a multiple of STEP
 """Opened nodes, besides the beam, that a search proposes as neighbours: the far ones on its way."""
 
 
+SAFE = 1e15
+"""Vectors of single precision below this steer in it: their differences round to 24 bits, squares stay finite."""
 NOTHING = np.uint64(0xFFFFFFFFFFFFFFFF)
 """An empty place of a beam; it sorts behind all others."""
 
@@ -55,8 +57,10 @@ def _squares(apart: np.ndarray) -> np.ndarray:
 
 
 def _packed(far: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """Places of a beam as single numbers that sort by distance, then node; the last bit marks opened ones."""
-    return far.astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32) | nodes.astype(np.uint64) << np.uint64(1)
+    """Places of a beam as single numbers that sort by distance (24 significant bits), then node; the last bit
+    marks opened ones."""
+    near = np.minimum(np.sqrt(far), np.finfo(np.float32).max).astype(np.float32)
+    return near.view(np.uint32).astype(np.uint64) << np.uint64(32) | nodes.astype(np.uint64) << np.uint64(1)
 
 
 def _nodes(places: np.ndarray) -> np.ndarray:
@@ -65,27 +69,21 @@ def _nodes(places: np.ndarray) -> np.ndarray:
 
 
 class Graph:
-    """Directed graph over vectors (n, d); ``edges`` (n, width) are filled up with -1 behind each node's own.
-
-    Steering is in single precision on centred and scaled copies of the vectors.
-    """
+    """Directed graph over vectors (n, d); ``edges`` (n, width) are filled up with -1 behind each node's own."""
 
     def __init__(self, vectors: np.ndarray, edges: np.ndarray | None = None, degree: int = DEGREE):
         self.total, self.degree = len(vectors), degree
-        self.centre = vectors.mean(0)
-        aside = vectors - self.centre
-        self.scale = max(float(np.abs(aside).max(initial=0)), 1e-300)
-        self.points = (aside / self.scale).astype(np.float32)
+        single = vectors.astype(np.float32) if np.abs(vectors).max(initial=0) < SAFE else vectors
+        self.points = single if (single == vectors).all() else vectors
         order = np.random.default_rng(self.total).permutation(self.total)
-        middle = _squares(self.points).argmin()
+        middle = _squares(vectors - vectors.mean(0)).argmin()
         self.order = np.concatenate([[middle], order[order != middle]])
         self.entry = self.order[:4]
         self.edges = np.full((self.total, 2 * degree), -1) if edges is None else edges
 
     def search(self, queries: np.ndarray, beam: int) -> np.ndarray:
         """Nodes in the beam of each query, nearest first; -1 fills up."""
-        points = ((queries - self.centre) / self.scale).astype(np.float32)
-        return _nodes(self._search(points, beam, 0)[0])
+        return _nodes(self._search(queries.astype(self.points.dtype), beam, 0)[0])
 
     def _search(self, points: np.ndarray, beam: int, trace: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of the beams, and the first ``trace`` nodes that each search opened."""
@@ -287,6 +285,27 @@ def _graph(rows: pa.RecordBatch) -> Graph:
     return Graph(_matrix(rows.column("v")), table)
 
 
+def _first_ids(rows: list[int], scores: list[float], members: list[list], asking: list, k: int) -> list[tuple]:
+    """Asking id, id and score of the ``k`` nearest other ids of each row; nodes come sorted by row and score."""
+    out, best, now, last = [], {}, -1, 0.0
+
+    def close() -> None:
+        out.extend((asking[now], i, s) for s, i in sorted((s, i) for i, s in best.items())[:k])
+
+    for row, score, ids in zip(rows, scores, members, strict=True):
+        if row != now:
+            close()
+            best, now, last = {}, row, 0.0
+        if len(best) >= k and score > last:
+            continue
+        for i in ids:
+            if i != asking[row]:
+                best.setdefault(i, score)
+        last = score
+    close()
+    return out
+
+
 def search_index(
     index: DataFrame,
     shards: int,
@@ -329,16 +348,14 @@ def search_index(
             for start in range(0, rows.num_rows, BATCH):
                 some = rows.slice(start, BATCH)
                 points = _matrix(some.column("v"))
-                near = graph.search(points, max(beam, k + 1))[:, : k + 1]
+                near = graph.search(points, max(beam, k + 1))
                 row, place = np.nonzero(near >= 0)
-                found = near[row, place]
-                far = exact_distances(points[row], vectors[found])
-                ids = held.take(pa.array(found)).to_pylist()
-                best: list[list] = [[] for _ in range(some.num_rows)]
+                nodes = near[row, place]
+                far = exact_distances(points[row], vectors[nodes])
+                order = np.lexsort([nodes, far, row])
+                ids = held.take(pa.array(nodes[order])).to_pylist()
                 asking = some.column("id").to_pylist()
-                for n, score, members in zip(row.tolist(), far.tolist(), ids, strict=True):
-                    best[n] += [(score, m) for m in members if m != asking[n]]
-                out = [(asking[n], m, score) for n, all_of in enumerate(best) for score, m in sorted(all_of)[:k]]
+                out = _first_ids(row[order].tolist(), far[order].tolist(), ids, asking, k)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([o[0] for o in out], some.schema.field("id").type),
