@@ -166,14 +166,17 @@ def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def _counted(dictionary: DataFrame, size: int, shorter: DataFrame | None) -> DataFrame:
+def _counted(
+    dictionary: DataFrame, size: int, among: DataFrame | None = None, width: int = 0, by_hash: bool = False
+) -> DataFrame:
     """``lang``, ``phrase``, its hash ``h`` and frequency ``f`` of phrases of ``size`` words in the dictionary.
 
-    All words for size 1, else those phrases of which both shorter ones may be in ``shorter``.
+    All of them, or those of which every part of ``width`` words may be in ``among``. With ``by_hash``, ``h`` and
+    ``f`` alone: an upper bound that moves no text.
     """
     bits = None
-    if shorter is not None:
-        bits = dictionary.sparkSession.sparkContext.broadcast(_bits(shorter))
+    if among is not None:
+        bits = dictionary.sparkSession.sparkContext.broadcast(_bits(among))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "chunk"):
@@ -197,16 +200,23 @@ def _counted(dictionary: DataFrame, size: int, shorter: DataFrame | None) -> Dat
             inside = (place + size <= end) & (marks[stop] == marks[place])
             good = inside & (place < owned)
             if bits is not None:
-                may = _has(bits.value, hash_of(size - 1))
-                good &= may & np.append(may[1:], False)
+                may = _has(bits.value, hash_of(width))
+                for step in range(size - width + 1):
+                    good &= np.append(may[step:], np.zeros(step, bool))
             at = np.flatnonzero(good)
             if not len(at):
                 continue
+            weight = np.repeat(part.column("freq").to_numpy(), lengths)[at]
+            if by_hash:
+                codes, group = np.unique(hash_of(size)[at], return_inverse=True)
+                total = np.zeros(len(codes), np.int64)
+                np.add.at(total, group, weight)
+                yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(total)], names=["h", "f"])
+                continue
             group = lang_of[at]
             for step in range(size):
                 key = group * len(words.vocabulary) + words.codes[at + step]
                 _, first, group = np.unique(key, return_index=True, return_inverse=True)
-            weight = np.repeat(part.column("freq").to_numpy(), lengths)[at]
             total = np.zeros(len(first), np.int64)
             np.add.at(total, group, weight)
             chosen = at[first]
@@ -222,10 +232,10 @@ def _counted(dictionary: DataFrame, size: int, shorter: DataFrame | None) -> Dat
                 names=["lang", "phrase", "h", "f"],
             )
 
-    found = dictionary.select("lang", "chunk", "owned", "freq").mapInArrow(
-        run, "lang string, phrase string, h long, f long"
-    )
-    return found.groupBy("lang", "phrase", "h").agg(F.sum("f").alias("f"))
+    keys = ["h"] if by_hash else ["lang", "phrase", "h"]
+    schema = ", ".join(f"{k} {'long' if k == 'h' else 'string'}" for k in keys)
+    found = dictionary.select("lang", "chunk", "owned", "freq").mapInArrow(run, f"{schema}, f long")
+    return found.groupBy(*keys).agg(F.sum("f").alias("f"))
 
 
 def _phrase(first: Column, size: Column) -> Column:
@@ -323,7 +333,12 @@ def collocations(
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("freq") * F.col("n_words")).alias("n"))
     frequent: list[DataFrame] = []
     for size in range(1, max_words + 1):
-        counted = _counted(dictionary, size, frequent[-1] if frequent else None)
+        among, width = (frequent[-1], size - 1) if frequent else (None, 0)
+        if size == 2:
+            # Pairs of frequent words are mostly rare: their hashes are counted before any text of theirs moves.
+            rough = _counted(dictionary, size, among, width, by_hash=True).where(F.col("f") >= min_count)
+            among, width = staged(rough, "pair-hashes", paths), size
+        counted = _counted(dictionary, size, among, width)
         frequent.append(staged(counted.where(F.col("f") >= min_count), f"phrases-{size}", paths))
     best = scored(frequent, totals)
     kept = best.join(_contained(frequent), ["lang", "phrase"], "left").where(
