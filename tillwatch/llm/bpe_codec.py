@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import slices, text_or_empty
+from tillwatch.llm.common import Memory, slices, text_or_empty, tidy
 from tillwatch.llm.pretokens import splitter
 
 NO_PAIR = np.iinfo(np.int64).max
-KNOWN_LIMIT = 150_000
-"""Distinct pieces whose ids a worker remembers; beyond it the memory starts anew."""
+KNOWN_BYTES = 16 << 20
+"""What a task remembers of distinct pieces and their ids; beyond it the memory starts anew."""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -124,18 +124,18 @@ class Codec:
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.split = splitter(pattern)
         self.merger = TreeMerger(self.ranks)
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(KNOWN_BYTES)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.split(text) for text in texts]
-        if len(self.known) > KNOWN_LIMIT:
-            self.known = {}
         known = self.known
         new = list({piece for pieces in split for piece in pieces if piece not in known})
         merged = self.merger.merge([piece.encode() for piece in new])
-        known.update(zip(new, merged, strict=True))
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        known.learn(new, merged)
+        ids = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        known.shrink()
+        return ids
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -174,7 +174,11 @@ def encode_texts(
             )
 
     rows, kind = _rows(docs, id_col, text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
+
+    def forget() -> None:
+        _codec(ranks_path, pattern).known.forget()
+
+    return rows.mapInArrow(tidy(run, forget=forget), f"`{id_col}` {kind}, n_tokens long, ids binary")
 
 
 def decode_ids(
@@ -202,4 +206,4 @@ def decode_ids(
 
     value = F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids")
     rows, kind = _rows(encoded, id_col, value)
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary, decoded binary")
+    return rows.mapInArrow(tidy(run), f"`{id_col}` {kind}, n_tokens long, ids binary, decoded binary")

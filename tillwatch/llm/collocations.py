@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import part_count, slices, staged, text_or_empty
+from tillwatch.llm.common import part_count, slices, staged, text_or_empty, tidy
 from tillwatch.sources.staging import remove
 
 MODULUS = 64
@@ -136,7 +136,7 @@ def parsed(
     rows = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_or_empty(text_col).alias("_text")
     )
-    return rows.mapInArrow(run, "lang string, chunk string, owned long, n_words long")
+    return rows.mapInArrow(tidy(run), "lang string, chunk string, owned long, n_words long")
 
 
 def _bits(frequent: DataFrame) -> np.ndarray:
@@ -234,7 +234,7 @@ def _counted(
 
     keys = ["h"] if by_hash else ["lang", "phrase", "h"]
     schema = ", ".join(f"{k} {'long' if k == 'h' else 'string'}" for k in keys)
-    found = dictionary.select("lang", "chunk", "owned", "freq").mapInArrow(run, f"{schema}, f long")
+    found = dictionary.select("lang", "chunk", "owned", "freq").mapInArrow(tidy(run), f"{schema}, f long")
     return found.groupBy(*keys).agg(F.sum("f").alias("f"))
 
 

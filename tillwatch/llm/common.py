@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,7 +14,8 @@ from pyspark.sql import functions as F
 from tillwatch.sources.staging import read_table, write_table
 from tillwatch.session import shared_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+Batches = Iterator[pa.RecordBatch]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,5 +55,51 @@ def slices(
         yield batch.slice(start)
 
 
+def _trim() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this C library
+
+
+def tidy(run: Callable[[Batches], Batches], *, forget: Callable[[], None] = lambda: None) -> Callable[[Batches], Batches]:
+    """``run`` that gives its memory back when its task ends, since Spark keeps the worker for other stages.
+
+    ``forget`` drops what the task remembers in the worker.
+    """
+
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            _trim()
+
+    return whole
+
+
+class Memory(dict):
+    """What a task remembers of strings, bounded in bytes: starts anew when it holds more."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.held = most, 0
+
+    def learn(self, keys: list[str], values: list) -> None:
+        """The new keys stay for the caller's batch even where the older ones have to go."""
+        self.update(zip(keys, values, strict=True))
+        self.held += sum(map(len, keys)) + 160 * len(keys)
+
+    def shrink(self) -> None:
+        if self.held > self.most:
+            self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
+
+
 def part_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

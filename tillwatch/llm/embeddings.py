@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import part_count, staged
+from tillwatch.llm.common import part_count, staged, tidy
 from tillwatch.llm.components import components, least_in_group
 from tillwatch.llm.runs import key_runs
 
@@ -82,7 +82,7 @@ def vector_rows(vectors: DataFrame, id_col: str, vector_col: str, label_col: str
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).alias("v")
     )
-    return rows.mapInArrow(run, "id long, label long, dim int, vec binary"), dtype
+    return rows.mapInArrow(tidy(run), "id long, label long, dim int, vec binary"), dtype
 
 
 def passes_needed(rows: np.ndarray, total: int, threshold: float, window: int, seed: int) -> int:
@@ -158,7 +158,7 @@ def label_plans(heads: DataFrame, dtype: str, threshold: float, window: int, see
         sample.select("label", "dim", "n", "id", "vec")
         .repartition(part_count(heads.sparkSession), "label", "dim")
         .sortWithinPartitions("label", "dim", "id")
-        .mapInArrow(run, "label long, dim int, passes int, centre binary")
+        .mapInArrow(tidy(run), "label long, dim int, passes int, centre binary")
     )
     # A label of which the sample has nothing has all its pairs compared.
     return staged(
@@ -280,7 +280,7 @@ def window_links(heads: DataFrame, plans: DataFrame, dtype: str, threshold: floa
         heads.join(plans, ["label", "dim"], "left")
         .select("id", "label", "dim", "vec", F.coalesce("passes", F.lit(1)).alias("passes"), "centre")
         .where("passes > 0")
-        .mapInArrow(keyed, "pass int, label long, dim int, key long, id long, vec binary")
+        .mapInArrow(tidy(keyed), "pass int, label long, dim int, key long, id long, vec binary")
     )
     order = ["pass", "label", "dim", "key", "id"]
     found = staged(
@@ -299,7 +299,7 @@ def window_links(heads: DataFrame, plans: DataFrame, dtype: str, threshold: floa
         .repartition(part_count(heads.sparkSession), *run)
         .sortWithinPartitions(*run, "task", "place")
     )
-    return found.where("task IS NULL").select("a", "b").unionAll(borders.mapInArrow(over_borders, "a long, b long"))
+    return found.where("task IS NULL").select("a", "b").unionAll(borders.mapInArrow(tidy(over_borders), "a long, b long"))
 
 
 def placed_rows(heads: DataFrame, groups: DataFrame) -> DataFrame:
@@ -330,7 +330,7 @@ def all_pair_links(heads: DataFrame, plans: DataFrame, dtype: str, threshold: fl
             at = np.flatnonzero(least != np.arange(len(ids)))
             yield pa.RecordBatch.from_arrays([pa.array(ids[least[at]]), pa.array(ids[at])], names=["a", "b"])
 
-    return placed_rows(heads, groups).mapInArrow(run, "a long, b long")
+    return placed_rows(heads, groups).mapInArrow(tidy(run), "a long, b long")
 
 
 def counted_links(heads: DataFrame, groups: DataFrame, dtype: str, threshold: float) -> DataFrame:
@@ -355,7 +355,7 @@ def counted_links(heads: DataFrame, groups: DataFrame, dtype: str, threshold: fl
                     [pa.array(ids[at]), pa.array(links.astype(np.int64))], names=["id", "links"]
                 )
 
-    counts = placed_rows(heads, groups).mapInArrow(run, "id long, links long")
+    counts = placed_rows(heads, groups).mapInArrow(tidy(run), "id long, links long")
     return counts.groupBy("id").agg(F.sum("links").alias("links"))
 
 

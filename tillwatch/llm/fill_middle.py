@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import slices, text_or_empty
+from tillwatch.llm.common import slices, text_or_empty, tidy
 
 # Classes of bytes. A character is any byte but INNER; a word begins at WORD or WIDE_WORD.
 INNER, LINE_END, BLANK, WORD, WIDE_WORD, OTHER, WIDE = range(7)
@@ -194,7 +194,7 @@ def fill_in_middle(
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"), *drawn)
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"`{id_col}` {kind}, n long, form string, prefix_units long, middle_units long, output string"
+        tidy(run), f"`{id_col}` {kind}, n long, form string, prefix_units long, middle_units long, output string"
     )
 
 

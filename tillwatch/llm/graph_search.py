@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import part_count, staged
+from tillwatch.llm.common import part_count, staged, tidy
 from tillwatch.llm.runs import key_runs
 
 DEGREE = 32
@@ -272,7 +272,7 @@ def build_index(
         distinct.withColumn("part", part)
         .repartition(min(shards, 4 * part_count(vectors.sparkSession)), "part")
         .sortWithinPartitions("part", F.col("ids")[0])
-        .mapInArrow(run, f"part long, node long, v array<double>, ids {kind}, edges array<int>")
+        .mapInArrow(tidy(run), f"part long, node long, v array<double>, ids {kind}, edges array<int>")
     )
     return staged(built, "graph-index"), shards
 
@@ -371,7 +371,7 @@ def search_index(
         nodes.unionByName(points)
         .repartition(tasks, "part", "block")
         .sortWithinPartitions("part", "block", "kind", "node")
-        .mapInArrow(run, f"query_id {kind_of_id}, vec_id {kind_of_id}, score double")
+        .mapInArrow(tidy(run), f"query_id {kind_of_id}, vec_id {kind_of_id}, score double")
     )
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import part_count, slices, staged, text_or_empty
+from tillwatch.llm.common import part_count, slices, staged, text_or_empty, tidy
 from tillwatch.llm.components import components, least_in_group
 from tillwatch.llm.runs import key_runs, release
 
@@ -116,7 +116,7 @@ def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.encode(text_or_empty(text_col), "utf-8").alias("_text"))
-    return rows.mapInArrow(run, "id long, n_shingles long, digest binary, sketch array<long>")
+    return rows.mapInArrow(tidy(run), "id long, n_shingles long, digest binary, sketch array<long>")
 
 
 def inverted_lists(heads: DataFrame, threshold: float) -> DataFrame:
@@ -164,7 +164,7 @@ def full_sets(docs: DataFrame, lists: DataFrame, width: int, id_col: str, text_c
 
     listed = staged(lists.select("id").distinct(), "near-listed")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.encode(text_or_empty(text_col), "utf-8").alias("_text"))
-    made = texts.join(listed, "id", "left_semi").mapInArrow(make, "id long, n long, shingles array<long>")
+    made = texts.join(listed, "id", "left_semi").mapInArrow(tidy(make), "id long, n long, shingles array<long>")
     return staged(made.dropDuplicates(["id"]), "near-sets")
 
 
@@ -240,7 +240,7 @@ def likely_pairs(pairs: DataFrame, heads: DataFrame, threshold: float) -> DataFr
 
     sketch = heads.select("id", "sketch")
     joined = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "sa", "sb").mapInArrow(tidy(run), "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -261,7 +261,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
     only = sets.select("id", "shingles")
     joined = pairs.join(only.toDF("a", "xa"), "a").join(only.toDF("b", "xb"), "b")
-    return joined.select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "xa", "xb").mapInArrow(tidy(run), "a long, b long")
 
 
 def list_pairs(lists: DataFrame, heads: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
@@ -290,7 +290,7 @@ def list_pairs(lists: DataFrame, heads: DataFrame, groups: DataFrame, threshold:
             )
 
     count = part_count(lists.sparkSession)
-    found = rows.repartition(count, "value").sortWithinPartitions("value", "id").mapInArrow(run, "a long, b long")
+    found = rows.repartition(count, "value").sortWithinPartitions("value", "id").mapInArrow(tidy(run), "a long, b long")
     return found.distinct()
 
 
@@ -368,7 +368,7 @@ def crowd_links(lists: DataFrame, sets: DataFrame, groups: DataFrame, threshold:
 
     keys = ["crowd", "c1", "c2"]
     count = part_count(lists.sparkSession)
-    return rows.repartition(count, *keys).sortWithinPartitions(*keys, "id").mapInArrow(run, "a long, b long")
+    return rows.repartition(count, *keys).sortWithinPartitions(*keys, "id").mapInArrow(tidy(run), "a long, b long")
 
 
 def near_duplicates(

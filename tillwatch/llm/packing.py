@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import part_count, staged, text_or_empty
+from tillwatch.llm.common import part_count, staged, text_or_empty, tidy
 from tillwatch.llm.token_counts import count_tokens
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -170,7 +170,7 @@ def pack(
         sharded.repartition(min(shards, part_count(spark)), "shard")
         .sortWithinPartitions("shard", F.desc("n_tokens"), "_id", "piece")
         .mapInArrow(
-            run,
+            tidy(run),
             f"_id {kind}, piece long, piece_start long, n_tokens long, bin_id long, bin_offset long, "
             "capacity long",
         )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import part_count, slices, staged, text_or_empty
+from tillwatch.llm.common import part_count, slices, staged, text_or_empty, tidy
 from tillwatch.llm.minhash import coefficients, mixed
 from tillwatch.llm.runs import key_runs, release
 from tillwatch.sources.staging import remove
@@ -280,7 +280,7 @@ def _grams(docs: DataFrame, length: int) -> DataFrame:
                     names=["gram", "k1", "k2", "run"],
                 )
 
-    return docs.mapInArrow(run, "gram long, k1 long, k2 long, run long")
+    return docs.mapInArrow(tidy(run), "gram long, k1 long, k2 long, run long")
 
 
 def _stretches(docs: DataFrame, candidates: DataFrame, length: int) -> DataFrame:
@@ -314,7 +314,7 @@ def _stretches(docs: DataFrame, candidates: DataFrame, length: int) -> DataFrame
     # Equal rows have equal keys and equal stretches: each of them finds the runs of both.
     joined = docs.join(by_doc, ["k1", "k2"]).select("k1", "k2", "_text", F.array_distinct("found").alias("found"))
     return joined.mapInArrow(
-        run, "gram long, digest binary, k1 long, k2 long, first long, stretch binary"
+        tidy(run), "gram long, digest binary, k1 long, k2 long, first long, stretch binary"
     )
 
 
@@ -341,10 +341,19 @@ def _judged_in_shards(distinct: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        alone: list[tuple] = []
         size = 0
         for (gram,), rows in key_runs(batches, ("gram",)):
             columns = (rows.column(c).to_pylist() for c in ("digest", "stretch", "n"))
             own = [(gram, d, s, n > 1) for d, s, n in zip(*columns, strict=True)]
+            if len(own) == 1:
+                # Strings of one stretch choose the gram at different offsets, so they differ: nothing to sort.
+                if own[0][3]:
+                    alone.append((gram, own[0][1], 0, len(own[0][2]) - length + 1))
+                if len(alone) >= 4096:
+                    yield batch_of(alone)
+                    alone = []
+                continue
             weight = sum(len(s) + 1 for _, _, s, _ in own)
             if held and size + weight > SHARD_BYTES:
                 yield batch_of(list(results(shard_of(held), held)))
@@ -368,11 +377,13 @@ def _judged_in_shards(distinct: DataFrame, length: int) -> DataFrame:
                 yield batch_of(list(results(shard, part)))
         if held:
             yield batch_of(list(results(shard_of(held), held)))
+        if alone:
+            yield batch_of(alone)
 
     return (
         distinct.repartition(part_count(distinct.sparkSession), "gram")
         .sortWithinPartitions("gram", "digest")
-        .mapInArrow(run, "gram long, digest binary, start int, stop int")
+        .mapInArrow(tidy(run), "gram long, digest binary, start int, stop int")
     )
 
 
@@ -394,7 +405,7 @@ def _judged_by_digest(distinct: DataFrame, length: int) -> DataFrame:
                 names=["gram", "digest", "start", "string", "n"],
             )
 
-    every = distinct.mapInArrow(strings, "gram long, digest binary, start int, string binary, n long")
+    every = distinct.mapInArrow(tidy(strings), "gram long, digest binary, start int, string binary, n long")
     often = staged(every.groupBy("string").agg(F.sum("n").alias("total")).where("total > 1"), "suffix-strings")
     return every.join(often, "string", "left_semi").select(
         "gram", "digest", "start", (F.col("start") + 1).cast("int").alias("stop")
@@ -414,13 +425,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram_stretches: int =
         while used:
             remove(spark, used.pop())
 
-    often = staged(
-        _grams(docs, length).select("gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"),
-        "suffix-grams",
-        used,
-    )
-    candidates = staged(_grams(docs, length).join(often, "gram"), "suffix-candidates", used)
-    release(spark)
+    grams = staged(_grams(docs, length), "suffix-all-grams", used)
+    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    after: list[str] = []
+    candidates = staged(grams.join(often, "gram"), "suffix-candidates", after)
+    clear()
+    used += after
     found = staged(_stretches(docs, candidates, length), "suffix-stretches")
     clear()
     distinct = staged(
@@ -507,7 +517,7 @@ def without_repeats(
     keyed = docs.select(row.alias("row"), k1.alias("k1"), F.xxhash64(text_or_empty(text_col)).alias("k2"), whole.alias("_text"))
     joined = keyed.join(spans, ["k1", "k2"], "left").select("row", "_text", "spans")
     kind = joined.schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(cut, f"row {kind}, _kept binary, _kept_text string, _n_bytes long, _n_removed long, _n_spans long")
+    out = joined.mapInArrow(tidy(cut), f"row {kind}, _kept binary, _kept_text string, _n_bytes long, _n_removed long, _n_spans long")
     return out.select(
         *(F.col(f"row.c{i}").alias(c) for i, c in enumerate(others)), *ADDED
     )

@@ -18,12 +18,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import slices, text_or_empty
+from tillwatch.llm.common import Memory, slices, text_or_empty, tidy
 from tillwatch.llm.pretokens import splitter
 
 NO_PAIR = np.iinfo(np.int64).max
-KNOWN_LIMIT = 200_000
-"""Distinct pre-tokens whose counts a worker remembers; beyond it the memory starts anew."""
+KNOWN_BYTES = 16 << 20
+"""What a task remembers of distinct pre-tokens and their counts; beyond it the memory starts anew."""
 
 
 def byte_letters() -> dict[int, str]:
@@ -104,7 +104,7 @@ class TokenCounter:
         self.split = splitter(pattern)
         added = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
-        self.known: dict[str, int] = {}
+        self.known = Memory(KNOWN_BYTES)
 
     def pre_tokens(self, text: str) -> tuple[list[str], int]:
         if self.added is None or not self.added.search(text):
@@ -117,12 +117,12 @@ class TokenCounter:
 
     def counts(self, texts: list[str]) -> list[int]:
         split = [self.pre_tokens(text) for text in texts]
-        if len(self.known) > KNOWN_LIMIT:
-            self.known = {}
         known = self.known
         new = list({word for words, _ in split for word in words if word not in known})
-        known.update(zip(new, self.merger.counts([w.encode() for w in new]).tolist(), strict=True))
-        return [sum(map(known.__getitem__, words)) + special for words, special in split]
+        known.learn(new, self.merger.counts([w.encode() for w in new]).tolist())
+        counts = [sum(map(known.__getitem__, words)) + special for words, special in split]
+        known.shrink()
+        return counts
 
 
 @lru_cache(maxsize=2)
@@ -162,4 +162,7 @@ def count_tokens(
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean"
-    return rows.mapInArrow(run, schema)
+    def forget() -> None:
+        _counter(tokenizer_path, pattern).known.forget()
+
+    return rows.mapInArrow(tidy(run, forget=forget), schema)
