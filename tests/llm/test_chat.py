@@ -102,3 +102,17 @@ def test_registered_query(spark, sf_dir):
         assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == digests(
             [t[1:] for t in sorted(turns)]
         )
+
+
+def test_ids_of_any_kind(spark):
+    said = [{"from": "human", "value": "q"}, {"from": "gpt", "value": "r"}]
+    ids = ["identity_0", 10**30, 1.5, 2.0, 7, None, True]
+    frame = spark.createDataFrame([(json.dumps({"id": i, "conversations": said}),) for i in ids], "record string")
+    asked = [r for r in chat.canonical_turns(frame, id_type="string").collect() if r["layout"]]
+    texts = [i if isinstance(i, str) else None if i is None else json.dumps(i) for i in ids]
+    assert sorted(((r["conv_id"], r["turn"]) for r in asked), key=repr) == sorted(((t, n) for t in texts for n in (0, 1)), key=repr)
+    whole = chat.canonical_turns(frame).collect()
+    assert sorted((r["conv_id"] for r in whole if r["layout"]), key=repr) == [2, 2, 7, 7, None, None]
+    assert sum(r["layout"] is None and r["fingerprint"] is not None for r in whole) == 4
+    odd = json.dumps({"conv_id": 1, "turn": "first", "role": "user", "text": "a"})
+    assert [r["turn"] for r in chat.canonical_turns(spark.createDataFrame([(odd,)], "record string")).collect()] == [None]

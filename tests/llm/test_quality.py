@@ -131,3 +131,15 @@ def test_registered_query(spark, sf_dir):
         want = base(r["text"])
         assert {k: got[r["doc_id"]][k] for k in want} == want
         assert not (want["base_failed"] and got[r["doc_id"]]["kept"])
+
+
+def test_columns_of_any_name(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    own = ["kept", "_m", "_s", "_row", "_id", "_stratum", "_text", "stratum", *(f"cut_{r}" for r in Q.GRID), "c0", "a.b"]
+    docs = docs_of(*enumerate(ODD)).withColumns({c: F.lit("clash") for c in own})
+    labels = spark.createDataFrame([(11, 1, 0)], "doc_id long, quality int, toxic int")
+    kept = Q.kept_documents(docs, labels)
+    assert kept.columns == docs.columns and {r["kept"] for r in kept.collect()} == {"clash"}
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, t in enumerate(ODD) if not base(t)["base_failed"]}
+    assert Q.quality_report(docs, labels).count() == len(ODD)

@@ -142,17 +142,36 @@ def turns_of(data: dict, layout: Layout) -> Iterator[tuple[int | None, int | Non
         yield conv, number, role, _string(_inside(item, layout.text))
 
 
+def _whole(value) -> int | None:
+    """A JSON number as a 64-bit integer, if it is one."""
+    if isinstance(value, float) and value.is_integer():
+        value = int(value)
+    if isinstance(value, int) and not isinstance(value, bool) and -(2**63) <= value < 2**63:
+        return value
+    return None
+
+
 def canonical_turns(
-    records: DataFrame, record_col: str = "record", layouts: tuple[Layout, ...] = LAYOUTS
+    records: DataFrame, record_col: str = "record", layouts: tuple[Layout, ...] = LAYOUTS, id_type: str = "long"
 ) -> DataFrame:
     """One row per turn: ``conv_id``, ``turn``, ``role``, ``text``, ``layout``, ``fingerprint``.
 
     Role and text are never null: what is missing is empty. Conversation and turn stay null where the
-    record lacks them. A record that is null, no JSON object or of unknown layout gives one row with a
+    record lacks them. With ``id_type`` ``string`` any JSON value is an id (a string as it is, others as JSON text); with
+    ``long`` a record whose id is no 64-bit integer counts as one of unknown layout. Turn numbers that are no
+    such integers are null. A record that is null, no JSON object or of unknown layout gives one row with a
     null ``layout`` and an empty text, for :func:`unmapped`. Repeated records give repeated turns. An
     empty table gives no rows.
     """
 
+    if id_type not in ("long", "string"):
+        raise ValueError("ids are long or string")
+
+    def typed(conv):
+        if conv is None or id_type == "long":
+            return _whole(conv)
+        return _string(conv)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = by_fingerprint(layouts)
         for part in slices(batches, "record"):
@@ -169,17 +188,21 @@ def canonical_turns(
                 if (layout := known.get(print_)) is None:
                     rows.append((None, None, "", "", None, print_))
                     continue
-                rows += [(*turn, layout.name, print_) for turn in turns_of(data, layout)]
+                for conv, number, role, text in turns_of(data, layout):
+                    if conv is not None and typed(conv) is None:
+                        rows.append((None, None, "", "", None, print_))
+                        break
+                    rows.append((typed(conv), _whole(number), role, text, layout.name, print_))
             if rows:
                 columns = zip(*rows, strict=True)
-                kinds = (pa.int64(), pa.int64(), *[pa.string()] * 4)
+                kinds = (pa.int64() if id_type == "long" else pa.string(), pa.int64(), *[pa.string()] * 4)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
                     names=["conv_id", "turn", "role", "text", "layout", "fingerprint"],
                 )
 
     return records.select(F.col(record_col).cast("string").alias("record")).mapInArrow(
-        run, "conv_id long, turn long, role string, text string, layout string, fingerprint string"
+        run, f"conv_id {id_type}, turn long, role string, text string, layout string, fingerprint string"
     )
 
 

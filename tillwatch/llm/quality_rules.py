@@ -240,11 +240,15 @@ def quality_report(
 def kept_documents(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum: str = "lang"
 ) -> DataFrame:
-    """Rows of ``docs`` that the rules keep, with all their columns but one named ``_m`` or ``_s``.
+    """Rows of ``docs`` that the rules keep, with all their columns, whatever their names.
 
     Cases are those of :func:`quality_report`.
     """
-    columns = [c for c in docs.columns if c not in ("_m", "_s")]
-    measured = staged(with_measures(docs.select(*columns), text_col), "quality-documents")
-    cuts = cutoffs(measured, good_ids(labels, id_col), stratum, id_col)
-    return judged(measured, cuts, stratum).where("kept").select(*columns)
+    packed = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("_row")
+    slim = docs.select(
+        packed, F.col(id_col).alias("_id"), F.col(stratum).cast("string").alias("_stratum"), F.col(text_col).alias("_text")
+    )
+    measured = staged(with_measures(slim, "_text").drop("_text"), "quality-documents")
+    cuts = cutoffs(measured, good_ids(labels, id_col), "_stratum", "_id")
+    kept = judged(measured, cuts, "_stratum").where("kept")
+    return kept.select(*(F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -12,6 +12,7 @@ import hashlib
 import re
 import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +34,9 @@ HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConte
 ARCHIVE_BYTES = 16 << 20
 """Uncompressed records held for one archive; a longer record has an archive of its own."""
 DICTIONARY_BYTES = 48 << 10
+LEAST_DICTIONARY = 1 << 10
+DICTIONARY_SHARE = 32
+PIECE_BYTES = 16 << 10
 READ_BYTES = 1 << 20
 
 
@@ -83,19 +87,22 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def build_dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
-    """Trained on the records, or their raw bytes where there are too few to train on."""
-    budget, samples = 100 * DICTIONARY_BYTES, []
-    for data in records:
-        samples.append(data[: min(len(data), budget)])
-        budget -= len(samples[-1])
-        if budget <= 0:
-            break
-    if len(samples) >= 100:
+    """Trained on samples of the whole archive, or their raw bytes where there are too few to train on.
+
+    The dictionary takes a share of the archive's size, ``DICTIONARY_BYTES`` at most. Records are cut into pieces
+    and a piece is a sample if its checksum falls into the share that a hundred dictionaries make up.
+    """
+    total = sum(map(len, records))
+    size = min(DICTIONARY_BYTES, max(LEAST_DICTIONARY, total // DICTIONARY_SHARE))
+    every = max(1, total // (100 * size))
+    pieces = [data[at : at + PIECE_BYTES] for data in records for at in range(0, len(data), PIECE_BYTES)]
+    samples = [p for p in pieces if zlib.crc32(p) % every == 0] or pieces[:1]
+    if len(samples) >= 20:
         try:
-            return zstandard.train_dictionary(DICTIONARY_BYTES, samples)
+            return zstandard.train_dictionary(size, samples)
         except zstandard.ZstdError:
             pass  # the samples are too alike or too short
-    raw = b"".join(samples)[-DICTIONARY_BYTES:]
+    raw = b"".join(samples)[:size]
     return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
