@@ -135,7 +135,7 @@ def test_changed_tables_are_seen(spark, sf_dir, tmp_path):
     import pyarrow.parquet as pq
 
     for table in shared.SOURCES:
-        shutil.copy(f"{sf_dir}/{table}.parquet", f"{tmp_path}/{table}.parquet")
+        shutil.copyfile(f"{sf_dir}/{table}.parquet", f"{tmp_path}/{table}.parquet")
     folder = str(tmp_path)
     before = shared.staged_transactions(spark, folder).count()
     assert shared.staged_transactions(spark, folder).count() == before
