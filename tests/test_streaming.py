@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pathlib
 from decimal import Decimal
 
 import pytest
@@ -11,7 +12,7 @@ from tillwatch.plans import program, shared
 from tillwatch.session import shared_path
 from tillwatch.sources import csv, tables
 from tillwatch.streaming import operators as st
-from tillwatch.streaming import runs
+from tillwatch.streaming import replay, runs, seen
 
 ARRIVALS = "tx_id long, event_time timestamp, type string, amount decimal(12,2)"
 
@@ -84,15 +85,156 @@ def test_three_hundred_ids_twice_and_again_after_expiry(spark):
         assert unique.filter("tx_id < 1000").count() == 600
 
 
-def test_updates_keep_two_snapshots(spark):
-    stream = arrivals(spark, *[[(n, "2024-01-01 00:10:00", "5")] for n in range(5)])
-    out = shared_path(spark, "snapshots")
+KEYS = ["window_start", "type"]
+
+
+def stored_bytes(folder):
+    return sum(f.stat().st_size for f in pathlib.Path(folder.removeprefix("file://")).rglob("part-*"))
+
+
+def hours(first, count):
+    return [(first * 1000 + n, f"2024-01-{1 + n // 24:02d} {n % 24:02d}:10:00", "5") for n in range(count)]
+
+
+def test_a_batch_writes_its_changed_rows_only(spark):
+    """600 windows, then batches that change one of them."""
+    stream = arrivals(spark, hours(1, 600), *[[(n, "2024-01-01 00:10:00", "5")] for n in range(5)])
+    out = shared_path(spark, "log")
+    query = runs.start_updates(st.hourly_totals(stream), out, shared_path(spark, "log-checkpoint"), KEYS)
+    runs.finish(query)
+    counts = [spark.read.parquet(f"{out}/batch_id={n}").count() for n in range(6)]
+    assert counts == [600, 1, 1, 1, 1, 1]
+    assert stored_bytes(f"{out}/batch_id=5") < stored_bytes(f"{out}/batch_id=0") / 4
+    now = runs.read_updates(spark, st.hourly_totals(stream).schema, out, KEYS)
+    assert rows(now.groupBy("n_rows").count()) == [(1, 599), (6, 1)]
+
+
+@pytest.mark.parametrize("every", [1, 2, 3, 100])
+def test_the_log_is_compacted_and_stays_the_same(spark, every):
+    stream = arrivals(spark, *[[(n, f"2024-01-01 {n % 3:02d}:10:00", "5")] for n in range(8)])
+    out, schema = shared_path(spark, "compacted"), st.hourly_totals(stream).schema
     query = runs.start_updates(
-        st.hourly_totals(stream), out, shared_path(spark, "snapshots-checkpoint"), ["window_start", "type"]
+        st.hourly_totals(stream), out, shared_path(spark, "compacted-checkpoint"), KEYS, compact_every=every
     )
     runs.finish(query)
-    assert sorted(runs.staging.folders(spark, out)) == ["batch_id=3", "batch_id=4"]
-    assert rows(spark.read.parquet(f"{out}/batch_id=4").select("n_rows")) == [(5,)]
+    read = rows(runs.read_updates(spark, schema, out, KEYS).select("n_rows"))
+    assert read == [(2,), (3,), (3,)]
+    folders = runs.staging.folders(spark, out)
+    assert sum(f.startswith("base=") for f in folders) == min(2, 8 // every)
+    assert sum(f.startswith("batch_id=") for f in folders) <= 2 * every + 1 or every == 100
+
+
+def test_a_repeated_batch_changes_nothing(spark):
+    schema = "k long, n long"
+    out = shared_path(spark, "repeated")
+
+    def write(number, *found, compact=False):
+        spark.createDataFrame(list(found), schema).write.mode("overwrite").parquet(f"{out}/batch_id={number}")
+        if compact:
+            runs._compact(spark, spark.createDataFrame([], schema).schema, out, ["k"], number)
+
+    def read():
+        return rows(runs.read_updates(spark, spark.createDataFrame([], schema).schema, out, ["k"]))
+
+    write(0, (1, 1), (2, 1))
+    write(1, (1, 2), compact=True)
+    assert read() == [(1, 2), (2, 1)]
+    write(1, (1, 2), compact=True)  # the batch failed behind its base and comes again
+    write(2, (1, 3))
+    write(2, (1, 3))
+    assert read() == [(1, 3), (2, 1)]
+    spark.createDataFrame([(9, 9)], schema).write.parquet(f"{out}/base=2")  # a base that was never marked
+    assert read() == [(1, 3), (2, 1)]
+
+
+@pytest.mark.parametrize("files", [1, 6, 60])
+def test_replay_is_never_late_and_closes_every_window(spark, sf_dir, files):
+    events = tables.read_events(spark, sf_dir)
+    folder = replay.in_time_order(events.repartition(7), "ts", "event_id", files, close_after="4 HOURS")
+    assert spark.read.parquet(folder).count() == events.count() + 1
+    stream = tables.event_transactions(tables.read_event_files(runs.stream_session(spark), folder, 1))
+    totals = runs.append_available(spark, st.hourly_totals(stream, lateness="2 hours"), "replayed")
+    assert rows(totals) == rows(st.hourly_totals(tables.event_transactions(events)))
+
+
+def test_replay_of_an_empty_table(spark, sf_dir):
+    events = tables.read_events(spark, sf_dir).limit(0)
+    folder = replay.in_time_order(events, "ts", "event_id", 3, close_after="4 HOURS")
+    assert spark.read.schema(tables.EVENT_SCHEMA).parquet(folder).count() == 0
+    assert replay.file_number(0) == 6 and replay.file_number(10**8) == 100
+
+
+@pytest.mark.parametrize("files", [1, 6, 60])
+def test_unique_ids_of_a_replayed_table(spark, sf_dir, files):
+    events = tables.read_events(spark, sf_dir)
+    twice = events.unionAll(events.where("event_id % 3 = 0"))
+    folder = replay.in_time_order(twice, "ts", "event_id", files)
+    stream = tables.event_transactions(tables.read_event_files(runs.stream_session(spark), folder, 1))
+    unique = seen.unique_available(spark, stream, "unique")
+    assert rows(unique.select("tx_id")) == rows(events.select("event_id"))
+
+
+def run_unique(spark, stream, **options):
+    out, state = shared_path(spark, "seen-out"), shared_path(spark, "seen-state")
+    runs.finish(seen.start_unique(stream, out, state, shared_path(spark, "seen-checkpoint"), **options))
+    return out, state
+
+
+def test_state_covers_the_lateness_and_not_the_stream(spark):
+    """60 batches an hour apart with 50 ids each: what is remembered is a few of them."""
+    batches = [
+        [(100 * n + i, f"2024-01-{1 + n // 24:02d} {n % 24:02d}:10:00", "5") for i in range(50)] for n in range(30)
+    ]
+    out, state = run_unique(spark, arrivals(spark, *batches))
+    kept = runs.staging.folders(spark, f"{state}/ids")
+    assert len(kept) <= 7 and "29" in kept
+    assert spark.read.parquet(out).count() == 30 * 50
+
+
+def test_ids_return_after_their_time_like_the_built_in_step(spark):
+    first = [(i, "2024-01-01 00:10:00", "5") for i in range(300)]
+    second = [(i, "2024-01-01 01:50:00", "5") for i in range(300)]
+    late = [(i, "2024-01-01 02:40:00", "5") for i in range(300)]
+    pause = [(1000, "2024-01-01 04:30:00", "5")]
+    out, _ = run_unique(spark, arrivals(spark, first, second, pause, pause, late))
+    assert spark.read.parquet(out).filter("tx_id < 1000").count() == 600
+
+
+def test_a_repeated_batch_of_ids_gives_the_same_rows(spark, monkeypatch):
+    """The first run of batch 1 fails after it has written its rows and its ids."""
+    batches = [[(1, "2024-01-01 00:10:00", "5")], [(1, "2024-01-01 00:20:00", "5"), (2, "2024-01-01 00:30:00", "5")]]
+    stream = arrivals(spark, *batches, [(2, "2024-01-01 00:40:00", "5"), (3, "2024-01-01 00:40:00", "5")])
+    out, state, checkpoint = (shared_path(spark, n) for n in ("again-out", "again-state", "again-checkpoint"))
+    add = seen.SeenIds.add
+
+    def failing(self, new, batch_id, *rest):
+        add(self, new, batch_id, *rest)
+        if batch_id == 1:
+            raise ValueError("lost")
+
+    monkeypatch.setattr(seen.SeenIds, "add", failing)
+    with pytest.raises(Exception, match="lost"):
+        runs.finish(seen.start_unique(stream, out, state, checkpoint))
+    monkeypatch.setattr(seen.SeenIds, "add", add)
+    runs.finish(seen.start_unique(stream, out, state, checkpoint))
+    assert rows(spark.read.parquet(out).select("tx_id", "batch_id")) == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_late_rows_fail_a_run_that_may_not_drop(spark):
+    stream = arrivals(spark, [(1, "2024-01-03 00:10:00", "5")], [(2, "2024-01-01 00:10:00", "5")])
+    with pytest.raises(Exception, match="came later"):
+        run_unique(spark, stream, may_drop=False)
+
+
+def test_a_hot_id_is_one_row_per_task_before_it_moves(spark):
+    hot = spark.range(0, 40_000, 1, 4).selectExpr(
+        "CAST(7 AS LONG) AS tx_id", "timestamp_seconds(1704067200 + id % 60) AS event_time", "'TRANSFER' AS type",
+        "CAST(5 AS DECIMAL(12,2)) AS amount",
+    )
+    assert seen.first_rows(hot, "tx_id", "event_time").count() == 1
+    plan = seen.first_rows(hot, "tx_id", "event_time")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange") :]
+    assert "partial_min_by" in below
 
 
 @pytest.fixture

@@ -33,7 +33,7 @@ from tillwatch.schema import (
 from tillwatch.session import shared_path
 from tillwatch.sources import csv, literals, staging, tables
 from tillwatch.streaming import operators as st
-from tillwatch.streaming import runs
+from tillwatch.streaming import runs, seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -609,14 +609,23 @@ def stream_large_transfer_alerts(spark, sf_dir):
     return runs.append_available(spark, alerts, "alerts")
 
 
-def _windowed(spark, transactions, name):
-    totals = st.hourly_totals(transactions).withColumns(
+def _shown(totals):
+    return totals.withColumns(
         {
             "window_start": F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
             "total_amount": F.col("total_amount").cast("double"),
         }
     )
-    return runs.update_available(spark, totals, name, ["window_start", "type"])
+
+
+def _windowed(spark, transactions, name):
+    return runs.update_available(spark, _shown(st.hourly_totals(transactions)), name, ["window_start", "type"])
+
+
+def _ordered_stream(spark, sf_dir, repeated=False):
+    """The events as a stream in the order of time."""
+    folder = shared.ordered_events(spark, sf_dir, repeated)
+    return tables.event_transactions(tables.read_event_files(runs.stream_session(spark), folder, 1))
 
 
 @query
@@ -626,7 +635,9 @@ def stream_alerts_by_window(spark, sf_dir):
 
 @query
 def stream_totals_by_window(spark, sf_dir):
-    return _windowed(spark, _event_stream(spark, sf_dir), "windows")
+    """Replayed in the order of time: each window is written once, when a watermark of two hours closes it."""
+    totals = st.hourly_totals(_ordered_stream(spark, sf_dir), lateness="2 hours")
+    return runs.append_available(spark, _shown(totals), "windows")
 
 
 @query
@@ -639,8 +650,10 @@ def stream_step_totals(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every 10th event arrives again in a later batch; each id leaves once and is then scored."""
-    lateness = tables.event_span(tables.read_events(spark, sf_dir))
-    unique = st.first_seen(_event_stream(spark, sf_dir, repeated=True), lateness=lateness)
-    scored = st.score_stream(unique, shared.fitted(spark, sf_dir, "rf"))
-    return runs.append_available(spark, _checked(scored, "tx_id", "type", "amount"), "dedup")
+    """Every 10th event comes twice; each id leaves once and is then scored. State covers two hours of events."""
+    model = shared.fitted(spark, sf_dir, "rf")
+
+    def scored(rows):
+        return _checked(st.score_stream(rows, model), "tx_id", "type", "amount")
+
+    return seen.unique_available(spark, _ordered_stream(spark, sf_dir, repeated=True), "dedup", then=scored)

@@ -15,6 +15,7 @@ from tillwatch.operators.models import score, train
 from tillwatch.session import shared_path
 from tillwatch.sources.staging import stage, version
 from tillwatch.sources.tables import raw_transactions, read_events, transactions, write_dirty_csv
+from tillwatch.streaming import replay
 
 _made: dict[tuple, tuple] = {}
 
@@ -50,7 +51,22 @@ def staged_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dealt_events(spark: SparkSession, sf_dir: str, files: int = 6, repeated: bool = False) -> str:
+def ordered_events(spark: SparkSession, sf_dir: str, repeated: bool = False) -> str:
+    """Folder of the events in files that a stream reads in the order of time, and a row that closes the last window.
+
+    With ``repeated``, every 10th event comes twice.
+    """
+
+    def write() -> str:
+        events = read_events(spark, sf_dir)
+        if repeated:
+            events = events.unionAll(events.filter("event_id % 10 = 0"))
+        return replay.in_time_order(events, "ts", "event_id", close_after="4 HOURS")
+
+    return _once(spark, sf_dir, f"ordered events {repeated}", write)
+
+
+def dealt_events(spark: SparkSession, sf_dir: str, repeated: bool = False) -> str:
     """Folder of the events in several files, in no order of time, so that a stream has several batches.
 
     With ``repeated``, every 10th event comes again in a later file.
@@ -59,13 +75,13 @@ def dealt_events(spark: SparkSession, sf_dir: str, files: int = 6, repeated: boo
     def write() -> str:
         path = shared_path(spark, "events")
         events = read_events(spark, sf_dir)
-        events.repartition(files, "event_id").write.parquet(path)
+        events.repartition(replay.file_number(events.count()), "event_id").write.parquet(path)
         if repeated:
             again = events.filter("event_id % 10 = 0").repartition(2, "event_id")
             again.write.mode("append").parquet(path)
         return path
 
-    return _once(spark, sf_dir, f"events {files} {repeated}", write)
+    return _once(spark, sf_dir, f"events {repeated}", write)
 
 
 def dirty_csv(spark: SparkSession, sf_dir: str) -> str:

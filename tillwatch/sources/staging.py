@@ -59,6 +59,43 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in system.listStatus(hadoop) if f.isDirectory()]
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file, whose presence says that something is complete."""
+    system, hadoop = _located(spark, path)
+    system.create(hadoop, True).close()
+
+
+def marks(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the files named ``prefix`` and a number in a folder, which need not exist."""
+    system, hadoop = _located(spark, path)
+    if not system.exists(hadoop):
+        return []
+    names = [f.getPath().getName() for f in system.listStatus(hadoop) if f.isFile()]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def date_in_order(spark: SparkSession, path: str, first_ms: int = 0, step_ms: int = 10) -> int:
+    """Date a folder's part files in the order of their names, and return the date after the last one.
+
+    A file stream takes files in the order of their dates.
+    """
+    system, hadoop = _located(spark, path)
+    files = [f.getPath() for f in system.listStatus(hadoop) if f.getPath().getName().startswith("part-")]
+    for number, file in enumerate(sorted(files, key=lambda f: f.getName())):
+        system.setTimes(file, first_ms + number * step_ms, -1)
+    return first_ms + len(files) * step_ms
+
+
+def move_parts(spark: SparkSession, source: str, target: str) -> None:
+    """Move part files into another folder; their dates stay."""
+    system, hadoop = _located(spark, source)
+    _, into = _located(spark, target)
+    for file in system.listStatus(hadoop):
+        if file.getPath().getName().startswith("part-"):
+            system.rename(file.getPath(), into)
+    remove(spark, source)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove what was staged at a path; what is not there needs no removal."""
     system, hadoop = _located(spark, path)

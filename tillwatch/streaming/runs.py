@@ -1,7 +1,7 @@
 """Runs of streams into written tables.
 
 Results go to files, never to the driver: appended rows through the transactional file sink,
-updated aggregates as a snapshot per batch, of which the last two are kept.
+updated aggregates as a log of changed rows with a base now and then.
 """
 
 from __future__ import annotations
@@ -64,41 +64,64 @@ def start_batches(
 
 
 def start_updates(
-    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], **trigger
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], compact_every: int = 16, **trigger
 ) -> StreamingQuery:
-    """Keep a snapshot of all aggregates below ``path``, in a folder per batch.
+    """Log the changed rows of each batch below ``path``; the last row of a key is the valid one.
 
-    A batch's changed rows replace those of equal keys in the snapshot before it. A repeated batch makes
-    its snapshot anew from the same one before; older ones are removed, so that neither reading nor
-    space grows with the stream's age.
+    A batch writes its own rows and nothing else, to a folder of its own that a repeated batch writes anew. Every
+    ``compact_every`` batches the log up to there becomes a base, which counts once its mark is set; what a base
+    replaced goes with the next one, so that a reader that began before it still finds its files.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        earlier = [n for n in _batches(session, path) if n < batch_id]
-        rows = batch
-        if earlier:
-            before = session.read.schema(batch.schema).parquet(f"{path}/batch_id={max(earlier)}")
-            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
-            rows = before.alias("o").join(batch.alias("n"), same, "left_anti").unionByName(batch)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        for number in sorted(earlier)[:-1]:
-            staging.remove(session, f"{path}/batch_id={number}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            _compact(session, batch.schema, path, keys, batch_id)
 
     return start_batches(stream, write_batch, checkpoint, "update", **trigger)
 
 
-def _batches(spark: SparkSession, path: str) -> list[int]:
+def _logged(spark: SparkSession, schema: T.StructType, path: str, keys: Sequence[str], upto: int | None) -> DataFrame:
+    """The last row of each key in the newest base and the batches after it."""
+    bases = [n for n in staging.marks(spark, path, "_base-") if upto is None or n <= upto]
+    base = max(bases, default=-1)
+    batches = [n for n in _numbers(spark, path, "batch_id=") if n > base and (upto is None or n <= upto)]
+    parts = [(base, f"{path}/base={base}")] if bases else []
+    parts += [(n, f"{path}/batch_id={n}") for n in batches]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    # The folder's name tells the batch, so one scan reads the whole log.
+    rows = spark.read.schema(schema).parquet(*[p for _, p in parts]).withColumn(
+        "_batch", F.regexp_extract(F.col("_metadata.file_path"), r"(?:base|batch_id)=(\d+)", 1).cast("long")
+    )
+    values = [f.name for f in schema if f.name not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "_batch").alias("_last"))
+    return last.select(*(F.col(c) if c in keys else F.col(f"_last.{c}") for c in schema.names))
+
+
+def _compact(spark: SparkSession, schema: T.StructType, path: str, keys: Sequence[str], batch_id: int) -> None:
+    marks = staging.marks(spark, path, "_base-")
+    if batch_id in marks:
+        return  # the batch is repeated, its base is there
+    _logged(spark, schema, path, keys, batch_id).write.mode("overwrite").parquet(f"{path}/base={batch_id}")
+    staging.mark(spark, f"{path}/_base-{batch_id}")
+    for old in marks[:-1]:
+        staging.remove(spark, f"{path}/_base-{old}")
+        staging.remove(spark, f"{path}/base={old}")
+    for number in _numbers(spark, path, "batch_id="):
+        if marks and number <= marks[-1]:
+            staging.remove(spark, f"{path}/batch_id={number}")
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     names = staging.folders(spark, path)
-    return [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
 
 
-def read_updates(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    """The last snapshot of :func:`start_updates`."""
-    numbers = _batches(spark, path)
-    if not numbers:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/batch_id={max(numbers)}")
+def read_updates(spark: SparkSession, schema: T.StructType, path: str, keys: Sequence[str]) -> DataFrame:
+    """The valid rows of the log of :func:`start_updates`."""
+    return _logged(spark, schema, path, keys, None)
 
 
 def finish(query: StreamingQuery, timeout: float | None = None, may_drop: bool = True) -> None:
@@ -145,4 +168,4 @@ def update_available(
     out, checkpoint = shared_path(spark, f"{name}-out"), shared_path(spark, f"{name}-checkpoint")
     finish(start_updates(stream, out, checkpoint, keys), timeout, may_drop)
     staging.remove(spark, checkpoint)
-    return read_updates(spark, stream.schema, out)
+    return read_updates(spark, stream.schema, out, keys)
