@@ -29,7 +29,7 @@ def test_matches_sql(spark, sf_dir, name):
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert {*QUERIES, "pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
