@@ -32,7 +32,8 @@ def random_forest(**params) -> RandomForestClassifier:
 
 
 FOREST_PARTITIONS = 32
-"""Of the training rows of a forest; more of them for more rows, at the price of another forest."""
+FOREST_ROWS = 1_000_000
+"""Training rows of a forest are dealt over so many partitions, or one for so many rows if that is more."""
 
 CLASSIFIERS = {"lr": logistic_regression, "rf": random_forest}
 
@@ -43,7 +44,7 @@ def train(
     null_policy: str = "fill",
     compat_label: bool = False,
     codes_from: DataFrame | None = None,
-    partitions: int = FOREST_PARTITIONS,
+    partitions: int | None = None,
     **params,
 ) -> PipelineModel:
     """Fit type codes and a classifier on labelled rows.
@@ -52,8 +53,8 @@ def train(
     copy for the iterations. ``codes_from`` takes the type codes from a larger frame than the
     training rows. Rows without a label stop the training unless the policy is ``skip``, which leaves
     them out. With ``compat_label`` the label indexer adds its third class, and rows without a label
-    belong to it. For a forest the rows are dealt over ``partitions`` by their id and ordered there,
-    since its samples depend on both: the same rows give the same forest on any cluster and from any
+    belong to it. For a forest the rows are dealt over ``partitions`` (by default a number that only
+    the row count sets) by their id and ordered there, since its samples depend on both: the same rows give the same forest on any cluster and from any
     files. ``params`` go to the classifier, ``weightCol`` for rare fraud among them.
     """
     rows = apply_null_policy(_dealt(df, partitions) if classifier == "rf" else df, null_policy)
@@ -68,8 +69,10 @@ def train(
     return Pipeline(stages=stages).fit(rows)
 
 
-def _dealt(df: DataFrame, partitions: int) -> DataFrame:
+def _dealt(df: DataFrame, partitions: int | None) -> DataFrame:
     """Rows by the hash of their id, or of all columns where they have none, in a fixed order."""
+    if partitions is None:
+        partitions = max(FOREST_PARTITIONS, -(-df.count() // FOREST_ROWS))
     keys = ["tx_id"] if "tx_id" in df.columns else df.columns
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
