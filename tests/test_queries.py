@@ -20,18 +20,26 @@ def connection(sf_dir):
     return oracle.connect(sf_dir)
 
 
+# These return learned values, which SQL cannot repeat; their `_checks` twins have SQL, and
+# tests/test_model_table.py compares their values.
+LEARNED = {
+    "random_split", "lr_certificate", "lr_evaluation", "rf_evaluation", "forest_nodes", "forest_leaves",
+    "rf_holdout_table_scores", "backtest_lr", "backtest_rf", "predicted_fraud_rf",
+}
+
+
 def test_every_query_has_sql():
-    assert OWN <= set(ORACLES) <= set(QUERIES)
+    assert OWN - LEARNED <= set(ORACLES) <= set(QUERIES) - LEARNED
 
 
-@pytest.mark.parametrize("name", sorted(OWN))
+@pytest.mark.parametrize("name", sorted(OWN - LEARNED))
 def test_matches_sql(spark, sf_dir, connection, name):
     assert oracle.difference(QUERIES[name](spark, sf_dir), connection, ORACLES[name]) is None
 
 
 def test_entry_returns_rows(spark):
     result = entry_point.entry(spark)
-    assert result.columns[-3:] == ["isFraud", "is_class", "same_alone"]
+    assert result.columns[-3:] == ["is_class", "same_alone", "table_ok"]
     assert result.count() > 0
 
 

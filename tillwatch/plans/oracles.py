@@ -272,11 +272,11 @@ def _evaluation(more: str) -> str:
                FROM tx WHERE NOT ({IN_TRAIN}) GROUP BY 1"""
 
 
-def _checked_backtest(rule: str) -> str:
+def _checked_backtest(rule: str, more: str = "") -> str:
     """A prediction is a function of the keys, so distinct keys and label are exact."""
     whole = " AND ".join(f'"{n}" IS NOT NULL' for n in SCORE_NAMES)
     return f"""SELECT DISTINCT {SCORE}, "isFraud", CAST(1 AS INTEGER) AS is_class,
-               CAST(1 AS INTEGER) AS same_alone FROM tx WHERE ({rule}) AND {whole}"""
+               CAST(1 AS INTEGER) AS same_alone{more} FROM tx WHERE ({rule}) AND {whole}"""
 
 
 CHECKED = "CAST(1 AS INTEGER) AS probability_ok, CAST(1 AS INTEGER) AS prediction_ok"
@@ -456,7 +456,7 @@ ORACLES: dict[str, str] = {
     + ' WHERE "oldbalanceDest" IS NOT NULL AND "newbalanceDest" IS NOT NULL',
     "hash_split": _with(TX)
     + f"SELECT tx_id, CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM tx",
-    "random_split": _with(TX)
+    "random_split_checks": _with(TX)
     + """SELECT count(*) AS n_rows, CAST(1 AS INTEGER) AS disjoint, CAST(1 AS INTEGER) AS repeatable,
                 CAST(1 AS INTEGER) AS share_ok FROM tx""",
     # evaluation
@@ -484,11 +484,15 @@ ORACLES: dict[str, str] = {
                  CAST("newbalanceDest" AS DECIMAL(12,2)) AS "newbalanceDest", {CHECKED} FROM filled
           UNION ALL
           SELECT {MANUAL_MONEY}, {CHECKED} FROM manual""",
-    "lr_evaluation": _with(TX) + _evaluation(", CAST(1 AS INTEGER) AS probability_ok"),
-    "rf_evaluation": _with(TX) + _evaluation(""),
-    "backtest_lr": _with(TX) + _checked_backtest(LARGE_SUBSET),
-    "backtest_rf": _with(TX) + _checked_backtest(BOTH_TYPES),
-    "predicted_fraud_rf": _with(TX)
+    "lr_evaluation_checks": _with(TX)
+    + _evaluation(", CAST(1 AS INTEGER) AS probability_ok, CAST(1 AS INTEGER) AS optimal"),
+    "rf_evaluation_checks": _with(TX) + _evaluation(", CAST(1 AS INTEGER) AS table_ok"),
+    "rf_holdout_table_checks": _with(TX)
+    + f"""SELECT tx_id, CAST("isFraud" AS DOUBLE) AS label, CAST(1 AS INTEGER) AS table_ok
+          FROM tx WHERE NOT ({IN_TRAIN})""",
+    "backtest_lr_checks": _with(TX) + _checked_backtest(LARGE_SUBSET),
+    "backtest_rf_checks": _with(TX) + _checked_backtest(BOTH_TYPES, ", CAST(1 AS INTEGER) AS table_ok"),
+    "predicted_fraud_rf_checks": _with(TX)
     + """SELECT CAST(count(*) > 0 AS INTEGER) AS all_positives, CAST(count(*) > 0 AS INTEGER) AS only_positives
          FROM tx""",
     # streams, against the batch result

@@ -14,6 +14,7 @@ from tillwatch.operators import (
     backtest as bt,
     evaluate as ev,
     features as ft,
+    model_table as mt,
     models,
     profile as pf,
     quality,
@@ -377,6 +378,13 @@ def hash_split(spark, sf_dir):
 
 @query
 def random_split(spark, sf_dir):
+    """The part of each id under the seeded split."""
+    train, test = ft.random_split(shared.staged_transactions(spark, sf_dir).select("tx_id"), SEED)
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+
+
+@query
+def random_split_checks(spark, sf_dir):
     """The seeded split: its parts are disjoint, whole, of the share asked for, and come out again."""
     ids = shared.staged_transactions(spark, sf_dir).select("tx_id")
     marked = []
@@ -502,9 +510,9 @@ def manual_scoring(spark, sf_dir):
 
 
 def _evaluation(scored):
-    """Rows per class, and whether each figure is the one of MLlib's evaluator.
+    """Figures per class, and whether each is the one of MLlib's evaluator.
 
-    Only classes that occur as labels, for those depend on no learned value.
+    Only classes that occur as labels.
     """
     metrics = ev.class_metrics(ev.confusion_matrix(scored)).filter("n_actual > 0")
     names = {"precision": "precisionByLabel", "recall": "recallByLabel", "f1": "fMeasureByLabel"}
@@ -516,43 +524,118 @@ def _evaluation(scored):
             found = F.lit(evaluator.evaluate(scored))
             expected = F.when(F.col("class") == label, found).otherwise(expected)
         flags.append((F.abs(F.col(name) - expected) < 1e-9).cast("int").alias(f"{name}_ok"))
-    return metrics.select("class", "n_actual", *flags)
+    return metrics.select("*", *flags)
+
+
+def _flags(df, *columns):
+    """The columns, and those flags that depend on no learned value, so that SQL can repeat them."""
+    return df.select(*columns, *[c for c in df.columns if c.endswith("_ok") or c in _FLAGS])
+
+
+_FLAGS = ("optimal", "is_class", "same_alone")
+
+
+@query
+def lr_certificate(spark, sf_dir):
+    """Coefficient, gradient, margin and slack of each feature over the training rows."""
+    return shared.certified(spark, sf_dir)
 
 
 @query
 def lr_evaluation(spark, sf_dir):
-    """With a check that probabilities are those of the fitted coefficients."""
+    """Figures per class; probabilities are those of the fitted coefficients, and these are the optimum."""
     scored = shared.scored_holdout(spark, sf_dir, "lr")
     model = shared.fitted(spark, sf_dir, "lr").stages[-1]
-    values = vector_to_array(F.col("features"))
-    margin = F.lit(float(model.intercept))
-    for i, weight in enumerate(model.coefficients.toArray().tolist()):
-        margin = margin + values[i] * F.lit(weight)
+    margin = mt.margin(model, vector_to_array(F.col("features")))
     off = F.abs(vector_to_array(F.col("probability"))[1] - 1 / (1 + F.exp(-margin)))
     checked = scored.groupBy(F.col("label").alias("class")).agg(
         (F.max(off) < 1e-9).cast("int").alias("probability_ok")
     )
-    return _evaluation(scored).join(checked, "class")
+    optimal = mt.is_optimal(shared.certified(spark, sf_dir)).first().optimal
+    return _evaluation(scored).join(checked, "class").withColumn("optimal", F.lit(optimal))
+
+
+@query
+def lr_evaluation_checks(spark, sf_dir):
+    return _flags(lr_evaluation(spark, sf_dir), "class", "n_actual")
+
+
+@query
+def forest_nodes(spark, sf_dir):
+    """The fitted forest as a table."""
+    return shared.forest_table(spark, sf_dir)
+
+
+@query
+def forest_leaves(spark, sf_dir):
+    """Each leaf's path as a condition, with the training rows that it covers."""
+    depth = shared.fitted(spark, sf_dir, "rf").stages[-1].getMaxDepth()
+    return mt.forest_leaves(shared.forest_table(spark, sf_dir), depth)
+
+
+def _from_table(spark, sf_dir, scored):
+    """Scored rows with what the forest's table gives."""
+    depth = shared.fitted(spark, sf_dir, "rf").stages[-1].getMaxDepth()
+    return mt.rescored(scored, shared.forest_table(spark, sf_dir), depth)
+
+
+def _same_as_table():
+    off = F.abs(vector_to_array(F.col("probability"))[1] - F.col("table_probability"))
+    return (off < 1e-9) & (F.col("prediction") == F.col("table_prediction"))
+
+
+@query
+def rf_holdout_table_scores(spark, sf_dir):
+    """Probability and prediction of each test row, from the forest's table and by MLlib."""
+    scored = _from_table(spark, sf_dir, shared.scored_holdout(spark, sf_dir, "rf"))
+    given = vector_to_array(F.col("probability"))[1].alias("probability")
+    same = _same_as_table().cast("int").alias("table_ok")
+    return scored.select("tx_id", "label", given, "prediction", "table_probability", "table_prediction", same)
+
+
+@query
+def rf_holdout_table_checks(spark, sf_dir):
+    return _flags(rf_holdout_table_scores(spark, sf_dir), "tx_id", "label")
 
 
 @query
 def rf_evaluation(spark, sf_dir):
-    return _evaluation(shared.scored_holdout(spark, sf_dir, "rf"))
+    """Figures per class; every prediction is the one of the forest's table."""
+    scored = shared.scored_holdout(spark, sf_dir, "rf")
+    same = _from_table(spark, sf_dir, scored).groupBy(F.col("label").alias("class")).agg(
+        F.min(_same_as_table().cast("int")).alias("table_ok")
+    )
+    return _evaluation(scored).join(same, "class")
+
+
+@query
+def rf_evaluation_checks(spark, sf_dir):
+    return _flags(rf_evaluation(spark, sf_dir), "class", "n_actual")
 
 
 def _checked_backtest(spark, sf_dir, classifier, rule):
-    """Back-test rows, and whether their prediction is a class and that of the row scored alone."""
+    """Back-test rows, and whether their prediction is a class and that of the row scored alone.
+
+    A forest's is also that of its table.
+    """
     rows = _backtest(spark, sf_dir, classifier, rule)
     model = shared.fitted(spark, sf_dir, classifier)
     given = rows.withColumnRenamed("prediction", "found").drop("isFraud")
-    again = models.score(model, given.distinct()).select(*SCORE_COLUMNS, "found", "prediction")
+    again = models.score(model, given.distinct())
+    table = []
+    if classifier == "rf":
+        again = _from_table(spark, sf_dir, again)
+        table = [_same_as_table().cast("int").alias("table_ok")]
+    again = again.select(*SCORE_COLUMNS, "found", "prediction", *table)
     same = [F.col(f"r.{c}") == F.col(f"a.{c}") for c in SCORE_COLUMNS]
     both = rows.alias("r").join(again.alias("a"), [*same, F.col("r.prediction") == F.col("a.found")])
     return both.select(
         *[F.col(f"r.{c}") for c in SCORE_COLUMNS],
         "r.isFraud",
+        "r.prediction",
         F.col("r.prediction").isin(0.0, 1.0).cast("int").alias("is_class"),
         (F.col("r.prediction") == F.col("a.prediction")).cast("int").alias("same_alone"),
+        *["table_ok" for _ in table],
     )
 
 
@@ -562,13 +645,29 @@ def backtest_lr(spark, sf_dir):
     return _checked_backtest(spark, sf_dir, "lr", rule)
 
 
+@query
+def backtest_lr_checks(spark, sf_dir):
+    return _flags(backtest_lr(spark, sf_dir), *SCORE_COLUMNS, "isFraud")
+
+
 @query
 def backtest_rf(spark, sf_dir):
     return _checked_backtest(spark, sf_dir, "rf", rules.transfer_or_cash_out())
 
 
+@query
+def backtest_rf_checks(spark, sf_dir):
+    return _flags(backtest_rf(spark, sf_dir), *SCORE_COLUMNS, "isFraud")
+
+
 @query
 def predicted_fraud_rf(spark, sf_dir):
+    """The rows that the forest calls fraud, with their labels."""
+    return bt.predicted_fraud(_backtest(spark, sf_dir, "rf", rules.transfer_or_cash_out()))
+
+
+@query
+def predicted_fraud_rf_checks(spark, sf_dir):
     """Whether the predicted frauds are exactly the positives of the back-test."""
     rows = staging.stage(_backtest(spark, sf_dir, "rf", rules.transfer_or_cash_out()), "backtest")
     found = bt.predicted_fraud(rows)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwatch.operators import model_table
 from tillwatch.operators.features import parts, with_part
 from tillwatch.operators.models import score, train
 from tillwatch.session import shared_path
@@ -121,3 +122,23 @@ def fitted(
         return train(rows, classifier, compat_label=compat_label, codes_from=every_row)
 
     return _once(spark, sf_dir, f"model {classifier} {compat_label}", fit)
+
+
+def forest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the fitted forest."""
+
+    def make() -> DataFrame:
+        return model_table.forest_nodes(spark, fitted(spark, sf_dir, "rf").stages[-1])
+
+    return _once(spark, sf_dir, "forest table", make)
+
+
+def certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The certificate of the fitted regression over its training rows."""
+
+    def make() -> DataFrame:
+        model = fitted(spark, sf_dir, "lr")
+        rows, _ = holdout(spark, sf_dir)
+        return stage(model_table.certificate(model.stages[-1], score(model, rows)), "certificate")
+
+    return _once(spark, sf_dir, "certificate", make)
