@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -102,6 +103,86 @@ def test_no_path_or_key_hides_a_secret(spark, docs_of):
     assert sum(glued[n][-24:] in clean[n]["text"] for n in range(300)) <= 0.03 * 300
 
 
+def ordinary(rng):
+    """Strings of kinds that hold no secret, none of them in the models' list."""
+    words = ["archive", "network", "module", "quarter", "driver", "kernel", "widget", "gateway", "payload", "station", "matrix"]
+
+    def w():
+        return rng.choice(words)
+
+    def digits(n):
+        return "".join(rng.choice(string.digits) for _ in range(n))
+
+    def hexes(n):
+        return "".join(rng.choice("0123456789abcdef") for _ in range(n))
+
+    return {
+        "url": f"//www.{w()}.com/{rng.randint(1990, 2030)}/{rng.randint(10, 12)}/{w()}-{w()}-{digits(3)}.html",
+        "path": f"/usr/lib/x86_64-linux-gnu/lib{w().title()}{digits(1)}{w().title()}.so.{digits(1)}.{digits(2)}.{digits(1)}",
+        "rule": rng.choice("=-_.+/xZ") * rng.randint(16, 90),
+        "date": f"{rng.randint(1970, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{digits(6)}.{digits(3)}+0{digits(3)}",
+        "constant": f"{w().upper()}_{digits(5)}_{w().upper()}_{w().upper()}",
+        "camel": w() + "".join(w().title() for _ in range(3)) + digits(rng.randint(0, 2)),
+        "uuid": f"{hexes(8)}-{hexes(4)}-{hexes(4)}-{hexes(4)}-{hexes(12)}",
+        "number": digits(rng.randint(16, 24)),
+    }
+
+
+FIXED = [
+    "=" * 20, "-" * 20, "//www.example.com/2024/03/17/quarterly-report-final.html", "2024-01-01T12-00-00.000Z",
+    "/usr/lib/x86_64-linux-gnu/libQt5Core.so.5.15.2", "SQLSTATE_42704_AMBIGUOUS_REFERENCE",
+]
+
+
+def test_ordinary_strings_stay(spark, docs_of):
+    """Rate of false findings on held-out strings, and recall on held-out secrets, with models of a corpus."""
+    corpus = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    table = S.train(S.labelled_strings(S.sample_of(corpus)))
+    rng = random.Random(11)
+    plain = [text for _ in range(200) for text in ordinary(rng).values()]
+    letters = string.ascii_letters + string.digits
+    secrets = [path(rng) * (n % 2) + "".join(rng.choice(letters) for _ in range(20)) for n in range(400)]
+    found = by_id(S.scan(docs_of(*enumerate([*FIXED, *plain, *secrets])), table))
+    hit = [bool(found[n]["spans"]) for n in range(len(found))]
+    first, last = len(FIXED), len(FIXED) + len(plain)
+    assert not any(hit[:first])
+    kinds = list(ordinary(rng))
+    wrong = [kinds[n % len(kinds)] for n, bad in enumerate(hit[first:last]) if bad]
+    assert len(wrong) <= 0.01 * len(plain), {k: wrong.count(k) for k in kinds}
+    assert sum(hit[last:]) >= 0.97 * len(secrets)
+    clean = by_id(S.without_secrets(docs_of((1, "A heading" + chr(10) + "=" * 40 + chr(10) + "text")), table))
+    assert "=" * 40 in clean[1]["text"]
+
+
+def test_spans_equal_plain_python(spark, docs_of):
+    """Statistical spans: the tokens that the models call random and no base span touches."""
+    rng = random.Random(12)
+    table = S.train(strings(spark, 1))
+    token = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+
+    def is_random(value):
+        value = re.sub(S.UUID, "-", value)
+        if len({c for c in value if c.isalnum()}) < S.LEAST_DISTINCT:
+            return False
+        r = [table[ord(a) * S.CODES + ord(b)] for a, b in zip(value, value[1:])]
+        least = S.LEAST - 1
+        runs = [sum(r[i:j]) for i in range(len(r)) for j in range(i + least, len(r) + 1)]
+        return max(runs or [sum(r)]) >= S.MIN_RATIO + math.log(max(1, len(runs)))
+
+    texts = []
+    for n in range(60):
+        parts = [random_token(rng, rng.randint(14, 40)), identifier(rng), ordinary(rng)["uuid"], path(rng) + random_token(rng, 20)]
+        parts += ["token: " + random_token(rng, 20), "=" * 30, "\U0001f600 é"]
+        rng.shuffle(parts)
+        texts.append(" ".join(parts))
+    found = by_id(S.scan(docs_of(*enumerate(texts)), table).select("doc_id", S.joined_spans(F.col("spans")).alias("s")))
+    for n, text in enumerate(texts):
+        fixed = base(text)
+        more = [(m.start(), 3, m.end()) for m in token.finditer(text) if is_random(m[0])]
+        more = [m for m in more if not any(b[0] < m[2] and b[2] > m[0] for b in fixed)]
+        assert found[n]["s"] == joined(sorted(fixed + more))
+
+
 def test_best_stretch_equals_all_stretches(spark):
     rng = random.Random(8)
     table = [rng.gauss(-0.2, 1) for _ in range(S.CODES * S.CODES)]

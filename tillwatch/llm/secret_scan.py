@@ -9,6 +9,7 @@ DataFrame functions only.
 from __future__ import annotations
 
 import math
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -35,9 +36,29 @@ CODES = 128
 SAMPLE_DOCS = 2000
 """Documents whose strings train the two models: those with the smallest hash of their id."""
 BACK_OFF = 8.0
-"""Pairs that the frequency of a character counts for beside those seen."""
+"""Pairs that the kinds of the two characters count for beside those seen."""
 MIN_RATIO = 12.0
-"""Log-likelihood ratio, in nats, from which a token counts as random."""
+"""Log-likelihood ratio, in nats, from which a token counts as random, beside what its length adds."""
+MOST_PER_PAIR = 3.0
+"""A single pair of characters weighs no more than this, however rarely it was seen."""
+LEAST_DISTINCT = 7
+"""Different letters and digits of a random token; rules and repeated characters have fewer."""
+UUID = "[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+"""Identifiers of this form are public names and no secrets, alone or with a path or key in front."""
+SEPARATORS = "+/_.=-"
+# Ordinary strings of kinds that prose has few of, labelled by hand.
+ORDINARY = (
+    "https//www.example.org/2023/11/08/annual-report-2022.html", "/usr/local/lib/python3.12/site-packages/numpy",
+    "/var/log/nginx/access.log.2.gz", "/etc/systemd/system/multi-user.target", "com.example.project.ServiceFactory",
+    "org.apache.commons.lang3.StringUtils", "getElementById.addEventListener", "XMLHttpRequest.onReadyStateChange",
+    "HTTP_STATUS_404_NOT_FOUND", "MAX_CONNECTION_TIMEOUT_MS", "ERROR_INVALID_PARAMETER_87", "ISO_8859_1_ENCODING",
+    "2021-03-14T15", "1999-12-31-23-59-59", "20200229-101500", "1234567890", "00000000", "192.168.100.254",
+    "127.0.0.1/8080", "v2.10.3-rc1", "release-2019.04.1", "linux-image-5.4.0-42-generic", "amd64-gnu-linux",
+    "chapter-12-section-3", "page_0042_of_0100", "IMG_20180704_183045.jpg", "invoice-2020-000123.pdf",
+    "file001.txt", "DSC00123.JPG", "RFC-2616-section-14.9", "ISBN-978-3-16-148410-0", "utf-8-sig", "base64_encode",
+    "int64_t", "uint32_max", "float32", "sha256sum", "md5_hexdigest", "libssl1.1", "gcc-9.3.0", "node_modules/.bin",
+    "WindowsServer2019DataCenter", "iPhone12ProMax", "QtWebEngineCore", "OpenGL4.6", "DirectX12", "JavaScriptES2015",
+)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -106,8 +127,9 @@ def codes(token: Column) -> Column:
 def labelled_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Strings labelled by the fixed patterns: ``token``, ``random``.
 
-    What the patterns find is random; every other run of six characters or more of the same alphabet is
-    an ordinary identifier.
+    What the patterns find is random if it has ``LEAST_DISTINCT`` characters and a digit (a word after
+    ``token:`` is none); every other run of six characters or more of the same alphabet is an ordinary
+    identifier, in capitals and with a capital as well, and so are the strings of ``ORDINARY``.
     """
     rest = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(F.col("t"), ASSIGN_AT, " "), LONG_ACCESS, " "), LONG_HEX, " "
@@ -116,20 +138,35 @@ def labelled_strings(docs: DataFrame, text_col: str = "text") -> DataFrame:
     texts = docs.select(text_or_empty(text_col).alias("t"))
     both = texts.select(
         F.concat(
-            F.transform(base_spans(F.col("t")), lambda s: F.struct(s["value"].alias("token"), F.lit(True).alias("random"))),
+            F.transform(
+                F.filter(base_spans(F.col("t")), lambda s: various(s["value"]) & s["value"].rlike("[0-9]")),
+                lambda s: F.struct(s["value"].alias("token"), F.lit(True).alias("random")),
+            ),
             F.transform(ordinary, lambda w: F.struct(w.alias("token"), F.lit(False).alias("random"))),
+            F.transform(ordinary, lambda w: F.struct(F.upper(w).alias("token"), F.lit(False).alias("random"))),
+            F.transform(ordinary, lambda w: F.struct(F.initcap(w).alias("token"), F.lit(False).alias("random"))),
         ).alias("s")
     )
-    return both.select(F.inline("s"))
+    by_hand = docs.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, ORDINARY))).alias("token"), F.lit(False).alias("random")
+    )
+    return both.select(F.inline("s")).unionAll(by_hand)
+
+
+def various(token: Column) -> Column:
+    """Whether a token has ``LEAST_DISTINCT`` different letters and digits."""
+    plain = F.regexp_replace(token, "[^A-Za-z0-9]", "")
+    return F.size(F.array_distinct(F.split(plain, ""))) >= LEAST_DISTINCT
 
 
 def train(strings: DataFrame) -> list[float]:
     """Log ratio of the two models for each pair of characters, by ``first * CODES + second``.
 
     ``strings`` has ``token`` and ``random``; nulls and tokens shorter than two characters add nothing.
-    Pairs back off to the second character's own frequency, smoothed by one half, so that an empty class
-    is uniform. At most one row per class and
-    pair of characters reaches the driver.
+    A pair backs off to that of its kinds (small letter, capital, digit), this to how often the second kind
+    comes at all, and to the second character's share of its kind, smoothed. Pairs with a separator say nothing, for either class: they are where words, dates
+    and versions are joined. A pair weighs ``MOST_PER_PAIR`` at most. At most one row per class and pair of
+    characters reaches the driver.
     """
     pairs = (
         strings.where("random IS NOT NULL AND length(token) > 1")
@@ -149,24 +186,45 @@ def train(strings: DataFrame) -> list[float]:
         .count()
     )
     counts = {(r["random"], r["a"], r["b"]): r["count"] for r in pairs.collect()}
-    letters = [c for c in range(CODES) if chr(c).isalnum() or chr(c) in "+/_.=-"]
+    kinds = ([ord(c) for c in string.ascii_lowercase], [ord(c) for c in string.ascii_uppercase], [ord(c) for c in string.digits])
+    kind_of = {c: k for k, members in enumerate(kinds) for c in members}
     table = [0.0] * (CODES * CODES)
-    alone = {}
-    for kind in (True, False):
-        often = {b: sum(counts.get((kind, a, b), 0) for a in letters) + 0.5 for b in letters}
-        total = sum(often.values())
-        alone[kind] = {b: n / total for b, n in often.items()}
-    for a in letters:
-        seen = {kind: sum(counts.get((kind, a, b), 0) for b in letters) for kind in (True, False)}
-        for b in letters:
-            chance = {
-                kind: (counts.get((kind, a, b), 0) + BACK_OFF * alone[kind][b]) / (seen[kind] + BACK_OFF)
-                for kind in (True, False)
-            }
-            table[a * CODES + b] = math.log(chance[True] / chance[False])
+    chances = {label: _chances(counts, label, kinds, kind_of) for label in (True, False)}
+    for a in kind_of:
+        for b in kind_of:
+            ratio = math.log(chances[True][a, b] / chances[False][a, b])
+            table[a * CODES + b] = max(-MOST_PER_PAIR, min(MOST_PER_PAIR, ratio))
     return table
 
 
+def _chances(counts: dict, label: bool, kinds: tuple, kind_of: dict) -> dict:
+    """Chance of each second letter or digit after each first one, in one class.
+
+    Half of a random character's share of its kind is uniform, since the labelled strings may know only
+    some alphabets (hexadecimal, say) of those that secrets are drawn from.
+    """
+    own = {(a, b): n for (given, a, b), n in counts.items() if given == label and a in kind_of and b in kind_of}
+    often = {b: 1.0 for b in kind_of}
+    steps = dict.fromkeys([(j, k) for j in range(len(kinds)) for k in range(len(kinds))], 0)
+    seen = dict.fromkeys(kind_of, 0)
+    for (a, b), n in own.items():
+        often[b] += n
+        steps[kind_of[a], kind_of[b]] += n
+        seen[a] += n
+    in_kind = [sum(often[b] for b in members) for members in kinds]
+    left = [sum(steps[j, k] for k in range(len(kinds))) for j in range(len(kinds))]
+    of_kind = [n / sum(in_kind) for n in in_kind]
+    chance = {}
+    for a, j in kind_of.items():
+        for b, k in kind_of.items():
+            share = often[b] / in_kind[k]
+            if label:
+                share = (share + 1 / len(kinds[k])) / 2
+            prior = (steps[j, k] + BACK_OFF * of_kind[k]) / (left[j] + BACK_OFF) * share
+            chance[a, b] = (own.get((a, b), 0) + BACK_OFF * prior) / (seen[a] + BACK_OFF)
+    return chance
+
+
 def table_literal(table: list[float]) -> Column:
     """The table as a constant array that the optimizer folds once."""
     return F.split(F.lit(",".join(f"{x:.6f}" for x in table)), ",").cast("array<double>")
@@ -224,17 +282,25 @@ def best_ratio(token: Column, table: Column) -> Column:
     return F.when(F.length(token) >= LEAST, let(codes(token), of_codes)).otherwise(log_ratio(token, table))
 
 
+def is_random(token: Column, table: Column, min_ratio: float = MIN_RATIO) -> Column:
+    """Whether the models call a stretch of a token random, and the token has enough different characters."""
+    beyond = F.greatest(F.length(token) - LEAST + 1, F.lit(1)).cast("double")
+    return various(token) & (best_ratio(token, table) >= F.lit(min_ratio) + F.log(beyond * (beyond + 1) / 2))
+
+
 def all_spans(text: Column, table: Column, min_ratio: float = MIN_RATIO) -> Column:
     """Base spans, and tokens that no base span touches and of which the models call a stretch random.
 
-    Such a token is a span as a whole, with the path or key that the secret hangs on.
+    Such a token is a span as a whole, with the path or key that the secret hangs on. A long token has many
+    stretches and the best of many is large by chance, so the ratio must exceed ``min_ratio`` by the
+    logarithm of their number. UUIDs are taken out of a token before it is judged.
     """
 
     def with_base(base: Column) -> Column:
         tokens = spans(text, TOKEN, "markov", LEAST)
         extra = F.filter(
             tokens,
-            lambda t: (best_ratio(t["value"], table) >= min_ratio)
+            lambda t: let(F.regexp_replace(t["value"], UUID, "-"), lambda v: is_random(v, table, min_ratio))
             & ~F.exists(base, lambda b: (b["start"] < t["stop"]) & (b["stop"] > t["start"])),
         )
         every = F.concat(base, extra)
