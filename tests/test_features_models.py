@@ -254,3 +254,28 @@ def test_all_zero_predictor_on_the_published_counts(spark):
     summary = ev.summary_metrics(ev.class_metrics(confusion)).first()
     assert summary.accuracy == pytest.approx(0.998709, abs=1e-6)
     assert summary.weighted_f1 == pytest.approx(0.998064, abs=1e-6)
+
+
+def test_label_codes_equal_the_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.createDataFrame([(v,) for v in (0, 0, 0, 1, 1, 7, 5, None)], "isFraud int")
+    built_in = StringIndexer(inputCol="isFraud", outputCol="label", handleInvalid="keep").fit(df)
+    ours = ft.label_codes(df)
+    assert ours.labels == built_in.labels == ["0", "1", "5", "7"]
+    assert rows(ours.transform(df)) == rows(built_in.transform(df))
+    assert ours.transform(df).schema["label"].metadata == built_in.transform(df).schema["label"].metadata
+
+
+def test_a_million_labels_do_not_reach_the_driver(spark):
+    df = spark.range(1_000_000).selectExpr("cast(if(id % 4 = 0, id % 3, id) as int) as isFraud")
+    model = ft.label_codes(df, top=5)
+    assert len(model.labels) == 5 and set(model.labels[:3]) == {"0", "1", "2"}
+    last = model.transform(df).groupBy("label").count().orderBy("label").collect()
+    assert [r["label"] for r in last] == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+    assert sum(r["count"] for r in last) == 1_000_000
+
+
+def test_no_label_at_all(spark):
+    df = spark.createDataFrame([(None,), (None,)], "isFraud int")
+    assert rows(ft.label_codes(df).transform(df)) == [(None, 0.0), (None, 0.0)]

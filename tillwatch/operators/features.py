@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,9 @@ from tillwatch.schema import FEATURE_COLUMNS, TRAIN_PERCENT, TX_TYPES
 
 NULL_POLICIES = ("fill", "skip", "error")
 
+# Classes of the compatible label, far above the two of the source.
+MAX_LABELS = 100
+
 # Tells a tree classifier that there are two classes, which saves a job over the training rows and
 # keeps a training set with one class valid.
 BINARY_LABEL = {"ml_attr": {"name": "label", "type": "nominal", "vals": ["0", "1"]}}
@@ -38,9 +41,18 @@ def unknown_types(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(F.coalesce(~F.col("type").isin(*TX_TYPES), F.lit(True))).alias("n_rows"))
 
 
-def label_indexer() -> StringIndexer:
-    """Compatible label: keeps a third class for labels never seen in training."""
-    return StringIndexer(inputCol="isFraud", outputCol="label", handleInvalid="keep")
+def label_codes(df: DataFrame, top: int = MAX_LABELS) -> StringIndexerModel:
+    """Compatible label: codes by descending frequency, ties by name, and one class more for all others.
+
+    Labels are counted in the tasks and across them, and only the ``top`` most frequent reach the driver, however
+    many a dirty column holds. Rarer labels, NULL and labels never seen share the last class.
+    """
+    label = F.col("isFraud").cast("string")
+    counted = df.select(label.alias("value")).where("value IS NOT NULL").groupBy("value").count()
+    first = counted.orderBy(F.desc("count"), F.asc("value")).limit(top).collect()
+    return StringIndexerModel.from_labels(
+        [r["value"] for r in first], inputCol="isFraud", outputCol="label", handleInvalid="keep"
+    )
 
 
 def with_label(df: DataFrame, declare_classes: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from tillwatch.operators.features import (
     apply_null_policy,
     assembler,
     known_types,
-    label_indexer,
+    label_codes,
     type_indexer,
     with_label,
 )
@@ -63,7 +63,7 @@ def train(
     coder = type_indexer().fit(known_types(df if codes_from is None else codes_from))
     stages = [coder, assembler(null_policy), CLASSIFIERS[classifier](**params)]
     if compat_label:
-        stages.insert(1, label_indexer())
+        stages.insert(1, label_codes(rows))
     else:
         rows = with_label(rows, declare_classes=classifier == "rf")
     return Pipeline(stages=stages).fit(rows)

@@ -340,6 +340,9 @@ ORACLES: dict[str, str] = {
     "preview_top_n": _with(TX) + f"SELECT tx_id, {ALL} FROM tx ORDER BY amount DESC, tx_id LIMIT 20",
     "view_score_subset": _with(TX) + f"SELECT tx_id, {SCORE} FROM tx WHERE {LARGE_SUBSET}",
     "sink_roundtrip": _with(TX, SCORED.format(rule=BOTH_TYPES)) + "SELECT * FROM scored",
+    "sink_repeated": _with(TX, SCORED.format(rule=BOTH_TYPES))
+    + """SELECT * REPLACE (CASE WHEN "type" = 'TRANSFER' THEN prediction + 2 ELSE prediction END AS prediction)
+         FROM scored""",
     "manual_rows": _with(TX, MANUAL)
     + f"SELECT {SCORE} FROM tx UNION ALL SELECT {MANUAL_MONEY} FROM manual",
     # projections and conversion
@@ -392,6 +395,7 @@ ORACLES: dict[str, str] = {
     "row_count": _with(TX) + "SELECT count(*) AS n_rows FROM tx",
     "profile_raw": _profile("raw", TX_NAMES, _with(TX)),
     "profile_decimal": _profile("tx", TX_NAMES, _with(TX)),
+    "profile_by_file": _profile("tx", TX_NAMES, _with(TX)),
     "profile_model_columns": _profile("tx", (*SCORE_NAMES, "isFraud"), _with(TX)),
     "scored_columns": _with(TX, SCORED.format(rule=BOTH_TYPES), _codes("codes", "scored"), CODED)
     + "SELECT * FROM coded",

@@ -16,6 +16,7 @@ from tillwatch.operators import (
     features as ft,
     model_table as mt,
     models,
+    moments,
     profile as pf,
     quality,
     subsets,
@@ -32,7 +33,7 @@ from tillwatch.schema import (
     TX_COLUMNS,
 )
 from tillwatch.session import shared_path
-from tillwatch.sources import csv, literals, staging, tables
+from tillwatch.sources import csv, literals, staging, tables, versions
 from tillwatch.streaming import operators as st
 from tillwatch.streaming import runs, seen
 
@@ -93,6 +94,20 @@ def sink_roundtrip(spark, sf_dir):
     return staging.read_table(scored, path)
 
 
+@query
+def sink_repeated(spark, sf_dir):
+    """Scored rows written in two jobs, each run twice, and then the transfers once more, marked as reviewed."""
+    scored = _rule_scored(spark, sf_dir, rules.transfer_or_cash_out())
+    table = versions.VersionedTable(spark, shared_path(spark, "scored-versions"))
+    for commit in ("even", "odd", "even", "odd"):
+        table.append(scored.where(F.col("tx_id") % 2 == int(commit == "odd")), commit, ["type"])
+    reviewed = scored.where("type = 'TRANSFER'").withColumn("prediction", F.col("prediction") + 2)
+    for _ in range(2):
+        table.replace(reviewed, "reviewed", ["type"])
+    table.compact("merged")
+    return table.read()
+
+
 @query
 def manual_rows(spark, sf_dir):
     """Hand-written rows in the transactions' money type, appended to the transactions."""
@@ -210,6 +225,17 @@ def profile_decimal(spark, sf_dir):
     return pf.profile(shared.staged_transactions(spark, sf_dir), TX_COLUMNS)
 
 
+@query
+def profile_by_file(spark, sf_dir):
+    """The same profile from moments of each file; the first file is measured alone, the others when they come."""
+    tx = shared.staged_transactions(spark, sf_dir).select(*TX_COLUMNS)
+    files = sorted(tx.inputFiles())
+    table = versions.VersionedTable(spark, shared_path(spark, "moments"))
+    moments.refresh(table, tx.schema, files[:1])
+    moments.refresh(table, tx.schema, files)
+    return moments.profile(table, tx.schema, files)
+
+
 @query
 def profile_model_columns(spark, sf_dir):
     return pf.profile(shared.staged_transactions(spark, sf_dir), MODEL_COLUMNS)
@@ -340,7 +366,7 @@ def type_index_unseen(spark, sf_dir):
 @query
 def label_index(spark, sf_dir):
     tx = shared.staged_transactions(spark, sf_dir).select("tx_id", "isFraud")
-    return ft.label_indexer().fit(tx).transform(tx)
+    return ft.label_codes(tx).transform(tx)
 
 
 @query
