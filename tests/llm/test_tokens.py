@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+import time
 
 import public_tokenizers
 import pytest
@@ -131,3 +132,41 @@ def test_registered_queries(spark, sf_dir, library, encoding):
         assert codes[key]["n_tokens"] == len(ids)
         assert codes[key]["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
         assert codes[key]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def long_runs():
+    chance = random.Random(11)
+    for letters, size in (("abcdefghijklmnopqrstuvwxyz", 30_000), ("aab", 5_000), ("a", 4_097), ("éßж漢", 4_000), ("-", 9_000)):
+        yield "".join(chance.choice(letters) for _ in range(size))
+
+
+def test_long_runs_equal_the_libraries(counter, codec, library, encoding):
+    for text in long_runs():
+        assert counter.counts([text]) == [len(library.encode(text, add_special_tokens=False).ids)]
+        ids = encoding.encode_ordinary(text)
+        assert codec.encode([text]) == [struct.pack(f"<{len(ids)}I", *ids)]
+
+
+@pytest.mark.parametrize("long_bytes, in_step", [(0, 1), (0, 10**9), (7, 3)])
+def test_every_way_of_merging_gives_the_same(monkeypatch, library, encoding, long_bytes, in_step):
+    """Short pieces by the ways of long runs, and long ones in step."""
+    monkeypatch.setattr("tillwatch.llm.token_counts.LONG_BYTES", long_bytes)
+    monkeypatch.setattr("tillwatch.llm.bpe_codec.TreeMerger.IN_STEP", in_step)
+    texts = [*ODD, *random_texts()]
+    expected = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert TokenCounter(JSON, PATTERN).counts(texts) == expected
+    ids = [encoding.encode_ordinary(t) for t in texts]
+    assert Codec(RANKS, PATTERN).encode(texts) == [struct.pack(f"<{len(i)}I", *i) for i in ids]
+
+
+def test_a_megabyte_without_a_break(counter, codec, encoding):
+    """In a few passes' time: with whole passes it would take minutes."""
+    chance = random.Random(12)
+    text = "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    began = time.perf_counter()
+    n_tokens = counter.counts([text])
+    ids = codec.encode([text])[0]
+    assert time.perf_counter() - began < 60
+    expected = encoding.encode_ordinary(text)
+    assert ids == struct.pack(f"<{len(expected)}I", *expected)
+    assert n_tokens == [len(expected)]

@@ -2,12 +2,15 @@
 
 A leaf holds the rank of the pair that starts at its byte, the root the lowest rank and its leftmost
 place. A merge changes the leaves of the merged pair, its right part and its left neighbour, each in
-logarithmic time.
+logarithmic time. Many pieces of a size are merged in step, one merge of each a round; where there are few, as with
+long runs, each has a tree of its own.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,10 +36,11 @@ class TreeMerger:
     """Merges batches of byte pieces in step: each round does one merge in every live piece.
 
     All pieces of a batch have trees of one size. Pieces of any length are merged whole; a batch is
-    bounded by its bytes.
+    bounded by its bytes. A round costs as much as some ten merges one by one, so fewer pieces do without rounds.
     """
 
     BATCH_CELLS = 1 << 16
+    IN_STEP = 10
 
     def __init__(self, ranks: dict[bytes, int]):
         self.id_of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
@@ -48,6 +52,8 @@ class TreeMerger:
         }
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        # The same numbers for reading one at a time.
+        self.key_list, self.rank_list = array("q", self.keys.tobytes()), array("q", self.ranks.tobytes())
 
     def nodes(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, bits: int):
         """Rank and place in one number, so that the smaller node is the one to merge first."""
@@ -67,10 +73,64 @@ class TreeMerger:
             step = max(1, self.BATCH_CELLS >> bits)
             for start in range(0, len(members), step):
                 batch = members[start : start + step]
+                if len(batch) < self.IN_STEP:
+                    for n in batch:
+                        out[n] = self.merge_one(pieces[n])
+                    continue
                 for n, ids in zip(batch, self._merge([pieces[n] for n in batch], bits), strict=True):
                     out[n] = ids
         return out
 
+    def merge_one(self, piece: bytes) -> bytes:
+        """Token ids of one piece, merge by merge; an update ends at the first node that stays as it is."""
+        length = len(piece)
+        bits = (length - 1).bit_length()
+        size = 1 << bits
+        start = np.full(size + 1, -1)
+        start[:length] = self.id_of_byte[np.frombuffer(piece, np.uint8)]
+        nodes = np.full(2 * size, NO_PAIR)
+        if size > 1:
+            nodes[size:-1] = self.nodes(start[: size - 1], start[1:size], np.arange(size - 1), bits)
+            for level in range(bits - 1, -1, -1):
+                a = 1 << level
+                nodes[a : 2 * a] = np.minimum(nodes[2 * a : 4 * a : 2], nodes[2 * a + 1 : 4 * a : 2])
+        none, mask = NO_PAIR, size - 1
+        tree, ids = array("q", nodes.tobytes()), array("q", start.tobytes())
+        after = array("q", range(1, length + 1))
+        before = array("q", range(-1, length))
+        keys, ranks, last = self.key_list, self.rank_list, len(self.key_list)
+
+        def put(node: int, value: int) -> None:
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
+                node >>= 1
+                if tree[node] == value:
+                    return
+                tree[node] = value
+
+        def pair(left: int, right: int, place: int) -> int:
+            key = (left << 32) | right
+            at = bisect_left(keys, key)
+            return (ranks[at] << bits) | place if at < last and keys[at] == key else none
+
+        while size > 1 and tree[1] != none:
+            here, made = tree[1] & mask, tree[1] >> bits
+            gone = after[here]
+            following = after[gone]
+            previous = before[here]
+            after[here] = following
+            before[following] = here
+            ids[here], ids[gone] = made, -1
+            put(size + gone, none)
+            put(size + here, pair(made, ids[following], here) if following < length else none)
+            if previous >= 0:
+                put(size + previous, pair(ids[previous], made, previous))
+        found = np.frombuffer(ids, np.int64)
+        return found[found >= 0].astype("<u4").tobytes()
+
     def _merge(self, pieces: list[bytes], bits: int) -> list[bytes]:
         size, count = 1 << bits, len(pieces)
         lengths = np.fromiter(map(len, pieces), np.int64, count)

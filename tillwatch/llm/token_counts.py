@@ -3,10 +3,13 @@
 A batch of distinct pre-tokens lies in one flat symbol array. In each round every sequence applies
 its own lowest-ranked pair at all places at once, left to right; the symbols that survive are
 counted. Merges only ever form pairs of a higher rank, so this gives the counts of one-by-one merging.
+A long sequence has as many rounds as it has different pairs, so its places are kept by rank and a round looks at
+its own places only.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,6 +27,8 @@ from tillwatch.llm.pretokens import splitter
 NO_PAIR = np.iinfo(np.int64).max
 KNOWN_BYTES = 16 << 20
 """What a task remembers of distinct pre-tokens and their counts; beyond it the memory starts anew."""
+LONG_BYTES = 2048
+"""Sequences above this length are merged each by itself."""
 
 
 def byte_letters() -> dict[int, str]:
@@ -59,6 +64,73 @@ class RaggedMerger:
         return ranks
 
     def counts(self, sequences: list[bytes]) -> np.ndarray:
+        long = [n for n, s in enumerate(sequences) if len(s) > LONG_BYTES]
+        if long:
+            counts = self._counts([b"" if len(s) > LONG_BYTES else s for s in sequences])
+            counts[long] = [self.long_count(sequences[n]) for n in long]
+            return counts
+        return self._counts(sequences)
+
+    def long_count(self, sequence: bytes) -> int:
+        """Symbols left of one sequence; its live symbols are linked, and places wait under their pair's rank."""
+        size = len(sequence)
+        symbols = np.full(size + 1, -1)  # the last one stands for the end
+        symbols[:size] = self.symbol_of_byte[np.frombuffer(sequence, np.uint8)]
+        after, before = np.arange(1, size + 2), np.arange(-1, size)
+        ranks = np.full(size + 1, NO_PAIR)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            """Set the rank of the pairs that start at places, and put the places under it."""
+            found = self._ranks_of(symbols[places], symbols[after[places]])
+            ranks[places] = found
+            places, found = places[found != NO_PAIR], found[found != NO_PAIR]
+            if not len(places):
+                return
+            order = np.argsort(found, kind="stable")
+            places, found = places[order], found[order]
+            starts = np.flatnonzero(np.diff(found, prepend=-1)).tolist()
+            for a, b in zip(starts, [*starts[1:], len(found)], strict=True):
+                rank = int(found[a])
+                if rank not in waiting:
+                    waiting[rank] = []
+                    heapq.heappush(heap, rank)
+                waiting[rank].append(places[a:b])
+
+        wait(np.arange(size))
+        left = size
+        while heap:
+            rank = heapq.heappop(heap)
+            places = np.unique(np.concatenate(waiting.pop(rank)))
+            places = places[ranks[places] == rank]
+            if not len(places):
+                continue
+            # Overlaps are runs of one repeated symbol: every second place of a run merges.
+            number = np.arange(len(places))
+            first = np.ones(len(places), bool)
+            first[1:] = after[places[:-1]] != places[1:]
+            places = places[(number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0]
+            gone = after[places]
+            following = after[gone]
+            symbols[places] = self.made[rank]
+            after[places] = following
+            before[following] = places
+            ranks[gone] = NO_PAIR
+            left -= len(places)
+            behind = before[places]
+            wait(np.unique(np.concatenate([places, behind[behind >= 0]])))
+        return left
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair; none where the right symbol is the end."""
+        if not len(self.keys):
+            return np.full(len(left), NO_PAIR)
+        pairs = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        return np.where((right >= 0) & (self.keys[at] == pairs), self.ranks[at], NO_PAIR)
+
+    def _counts(self, sequences: list[bytes]) -> np.ndarray:
         lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
         counts = np.zeros(len(sequences), np.int64)
         alive = np.flatnonzero(lengths)
