@@ -7,10 +7,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tests import oracle
 from tests.conftest import rows
+from tillwatch.operators import features, models
 from tillwatch.operators import model_table as mt
-from tillwatch.operators import models
 from tillwatch.plans import shared
+from tillwatch.plans.oracles import ORACLES
 from tillwatch.plans.queries import QUERIES
 from tillwatch.schema import FEATURE_COLUMNS, SCORE_COLUMNS
 
@@ -142,3 +144,19 @@ def test_random_split_returns_every_id(spark, sf_dir):
     ids = shared.staged_transactions(spark, sf_dir).select("tx_id")
     assert rows(found.select("tx_id")) == rows(ids)
     assert found.filter("part = 'train'").count() > found.filter("part = 'test'").count() > 0
+
+
+def test_sql_sees_each_id_of_the_random_split(spark, sf_dir, monkeypatch):
+    """One row per id in query and SQL, so that a split that swaps one id for another is found."""
+    connection = oracle.connect(sf_dir)
+    sql = ORACLES["random_split_ids"]
+    assert oracle.difference(QUERIES["random_split_ids"](spark, sf_dir), connection, sql) is None
+    split = features.random_split
+
+    def swapped(df, seed):
+        train, test = split(df, seed)
+        largest = test.agg(F.max("tx_id")).first()[0]
+        return train, test.withColumn("tx_id", F.when(F.col("tx_id") == largest, -1).otherwise(F.col("tx_id")))
+
+    monkeypatch.setattr(features, "random_split", swapped)
+    assert oracle.difference(QUERIES["random_split_ids"](spark, sf_dir), connection, sql) is not None

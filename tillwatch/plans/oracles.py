@@ -460,6 +460,7 @@ ORACLES: dict[str, str] = {
     + ' WHERE "oldbalanceDest" IS NOT NULL AND "newbalanceDest" IS NOT NULL',
     "hash_split": _with(TX)
     + f"SELECT tx_id, CASE WHEN {IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM tx",
+    "random_split_ids": _with(TX) + "SELECT tx_id FROM tx",
     "random_split_checks": _with(TX)
     + """SELECT count(*) AS n_rows, CAST(1 AS INTEGER) AS disjoint, CAST(1 AS INTEGER) AS repeatable,
                 CAST(1 AS INTEGER) AS share_ok FROM tx""",
