@@ -119,6 +119,34 @@ def test_shard_search():
     assert shard.holds(queries).tolist() == [True] * 20 + [False] * 10
 
 
+@pytest.mark.parametrize("length", [3, 5, 12, 200])
+def test_refinement_ends_at_the_length_of_a_string(length):
+    """Ranks of strings, and which repeat, without sorting suffixes any deeper."""
+    rng = random.Random(8)
+    passages = [bytes(rng.choice(b"ab") for _ in range(length + 40)) for _ in range(4)]
+    stretches = [b"x" * (3 * length), *(rng.choice(passages)[k : length + 2 * k] for k in range(20) for _ in range(2))]
+    shard = S.Shard(stretches, length)
+    strings = {a + k: s[k : k + length] for a, s in zip(shard.starts, stretches, strict=True) for k in range(len(s) - length + 1)}
+    often = Counter(strings.values())
+    assert {p for p, s in strings.items() if often[s] > 1} == set(np.flatnonzero(shard.repeated).tolist())
+    ranks, repeated = S.string_ranks(shard.data, shard.left, length)
+    assert sorted(repeated.tolist()) == np.flatnonzero(shard.repeated).tolist()
+    assert len({(s, int(ranks[p])) for p, s in strings.items()}) == len(often) == len({int(ranks[p]) for p in strings})
+    assert [strings[p] for p in shard.order.tolist()] == sorted(strings.values())
+
+
+def test_texts_meet_their_runs_in_any_batch(spark, docs_of):
+    """Equal rows, documents whose runs fill several batches, and grams whose stretches all occur as a whole elsewhere."""
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdefgh \n") for _ in range(6000))
+    docs = [(1, long), (1, long), (1, long), (2, long[:3000]), (2, long[3000:]), (3, "z" + long[1000:1500]), (3, "z" + long[1000:1500]), (4, None)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        check(docs_of(*docs), docs)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_rows_of_every_kind(spark, docs_of):
     same = "shared passage " * 20 + "tail"
     docs = [

@@ -7,7 +7,7 @@ of all grams in the string, which is the same wherever the string stands. So
 2. around each gram that occurs twice or more, the stretch whose strings chose it is cut out, and equal
    stretches become one row, so that copies of any number cost one;
 3. the stretches of a gram come together in shards, whose suffix arrays are sorted by Larsson-Sadakane
-   refinement; common prefixes (Kasai) of suffix-array neighbours tell which strings repeat. A gram with more
+   refinement as deep as a string is long: suffixes still tied then start with the same string. A gram with more
    stretches than a shard holds has several shards, merged by binary search of each one's strings in the
    others' suffix arrays. For a gram with more stretches than a task may hold, its strings are counted by
    digest instead, as an aggregation that splits over tasks;
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.llm.common import part_count, slices, staged, text_or_empty, tidy
 from tillwatch.llm.minhash import coefficients, mixed
-from tillwatch.llm.runs import key_runs, release
+from tillwatch.llm.runs import release
 from tillwatch.sources.staging import remove
 
 LENGTH = 200
@@ -37,6 +38,8 @@ GRAM_STRETCHES = 50_000
 SEPARATOR = b"\xff"
 """A byte that UTF-8 text never holds: no string that crosses it can equal one of a text."""
 SLICE = 2 << 20
+BLOCK = 256 << 10
+"""Bytes hashed at once: their arrays stay in a core's cache."""
 PLACE_BITS = 23
 SEEN_LIMIT = 100_000
 ADDED = ("_kept", "_kept_text", "_n_bytes", "_n_removed", "_n_spans")
@@ -112,11 +115,18 @@ def text_pieces(texts: list[bytes], length: int, most: int) -> Iterator[tuple[li
 
 def stable_order(keys: np.ndarray, bits: int) -> np.ndarray:
     """Order of keys below 2**bits. Key and place sort as one number where they fit into it."""
+    return sorted_keys(keys, bits)[0]
+
+
+def sorted_keys(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of keys below 2**bits, and the keys in this order."""
     places = max(1, (len(keys) - 1).bit_length())
     if bits + places > 63:
-        return np.argsort(keys, kind="stable")
-    packed = np.sort((keys.astype(np.int64) << places) | np.arange(len(keys)))
-    return packed & ((1 << places) - 1)
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    packed = (keys.astype(np.int64) << places) | np.arange(len(keys))
+    packed.sort()
+    return packed & ((1 << places) - 1), packed >> places
 
 
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,22 +195,59 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, ranks: np.ndarray, cap:
     return found
 
 
+def string_ranks(data: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each string of ``length`` bytes, by the place where it starts, and the places of those that repeat.
+
+    The refinement of :func:`suffix_array`, but no deeper than ``length``. ``left`` are the bytes from each place
+    to the end of its stretch: a suffix with fewer than the depth reached is part of no string, and leaves.
+    """
+    depth, bits = min(5, length), len(data).bit_length()
+    first = np.zeros(max(0, len(data) - depth + 1), np.int64)
+    for i in range(depth):
+        first = (first << 8) | data[i : i + len(first)]
+    tied = np.flatnonzero(left >= depth)
+    order, keys = sorted_keys(first[tied], 8 * depth)
+    tied, group = tied.astype(np.int32), np.zeros(len(tied), np.int64)
+    ranks = np.zeros(len(data), np.int32)
+    while len(tied):
+        tied = tied[order]
+        # Groups stay where they are; inside one, suffixes rank by the number of those before them.
+        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        sizes = np.diff(np.append(heads, len(tied)))
+        of = group[heads]
+        opens = np.concatenate([[True], of[1:] != of[:-1]])
+        rank = of + heads - np.maximum.accumulate(np.where(opens, heads, 0))
+        ranks[tied] = np.repeat(rank, sizes)
+        tied = tied[np.repeat(sizes > 1, sizes)]
+        if depth == length:
+            break
+        step = min(depth, length - depth)
+        depth += step
+        tied = tied[left[tied] >= depth]
+        group = ranks[tied].astype(np.int64)
+        order, keys = sorted_keys((group << bits) | ranks[tied + step], 2 * bits)
+    return ranks, tied
+
+
 class Shard:
     """Suffix array of some stretches, and which strings of ``length`` bytes repeat in it."""
 
     def __init__(self, stretches: list[bytes], length: int):
-        self.starts, at = [], 0
-        for stretch in stretches:
-            self.starts.append(at)
-            at += len(stretch) + 1
-        parts = [part for stretch in stretches for part in (stretch, SEPARATOR)]
+        sizes = np.fromiter(map(len, stretches), np.int64, len(stretches)) + 1
+        ends = np.cumsum(sizes)
+        self.starts = (ends - sizes).tolist()
         self.length = length
-        self.data = np.frombuffer(b"".join(parts), np.uint8)
-        self.order, ranks = suffix_array(self.data)
-        common = common_prefixes(self.data, self.order, ranks, length)
-        alike = common >= length
-        self.repeated = alike.copy()
-        self.repeated[self.order[:-1]] |= alike[self.order[1:]]
+        self.data = np.frombuffer(SEPARATOR.join([*stretches, b""]), np.uint8)
+        self.left = (np.repeat(ends - 1, sizes) - np.arange(len(self.data))).astype(np.int32)
+        self.ranks, again = string_ranks(self.data, self.left, length)
+        self.repeated = np.zeros(len(self.data), bool)
+        self.repeated[again] = True
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        """Places where strings start, sorted by string."""
+        places = np.flatnonzero(self.left >= self.length)
+        return places[np.argsort(self.ranks[places], kind="stable")]
 
     def holds(self, queries: np.ndarray) -> np.ndarray:
         """Whether the shard has a suffix that starts with each row of ``queries`` (bytes), by binary search."""
@@ -265,7 +312,7 @@ def _grams(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text", SLICE):
-            for numbers, firsts, pieces in text_pieces(part.column("_text").to_pylist(), length, SLICE):
+            for numbers, firsts, pieces in text_pieces(part.column("_text").to_pylist(), length, min(BLOCK, SLICE)):
                 piece, grams, first, last = chosen_grams(pieces, length)
                 if not len(piece):
                     continue
@@ -286,35 +333,56 @@ def _grams(docs: DataFrame, length: int) -> DataFrame:
 def _stretches(docs: DataFrame, candidates: DataFrame, length: int) -> DataFrame:
     """Stretch of each candidate run: its digest, and its bytes where a task has not met them before."""
 
+    names = ("gram", "digest", "k1", "k2", "first", "stretch")
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for part in slices(batches, "_text", SLICE):
-            out: list[list] = [[] for _ in range(6)]
-            columns = (part.column(c).to_pylist() for c in ("k1", "k2", "_text", "found"))
-            for k1, k2, text, found in zip(*columns, strict=True):
+        out: list[list] = [[] for _ in names]
+        size, now = 0, None
+        found: dict[int, int] = {}  # gram of each run of the document
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("k1", "k2", "gram", "run", "_text"))
+            for k1, k2, gram, one, text in zip(*columns, strict=True):
+                if (k1, k2) != now:
+                    now, found = (k1, k2), {}
+                if text is None:
+                    found[one] = gram
+                    continue
+                digests = []
                 for one in found:
-                    first = one["run"] >> 16
-                    stretch = text[first : first + (one["run"] & 0xFFFF) + length]
+                    first = one >> 16
+                    stretch = text[first : first + (one & 0xFFFF) + length]
                     digest = hashlib.blake2b(stretch, digest_size=16).digest()
-                    known = digest in seen
-                    if not known:
-                        if len(seen) > SEEN_LIMIT:
-                            seen.clear()
-                        seen.add(digest)
-                    row = (one["gram"], digest, k1, k2, first, None if known else stretch)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
-                names=["gram", "digest", "k1", "k2", "first", "stretch"],
-            )
-
-    by_doc = candidates.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "run")).alias("found"))
-    # Equal rows have equal keys and equal stretches: each of them finds the runs of both.
-    joined = docs.join(by_doc, ["k1", "k2"]).select("k1", "k2", "_text", F.array_distinct("found").alias("found"))
-    return joined.mapInArrow(
-        tidy(run), "gram long, digest binary, k1 long, k2 long, first long, stretch binary"
+                    digests.append(digest)
+                    if digest in seen:
+                        out[5].append(None)
+                        continue
+                    if len(seen) > SEEN_LIMIT:
+                        seen.clear()
+                    seen.add(digest)
+                    out[5].append(stretch)
+                    size += len(stretch)
+                out[0] += found.values()
+                out[1] += digests
+                out[2] += [k1] * len(found)
+                out[3] += [k2] * len(found)
+                out[4] += [one >> 16 for one in found]
+                if size > SLICE or len(out[0]) > 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+                    out, size = [[] for _ in names], 0
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+
+    # The runs of a document come before its text. Equal rows have equal keys: each of them finds the runs of both.
+    nothing = F.lit(None)
+    runs = candidates.select("k1", "k2", "gram", "run", nothing.cast("binary").alias("_text"))
+    texts = docs.select("k1", "k2", nothing.cast("long").alias("gram"), nothing.cast("long").alias("run"), "_text")
+    return (
+        runs.unionByName(texts)
+        .repartition(part_count(docs.sparkSession), "k1", "k2")
+        .sortWithinPartitions("k1", "k2", F.col("_text").isNotNull())
+        .mapInArrow(tidy(run), "gram long, digest binary, k1 long, k2 long, first long, stretch binary")
     )
 
 
@@ -328,28 +396,43 @@ def _judged_in_shards(distinct: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
     def results(shard: Shard, held: list[tuple]) -> Iterator[tuple]:
-        for start, (gram, digest, stretch, often) in zip(shard.starts, held, strict=True):
-            count = len(stretch) - length + 1
-            if often:  # the stretch occurs elsewhere as a whole
-                yield gram, digest, 0, count
-                continue
-            for a, b in true_runs(shard.repeated[start : start + count]):
-                yield gram, digest, a, b
+        often = np.array([h[3] for h in held])  # these occur elsewhere as a whole
+        for number in np.flatnonzero(often).tolist():
+            gram, digest, stretch, _ = held[number]
+            yield gram, digest, 0, len(stretch) - length + 1
+        # Strings start so far from the next stretch that no run of them goes on there.
+        runs = np.array(true_runs(shard.repeated), np.int64).reshape(-1, 2)
+        starts = np.array(shard.starts)
+        owner = np.searchsorted(starts, runs[:, 0], "right") - 1
+        runs, owner = runs[~often[owner]], owner[~often[owner]]
+        runs -= starts[owner][:, None]
+        for number, (first, stop) in zip(owner.tolist(), runs.tolist(), strict=True):
+            yield *held[number][:2], first, stop
 
     def shard_of(held: list[tuple]) -> Shard:
         return Shard([h[2] for h in held], length)
 
+    def of_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        own: list[tuple] = []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("gram", "digest", "stretch", "n"))
+            for gram, digest, stretch, n in zip(*columns, strict=True):
+                if own and own[0][0] != gram:
+                    yield own
+                    own = []
+                own.append((gram, digest, stretch, n > 1))
+        if own:
+            yield own
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         alone: list[tuple] = []
         size = 0
-        for (gram,), rows in key_runs(batches, ("gram",)):
-            columns = (rows.column(c).to_pylist() for c in ("digest", "stretch", "n"))
-            own = [(gram, d, s, n > 1) for d, s, n in zip(*columns, strict=True)]
-            if len(own) == 1:
-                # Strings of one stretch choose the gram at different offsets, so they differ: nothing to sort.
-                if own[0][3]:
-                    alone.append((gram, own[0][1], 0, len(own[0][2]) - length + 1))
+        for own in of_grams(batches):
+            if len(own) == 1 or all(often for *_, often in own):
+                # Strings of one stretch choose the gram at different offsets, so they differ: nothing to sort. Nor
+                # where every stretch occurs elsewhere as a whole.
+                alone += [(gram, digest, 0, len(stretch) - length + 1) for gram, digest, stretch, often in own if often]
                 if len(alone) >= 4096:
                     yield batch_of(alone)
                     alone = []
