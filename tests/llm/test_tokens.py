@@ -7,6 +7,7 @@ import random
 import struct
 import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -159,6 +160,27 @@ def test_every_way_of_merging_gives_the_same(monkeypatch, library, encoding, lon
     assert Codec(RANKS, PATTERN).encode(texts) == [struct.pack(f"<{len(i)}I", *i) for i in ids]
 
 
+def test_a_round_looks_up_new_pairs_only(counter, library, monkeypatch):
+    """Two pairs at most for each merge, whatever the number of rounds; the counts are the library's."""
+    chance = random.Random(13)
+    words = ["".join(chance.choice("etaoinshrdlué") for _ in range(chance.randrange(1, 40))) for _ in range(500)]
+    looked, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda keys, pairs, *more: looked.append(len(pairs)) or search(keys, pairs, *more))
+    found = counter.merger.counts([w.encode() for w in words])
+    assert found.tolist() == [len(library.encode(w, add_special_tokens=False).ids) for w in words]
+    assert sum(looked) <= 2 * (sum(len(w.encode()) for w in words) - found.sum())
+
+
+def test_memory_that_starts_anew_keeps_counts(library):
+    """Words of a call are counted from the call's own table, also where the task's memory has just been dropped."""
+    small = TokenCounter(JSON, PATTERN)
+    small.known.most = 1
+    texts = [*ODD, *random_texts()[:40]]
+    expected = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert small.counts(texts) == small.counts(texts) == expected
+    assert [n for t in texts for n in small.counts([t])] == expected and not small.known
+
+
 def test_a_megabyte_without_a_break(counter, codec, encoding):
     """In a few passes' time: with whole passes it would take minutes."""
     chance = random.Random(12)

@@ -13,6 +13,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,16 +53,8 @@ class RaggedMerger:
         keys = (left << 32) | right
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made
-
-    def pair_ranks(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Rank of the pair that starts at each symbol; none at the last symbol of a sequence."""
-        ranks = np.full(len(symbols), NO_PAIR)
-        if len(self.keys) and len(symbols) > 1:
-            pairs = (symbols[:-1] << 32) | symbols[1:]
-            at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
-            ranks[:-1] = np.where(self.keys[at] == pairs, self.ranks[at], NO_PAIR)
-        ranks[ends] = NO_PAIR
-        return ranks
+        one = self.symbol_of_byte
+        self.byte_ranks = self._ranks_of(np.repeat(one, 256), np.tile(one, 256)).reshape(256, 256)
 
     def counts(self, sequences: list[bytes]) -> np.ndarray:
         long = [n for n, s in enumerate(sequences) if len(s) > LONG_BYTES]
@@ -135,11 +128,15 @@ class RaggedMerger:
         counts = np.zeros(len(sequences), np.int64)
         alive = np.flatnonzero(lengths)
         lengths = lengths[alive]
-        symbols = self.symbol_of_byte[np.frombuffer(b"".join(sequences), np.uint8)]
-        while len(alive):
-            ends = np.cumsum(lengths) - 1
-            ranks = self.pair_ranks(symbols, ends)
-            lowest = np.minimum.reduceat(ranks, ends - lengths + 1)
+        data = np.frombuffer(b"".join(sequences), np.uint8)
+        symbols = self.symbol_of_byte[data]
+        if not len(alive):
+            return counts
+        ranks = np.full(len(data), NO_PAIR)
+        ranks[:-1] = self.byte_ranks[data[:-1], data[1:]]
+        ranks[np.cumsum(lengths) - 1] = NO_PAIR
+        while True:
+            lowest = np.minimum.reduceat(ranks, np.cumsum(lengths) - lengths)
             merging = lowest != NO_PAIR
             counts[alive[~merging]] = lengths[~merging]
             if not merging.all():
@@ -148,6 +145,7 @@ class RaggedMerger:
                 alive, lengths, lowest = alive[merging], lengths[merging], lowest[merging]
                 if not len(alive):
                     break
+            owner = np.repeat(np.arange(len(alive)), lengths)
             chosen = ranks == np.repeat(lowest, lengths)
             places = np.flatnonzero(chosen)
             # Overlaps are runs of one repeated symbol: every second place of a run merges.
@@ -156,11 +154,18 @@ class RaggedMerger:
             run_start = places[np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))]
             places = places[(places - run_start) % 2 == 0]
             symbols[places] = self.made[ranks[places]]
-            owner = np.repeat(np.arange(len(alive)), lengths)
             lengths = lengths - np.bincount(owner[places], minlength=len(alive))
             keep = np.ones(len(symbols), bool)
             keep[places + 1] = False
-            symbols = symbols[keep]
+            symbols, ranks = symbols[keep], ranks[keep]
+            # Only pairs with a new symbol have another rank than before.
+            places = places - np.arange(len(places))
+            ends = np.zeros(len(symbols) + 1, bool)
+            ends[np.cumsum(lengths) - 1] = True
+            ends[-1] = True  # what stands before the first symbol
+            for at in (places, places[~ends[places - 1]] - 1):
+                right = np.where(ends[at], -1, symbols[np.minimum(at + 1, len(symbols) - 1)])
+                ranks[at] = self._ranks_of(symbols[at], right)
         return counts
 
 
@@ -190,9 +195,14 @@ class TokenCounter:
     def counts(self, texts: list[str]) -> list[int]:
         split = [self.pre_tokens(text) for text in texts]
         known = self.known
-        new = list({word for words, _ in split for word in words if word not in known})
-        known.learn(new, self.merger.counts([w.encode() for w in new]).tolist())
-        counts = [sum(map(known.__getitem__, words)) + special for words, special in split]
+        # The words of this call have a table of their own: most come often, and a small table is quick.
+        here = dict.fromkeys(chain.from_iterable(words for words, _ in split))
+        here = dict(zip(here, map(known.get, here), strict=True))
+        new = [word for word, count in here.items() if count is None]
+        counted = self.merger.counts([w.encode() for w in new]).tolist()
+        here.update(zip(new, counted, strict=True))
+        known.learn(new, counted)
+        counts = [sum(map(here.__getitem__, words)) + special for words, special in split]
         known.shrink()
         return counts
 
